@@ -62,9 +62,10 @@ def ratio_half_up(part: Column, total: Column) -> Column:
 def ratio_half_up_sql(part: str, total: str) -> str:
     """The same rounding as SQL text (DuckDB dialect), for oracle queries."""
     down = ", ".join(str(m) for m in MIDPOINTS_ROUNDING_DOWN)
+    k, n = f"({part})", f"nullif(({total}), 0)"   # NULL divisor, NULL ratio
     return (
-        f"CASE WHEN ({total}) > 0 THEN CAST(CASE WHEN (200 * ({part})) % (2 * ({total})) = ({total}) "
-        f"AND list_contains([{down}], (200 * ({part})) // (2 * ({total}))) "
-        f"THEN (200 * ({part})) // (2 * ({total})) "
-        f"ELSE (200 * ({part}) + ({total})) // (2 * ({total})) END AS DOUBLE) / 100.0 END"
+        f"CAST(CASE WHEN (200 * {k}) % (2 * {n}) = {n} "
+        f"AND list_contains([{down}], (200 * {k}) // (2 * {n})) "
+        f"THEN (200 * {k}) // (2 * {n}) "
+        f"ELSE (200 * {k} + {n}) // (2 * {n}) END AS DOUBLE) / 100.0"
     )

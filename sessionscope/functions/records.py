@@ -9,12 +9,36 @@ key matches. A missing field and an empty value both read as NULL.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 FIELD_SEPARATOR = "|"
 KEY_VALUE_SEPARATOR = "="
 
+# Field names of the text session record.
+FIELD_SESSION_ID = "sessionid"
+FIELD_SEARCH_KEYWORDS = "searchKeywords"
+FIELD_CLICK_CATEGORY_IDS = "clickCategoryIds"
+FIELD_AGE = "age"
+FIELD_PROFESSIONAL = "professional"
+FIELD_CITY = "city"
+FIELD_SEX = "sex"
+FIELD_VISIT_LENGTH = "visitLength"
+FIELD_STEP_LENGTH = "stepLength"
+
+# record field -> (our column, type)
+SESSION_RECORD_FIELDS = {
+    FIELD_SESSION_ID: ("session_id", "string"),
+    FIELD_SEARCH_KEYWORDS: ("search_keywords", "string"),
+    FIELD_CLICK_CATEGORY_IDS: ("click_category_ids", "string"),
+    FIELD_VISIT_LENGTH: ("visit_length", "bigint"),
+    FIELD_STEP_LENGTH: ("step_length", "bigint"),
+    FIELD_AGE: ("age", "int"),
+    FIELD_PROFESSIONAL: ("professional", "string"),
+    FIELD_CITY: ("city", "string"),
+    FIELD_SEX: ("sex", "string"),
+}
+
 
 def record_field(record: Column, field: str) -> Column:
     parts = F.split(record, r"\|")
@@ -31,3 +55,15 @@ def encode_record(fields: dict[str, Column]) -> Column:
     parts = [F.concat(F.lit(f"{key}{KEY_VALUE_SEPARATOR}"), F.coalesce(value.cast("string"), F.lit("")))
              for key, value in fields.items()]
     return F.concat_ws(FIELD_SEPARATOR, *parts)
+
+
+def encode_sessions(rendered: DataFrame) -> DataFrame:
+    """Session records (lists already rendered as text) to one text column."""
+    return rendered.select(encode_record(
+        {field: F.col(col) for field, (col, _) in SESSION_RECORD_FIELDS.items()}).alias("record"))
+
+
+def decode_sessions(encoded: DataFrame, record_col: str = "record") -> DataFrame:
+    """Text session records back to typed columns; empty values are NULL."""
+    return encoded.select(*[record_field(F.col(record_col), field).try_cast(typ).alias(col)
+                            for field, (col, typ) in SESSION_RECORD_FIELDS.items()])

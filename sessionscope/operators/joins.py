@@ -1,0 +1,15 @@
+"""Join helpers with an explicit size check before broadcasting."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
+    """Broadcast ``df`` only after checking it has at most ``max_rows`` rows
+    (a bounded ``limit(max_rows + 1)`` count); larger inputs are returned
+    as they are and joined by shuffle."""
+    if df.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(df)
+    return df

@@ -25,8 +25,8 @@ def actions_in_range(actions: DataFrame, start: str | dt.date, end: str | dt.dat
     return actions.where(date_range_predicate(F.col("date"), start, end))
 
 
-def rollup_sessions(actions: DataFrame) -> DataFrame:
-    """One row per session id.
+def rollup_sessions(actions: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+    """One row per session id (per ``keys`` + session id when keys are given).
 
     user_id          smallest user id met (a session belongs to one user)
     search_keywords  distinct non-empty keywords, sorted
@@ -39,7 +39,7 @@ def rollup_sessions(actions: DataFrame) -> DataFrame:
     """
     sessions = (
         actions.where(F.col("session_id").isNotNull())
-        .groupBy("session_id")
+        .groupBy(*keys, "session_id")
         .agg(
             F.min("user_id").alias("user_id"),
             F.sort_array(F.collect_set(F.nullif(F.col("search_keyword"), F.lit("")))).alias("search_keywords"),

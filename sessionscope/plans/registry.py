@@ -22,7 +22,16 @@ from sessionscope.operators.sessions import (
     actions_in_range, render_lists, rollup_sessions, session_records,
 )
 from sessionscope.operators.stats import bucket_counts, session_aggr_stat
+from sessionscope.functions.records import decode_sessions, encode_sessions
+from sessionscope.operators.extract import random_extract, session_detail
+from sessionscope.operators.flow import page_flow_conversion
+from sessionscope.operators.multi import multi_task_stat
+from sessionscope.operators.rollups import (
+    action_gaps, actions_per_minute, daily_rollup, sessions_per_hour,
+)
+from sessionscope.operators.topn import counts_of_sessions, top_categories, top_sessions_per_category
 from sessionscope.plans.job import filtered_sessions
+from sessionscope.sources.tables import normalize_actions
 from sessionscope.sources.tasks import TaskParams
 from sessionscope.sources.testdata import USERS_SQL, actions_sql, load_actions, load_users
 
@@ -221,9 +230,243 @@ def _oracles() -> dict[str, str]:
     return o
 
 
+
+# ------------------------------------------------ further operations --
+TOP_TASK = TaskParams.of("2024-01-01", "2024-01-31", start_age=20, end_age=55, task_id=4)
+EXTRACT_PER_DAY = 20
+EXTRACT_SEED = "sessionscope"
+PAGE_FLOW = (1, 2, 3, 4, 5, 6, 7)
+TASK_ROWS = (
+    (11, '{"startDate":["2024-01-01"],"endDate":["2024-01-31"]}'),
+    (12, '{"startDate":["2024-01-05"],"endDate":["2024-01-20"],"startAge":["20"],"endAge":["40"],'
+         '"sex":["female"]}'),
+    (13, '{"startDate":["2024-01-10"],"endDate":["2024-01-30"],"professionals":["BUILDING,MACHINERY"],'
+         '"cities":["NATION_2,NATION_4,NATION_6,NATION_8"],"keywords":["kw1,kw2,kw3,kw4,kw5,kw6,kw7"]}'),
+    (14, '{"startDate":["2024-01-01"],"endDate":["2024-01-31"],"categoryIds":["5,15,25,35"],"startAge":["30"]}'),
+    (15, '{"startDate":["2025-03-01"],"endDate":["2025-03-07"]}'),
+)
+
+
+def _task_params_from_json(task_id: int, text: str) -> TaskParams:
+    """Oracle-side reading of a task row (plain Python json)."""
+    import json
+    d = {k: v[0] for k, v in json.loads(text).items()}
+    return TaskParams.of(
+        d["startDate"], d["endDate"],
+        start_age=int(d["startAge"]) if "startAge" in d else None,
+        end_age=int(d["endAge"]) if "endAge" in d else None,
+        professionals=d.get("professionals"), cities=d.get("cities"), sex=d.get("sex"),
+        keywords=d.get("keywords"), category_ids=d.get("categoryIds"), task_id=task_id)
+
+
+def q_user_info(spark, sf):
+    return load_users(spark, sf)
+
+
+def q_raw_action_log(spark, sf):
+    """Actions written as the raw text log (one-digit hours) and read back."""
+    acts = load_actions(spark, sf, "second")
+    raw = acts.withColumns({
+        "date": F.date_format("date", "yyyy-MM-dd"),
+        "action_time": F.date_format("action_time", "yyyy-MM-dd H:mm:ss"),
+    })
+    return _render_actions(normalize_actions(raw))
+
+
+def q_decode_session_records(spark, sf):
+    records = render_lists(session_records(_actions(spark, sf, MONTH), load_users(spark, sf)))
+    return decode_sessions(encode_sessions(records))
+
+
+def q_action_gaps(spark, sf):
+    gaps = action_gaps(_actions(spark, sf, MONTH, clock="second"))
+    return gaps.select("action_id", "session_id",
+                       F.date_format("action_time", "yyyy-MM-dd HH:mm:ss").alias("action_time"),
+                       F.date_format("prev_action_time", "yyyy-MM-dd HH:mm:ss").alias("prev_action_time"),
+                       "gap_seconds")
+
+
+def _real_sessions(spark, sf, p=MONTH):
+    return filtered_sessions(_actions(spark, sf, clock="second"), load_users(spark, sf), p)
+
+
+def q_sessions_per_hour(spark, sf):
+    return sessions_per_hour(_real_sessions(spark, sf))
+
+
+def q_actions_per_minute(spark, sf):
+    return actions_per_minute(_actions(spark, sf, MONTH, clock="second"))
+
+
+def q_daily_rollup(spark, sf):
+    return daily_rollup(_real_sessions(spark, sf))
+
+
+def _top_counts(spark, sf):
+    acts = _actions(spark, sf, TOP_TASK)
+    return counts_of_sessions(acts, filtered_sessions(acts, load_users(spark, sf), TOP_TASK))
+
+
+def q_top10_category(spark, sf):
+    return top_categories(_top_counts(spark, sf), 10)
+
+
+def q_top10_category_session(spark, sf):
+    counts = _top_counts(spark, sf)
+    return top_sessions_per_category(counts, top_categories(counts, 10), 10).withColumn(
+        "rank", F.col("rank").cast("long"))
+
+
+def _extracted(spark, sf):
+    return random_extract(_real_sessions(spark, sf), EXTRACT_PER_DAY, EXTRACT_SEED)
+
+
+def q_session_random_extract(spark, sf):
+    ex = _extracted(spark, sf)
+    return render_lists(ex).select("session_id", "start_time", "end_time", "search_keywords", "date_hour",
+                                   F.col("rank").cast("long").alias("rank"), F.col("quota").cast("long").alias("quota"))
+
+
+def q_session_detail(spark, sf):
+    acts = _actions(spark, sf, MONTH, clock="second")
+    return _render_actions(session_detail(acts, _extracted(spark, sf)))
+
+
+def q_page_flow_conversion(spark, sf):
+    return page_flow_conversion(_actions(spark, sf, MONTH, clock="second"), PAGE_FLOW)
+
+
+def task_table(spark):
+    return spark.createDataFrame([(tid, f"task{tid}", txt) for tid, txt in TASK_ROWS],
+                                 "task_id long, task_name string, task_param string")
+
+
+def q_multi_task_stat(spark, sf):
+    return multi_task_stat(load_actions(spark, sf, "minute"), load_users(spark, sf), task_table(spark))
+
+
+# ------------------------------------------------ further oracles --
+def _sessions_body(p, clock):
+    return [uva_cte(clock), USERS_CTE, sessions_cte(p), RECORDS_CTE, filtered_cte(p)]
+
+
+CATEGORY_COUNTS_CTE = """ce AS (
+      SELECT session_id, click_category_id AS category_id, 'click' AS kind FROM uva_r WHERE click_category_id IS NOT NULL
+      UNION ALL
+      SELECT session_id, TRY_CAST(trim(x) AS BIGINT), 'order' FROM
+        (SELECT session_id, unnest(string_split(order_category_ids, ',')) AS x FROM uva_r) WHERE trim(x) <> ''
+      UNION ALL
+      SELECT session_id, TRY_CAST(trim(x) AS BIGINT), 'pay' FROM
+        (SELECT session_id, unnest(string_split(pay_category_ids, ',')) AS x FROM uva_r) WHERE trim(x) <> ''),
+    counts AS (
+      SELECT session_id, category_id,
+             count(*) FILTER (WHERE kind = 'click') AS click_count,
+             count(*) FILTER (WHERE kind = 'order') AS order_count,
+             count(*) FILTER (WHERE kind = 'pay') AS pay_count
+      FROM ce WHERE category_id IS NOT NULL AND session_id IN (SELECT session_id FROM filtered)
+      GROUP BY session_id, category_id),
+    top AS (
+      SELECT category_id, CAST(sum(click_count) AS BIGINT) AS click_count,
+             CAST(sum(order_count) AS BIGINT) AS order_count, CAST(sum(pay_count) AS BIGINT) AS pay_count
+      FROM counts GROUP BY category_id
+      ORDER BY click_count DESC, order_count DESC, pay_count DESC, category_id ASC LIMIT 10)"""
+
+
+def _range_cte(name, p):
+    return f"{name} AS (SELECT * FROM uva WHERE date BETWEEN {_d(p.start_date)} AND {_d(p.end_date)})"
+
+
+def _extract_ctes():
+    p = MONTH
+    return _sessions_body(p, "second") + [f"""keyed AS (
+      SELECT *, strftime(start_time, '%Y-%m-%d_%H') AS date_hour, strftime(start_time, '%Y-%m-%d') AS day,
+             md5(session_id || '{EXTRACT_SEED}') AS rank_key FROM filtered)""",
+        """hours AS (SELECT date_hour, day, count(*) AS hour_n FROM keyed GROUP BY date_hour, day)""",
+        f"""quotas AS (SELECT date_hour, CAST(greatest(1, ({EXTRACT_PER_DAY} * hour_n) //
+             sum(hour_n) OVER (PARTITION BY day)) AS BIGINT) AS quota FROM hours)""",
+        """ranked AS (SELECT *, row_number() OVER (PARTITION BY date_hour ORDER BY rank_key, session_id) AS rank
+             FROM keyed)""",
+        """extracted AS (SELECT r.*, q.quota FROM ranked r JOIN quotas q USING (date_hour) WHERE r.rank <= q.quota)"""]
+
+
+def _flow_sql():
+    steps = list(zip(PAGE_FLOW[:-1], PAGE_FLOW[1:]))
+    counted = ", ".join([f"count(*) FILTER (WHERE page_id = {PAGE_FLOW[0]}) AS first_page_views"]
+                        + [f"count(*) FILTER (WHERE prev_page_id = {a} AND page_id = {b}) AS t{i}"
+                           for i, (a, b) in enumerate(steps, start=1)])
+    rows = " UNION ALL ".join(
+        f"SELECT {i} AS step, '{a}_{b}' AS page_pair, t{i} AS transitions, "
+        f"{'first_page_views' if i == 1 else f't{i - 1}'} AS base FROM counted"
+        for i, (a, b) in enumerate(steps, start=1))
+    return with_sql(
+        uva_cte("second"), _range_cte("uva_r", MONTH),
+        """pairs AS (SELECT page_id, lag(page_id) OVER (PARTITION BY session_id ORDER BY action_time, action_id)
+                     AS prev_page_id FROM uva_r WHERE session_id IS NOT NULL)""",
+        f"counted AS (SELECT {counted} FROM pairs)", f"steps AS ({rows})",
+        body=f"SELECT CAST(step AS INTEGER) AS step, page_pair, transitions, base, "
+             f"{ratio_half_up_sql('transitions', 'base')} AS conversion_rate FROM steps")
+
+
+def _multi_sql():
+    parts = []
+    for tid, text in TASK_ROWS:
+        p = _task_params_from_json(tid, text)
+        parts.append(f"({_stat_sql(p)})")
+    return " UNION ALL ".join(f"SELECT * FROM {x}" for x in parts)
+
+
+def _more_oracles() -> dict[str, str]:
+    rendered_filtered = f"SELECT {RENDERED_RECORD} FROM filtered"
+    return {
+        "user_info": USERS_SQL,
+        "raw_action_log": with_sql(uva_cte("second"), body=f"SELECT {ACTION_COLUMNS_SQL} FROM uva"),
+        "decode_session_records": with_sql(
+            uva_cte(), USERS_CTE, sessions_cte(MONTH), RECORDS_CTE,
+            body="""SELECT session_id, nullif(array_to_string(search_keywords, ','), '') AS search_keywords,
+                    nullif(array_to_string(click_category_ids, ','), '') AS click_category_ids,
+                    visit_length, step_length, age, professional, city, sex FROM records"""),
+        "action_gaps": with_sql(uva_cte("second"), _range_cte("uva_r", MONTH), body="""
+            SELECT action_id, session_id, strftime(action_time, '%Y-%m-%d %H:%M:%S') AS action_time,
+                   strftime(prev_action_time, '%Y-%m-%d %H:%M:%S') AS prev_action_time,
+                   date_diff('second', prev_action_time, action_time) AS gap_seconds
+            FROM (SELECT *, lag(action_time) OVER (PARTITION BY session_id ORDER BY action_time, action_id)
+                  AS prev_action_time FROM uva_r WHERE session_id IS NOT NULL)"""),
+        "sessions_per_hour": with_sql(*_sessions_body(MONTH, "second"), body="""
+            SELECT strftime(start_time, '%Y-%m-%d_%H') AS date_hour, count(*) AS sessions,
+                   CAST(sum(step_length) AS BIGINT) AS actions FROM filtered GROUP BY 1"""),
+        "actions_per_minute": with_sql(uva_cte("second"), _range_cte("uva_r", MONTH), body="""
+            SELECT strftime(action_time, '%Y%m%d%H%M') AS minute_key, count(*) AS actions,
+                   count(DISTINCT session_id) AS sessions FROM uva_r GROUP BY 1"""),
+        "daily_rollup": with_sql(*_sessions_body(MONTH, "second"), body="""
+            SELECT strftime(start_time, '%Y%m%d') AS date_key, count(*) AS sessions,
+                   CAST(sum(step_length) AS BIGINT) AS actions, count(DISTINCT user_id) AS users,
+                   max(visit_length) AS longest_visit, strftime(min(start_time), '%Y-%m-%d') AS date
+            FROM filtered GROUP BY 1"""),
+        "top10_category": with_sql(*_sessions_body(TOP_TASK, "minute"), _range_cte("uva_r", TOP_TASK),
+                                   CATEGORY_COUNTS_CTE, body="SELECT * FROM top"),
+        "top10_category_session": with_sql(
+            *_sessions_body(TOP_TASK, "minute"), _range_cte("uva_r", TOP_TASK), CATEGORY_COUNTS_CTE,
+            """ranked AS (SELECT category_id, session_id, click_count,
+                 CAST(row_number() OVER (PARTITION BY category_id ORDER BY click_count DESC, session_id) AS BIGINT)
+                 AS rank FROM counts WHERE click_count > 0 AND category_id IN (SELECT category_id FROM top))""",
+            body="SELECT * FROM ranked WHERE rank <= 10"),
+        "session_random_extract": with_sql(*_extract_ctes(), body="""
+            SELECT session_id, strftime(start_time, '%Y-%m-%d %H:%M:%S') AS start_time,
+                   strftime(end_time, '%Y-%m-%d %H:%M:%S') AS end_time,
+                   array_to_string(search_keywords, ',') AS search_keywords, date_hour,
+                   CAST(rank AS BIGINT) AS rank, quota FROM extracted"""),
+        "session_detail": with_sql(*_extract_ctes(), _range_cte("uva_r", MONTH), body=f"""
+            SELECT {ACTION_COLUMNS_SQL} FROM uva_r WHERE session_id IN (SELECT session_id FROM extracted)"""),
+        "page_flow_conversion": _flow_sql(),
+        "multi_task_stat": _multi_sql(),
+    }
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         "actions_by_date": q_actions_by_date,
+        "user_info": q_user_info,
+        "raw_action_log": q_raw_action_log,
         "session_rollup": q_session_rollup,
         "session_user_join": q_session_user_join,
     }
@@ -234,9 +477,22 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "visit_histogram": _histogram("visit", VISIT_BUCKETS),
         "step_histogram": _histogram("step", STEP_BUCKETS),
         "session_aggr_stat": q_session_aggr_stat,
+        "decode_session_records": q_decode_session_records,
+        "action_gaps": q_action_gaps,
+        "sessions_per_hour": q_sessions_per_hour,
+        "actions_per_minute": q_actions_per_minute,
+        "daily_rollup": q_daily_rollup,
+        "top10_category": q_top10_category,
+        "top10_category_session": q_top10_category_session,
+        "session_random_extract": q_session_random_extract,
+        "session_detail": q_session_detail,
+        "page_flow_conversion": q_page_flow_conversion,
+        "multi_task_stat": q_multi_task_stat,
     })
     return q
 
 
 def oracle_sql() -> dict[str, str]:
-    return _oracles()
+    o = _oracles()
+    o.update(_more_oracles())
+    return o
