@@ -36,36 +36,30 @@ def _midpoints_rounding_down() -> tuple[int, ...]:
 MIDPOINTS_ROUNDING_DOWN: tuple[int, ...] = _midpoints_rounding_down()
 
 
-def _div(a: Column, b: Column) -> Column:
-    """Integral division of longs (SQL ``div``), exact at any magnitude."""
-    return F.call_function("div", a, b)
+def _ratio_sql(part: str, total: str, *, spark: bool) -> str:
+    """Half-up hundredths of ``part / total`` as SQL text, in Spark or DuckDB
+    dialect: exact long arithmetic, with the midpoint correction above."""
+    down = ", ".join(str(m) for m in MIDPOINTS_ROUNDING_DOWN)
+    k, n = f"({part})", f"nullif(({total}), 0)"   # NULL divisor, NULL ratio
+    div = "div" if spark else "//"
+    contains = (f"array_contains(array({down}), CAST((200 * {k}) {div} (2 * {n}) AS INT))" if spark
+                else f"list_contains([{down}], (200 * {k}) {div} (2 * {n}))")
+    return (
+        f"CAST(CASE WHEN (200 * {k}) % (2 * {n}) = {n} AND {contains} "
+        f"THEN (200 * {k}) {div} (2 * {n}) "
+        f"ELSE (200 * {k} + {n}) {div} (2 * {n}) END AS DOUBLE) / CAST(100 AS DOUBLE)"
+    )
 
 
-def ratio_half_up(part: Column, total: Column) -> Column:
+def ratio_half_up(part: str, total: str) -> Column:
     """``round_half_up(part / total, 2)`` as a double; NULL when total is 0.
 
-    Both arguments are non-negative integer columns with ``part <= total``.
+    ``part`` and ``total`` name non-negative integer columns (or are SQL
+    expressions over them). One SQL expression keeps plan building cheap.
     """
-    k = part.cast("long")
-    n = total.cast("long")
-    scaled = F.lit(200) * k
-    hundredths = _div(scaled + n, F.lit(2) * n)
-    floor_hundredths = _div(scaled, F.lit(2) * n)
-    at_midpoint = (scaled % (F.lit(2) * n)) == n
-    down = F.array(*[F.lit(m) for m in MIDPOINTS_ROUNDING_DOWN]) if MIDPOINTS_ROUNDING_DOWN \
-        else F.array().cast("array<int>")
-    corrected = F.when(at_midpoint & F.array_contains(down, floor_hundredths.cast("int")),
-                       floor_hundredths).otherwise(hundredths)
-    return F.when(n > 0, corrected.cast("double") / F.lit(100.0))
+    return F.expr(_ratio_sql(f"CAST({part} AS BIGINT)", f"CAST({total} AS BIGINT)", spark=True))
 
 
 def ratio_half_up_sql(part: str, total: str) -> str:
-    """The same rounding as SQL text (DuckDB dialect), for oracle queries."""
-    down = ", ".join(str(m) for m in MIDPOINTS_ROUNDING_DOWN)
-    k, n = f"({part})", f"nullif(({total}), 0)"   # NULL divisor, NULL ratio
-    return (
-        f"CAST(CASE WHEN (200 * {k}) % (2 * {n}) = {n} "
-        f"AND list_contains([{down}], (200 * {k}) // (2 * {n})) "
-        f"THEN (200 * {k}) // (2 * {n}) "
-        f"ELSE (200 * {k} + {n}) // (2 * {n}) END AS DOUBLE) / 100.0"
-    )
+    """The same rounding as DuckDB SQL text, for oracle queries."""
+    return _ratio_sql(part, total, spark=False)

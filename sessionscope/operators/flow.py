@@ -38,5 +38,4 @@ def page_flow_conversion(actions: DataFrame, flow: list[int] | tuple[int, ...],
         F.concat_ws("_", F.col("from_page").cast("string"), F.col("to_page").cast("string")).alias("page_pair"),
         "transitions",
         base.alias("base"),
-        ratio_half_up(F.col("transitions"), base).alias("conversion_rate"),
-    )
+    ).withColumn("conversion_rate", ratio_half_up("transitions", "base"))

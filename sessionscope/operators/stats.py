@@ -32,15 +32,14 @@ def bucket_counts(sessions: DataFrame, by: list[str] | None = None) -> DataFrame
 
 def ratios_from_counts(counts: DataFrame, task_id=None) -> DataFrame:
     """Counts to the session_aggr_stat record: count and 15 rounded ratios."""
-    n = F.col("session_count")
     keys = [c for c in counts.columns if c == "task_id"]
     cols = [F.col(k) for k in keys]
     if task_id is not None and not keys:
         cols.append(F.lit(task_id).cast("long").alias("task_id"))
-    cols.append(n)
-    cols += [ratio_half_up(F.col(f"visit_{b.name}"), n).alias(f"visit_length_{b.name}_ratio")
+    cols.append(F.col("session_count"))
+    cols += [ratio_half_up(f"visit_{b.name}", "session_count").alias(f"visit_length_{b.name}_ratio")
              for b in VISIT_BUCKETS]
-    cols += [ratio_half_up(F.col(f"step_{b.name}"), n).alias(f"step_length_{b.name}_ratio")
+    cols += [ratio_half_up(f"step_{b.name}", "session_count").alias(f"step_length_{b.name}_ratio")
              for b in STEP_BUCKETS]
     return counts.select(*cols)
 
