@@ -14,7 +14,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sessionscope.operators.joins import broadcast_if_small
 from sessionscope.operators.sessions import rollup_sessions
 from sessionscope.operators.stats import bucket_counts, ratios_from_counts
 from sessionscope.sources.tables import USER_COLUMNS
@@ -25,13 +24,23 @@ MAX_BROADCAST_TASK_DAYS = 1_000_000
 PARAM_COLUMNS = ("start_age", "end_age", "professionals", "cities", "sex", "keywords", "category_ids")
 
 
-def parsed_tasks(tasks: DataFrame) -> DataFrame:
-    """Typed parameters of every task; raises on the first invalid task."""
+def parsed_tasks(tasks: DataFrame) -> tuple[DataFrame, int]:
+    """Typed parameters of every task and the number of (task, day) rows.
+
+    One small job validates all tasks and measures the expansion; it raises
+    on an invalid task.
+    """
     parsed = task_param_columns(tasks)
-    bad = parsed.where(F.col("param_error").isNotNull()).select("task_id", "param_error").take(1)
-    if bad:
-        raise ValueError(f"task {bad[0]['task_id']}: {bad[0]['param_error']}")
-    return parsed
+    check = parsed.agg(
+        F.min(F.when(F.col("param_error").isNotNull(),
+                     F.concat(F.lit("task "), F.col("task_id").cast("string"), F.lit(": "),
+                              F.col("param_error")))).alias("error"),
+        F.coalesce(F.sum(F.greatest(F.datediff("end_date", "start_date") + 1, F.lit(0))),
+                   F.lit(0)).alias("task_days"),
+    ).first()
+    if check["error"]:
+        raise ValueError(check["error"])
+    return parsed, int(check["task_days"])
 
 
 def _absent_or(value: Column, pred: Column) -> Column:
@@ -52,15 +61,19 @@ def task_predicate() -> Column:
 
 def multi_task_sessions(actions: DataFrame, users: DataFrame, tasks: DataFrame) -> DataFrame:
     """Filtered session records of every task, keyed by (task_id, session_id)."""
-    parsed = parsed_tasks(tasks)
-    days = (parsed.select("task_id", F.explode(F.sequence("start_date", "end_date")).alias("date")))
-    days = broadcast_if_small(days, MAX_BROADCAST_TASK_DAYS)
+    parsed, task_days = parsed_tasks(tasks)
+    days = (parsed.where(F.col("start_date") <= F.col("end_date"))
+            .select("task_id", F.explode(F.sequence("start_date", "end_date")).alias("date")))
+    small = task_days <= MAX_BROADCAST_TASK_DAYS        # measured above, not estimated
+    if small:
+        days = F.broadcast(days)
     acts = actions.where(F.col("session_id").isNotNull()).join(days, "date")
     sessions = rollup_sessions(acts, keys=("task_id",))
     records = sessions.join(users.select(*USER_COLUMNS), "user_id")
     params = parsed.select("task_id", *[F.col(c) for c in PARAM_COLUMNS if c != "sex"],
                            F.col("sex").alias("sex_param"))
-    params = broadcast_if_small(params, MAX_BROADCAST_TASK_DAYS)
+    if small:                                           # tasks <= task days
+        params = F.broadcast(params)
     return (records.join(params, "task_id")
             .where(task_predicate())
             .drop(*[c for c in PARAM_COLUMNS if c != "sex"], "sex_param"))

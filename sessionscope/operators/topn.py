@@ -60,11 +60,15 @@ def top_categories(counts: DataFrame, n: int = 10) -> DataFrame:
 
 def top_sessions_per_category(counts: DataFrame, categories: DataFrame, n: int = 10) -> DataFrame:
     """For each given category, the ``n`` sessions with most clicks on it
-    (ties by session id); sessions without a click on it are not ranked."""
+    (ties by session id); sessions without a click on it are not ranked.
+
+    All three counts are kept so that this ranking and ``top_categories``
+    read the same session-category aggregate (one shared exchange).
+    """
     cats = F.broadcast(categories.select("category_id"))  # at most the top-n list
     w = Window.partitionBy("category_id").orderBy(F.desc("click_count"), F.asc("session_id"))
     return (counts.where(F.col("click_count") > 0)
             .join(cats, "category_id", "left_semi")
             .withColumn("rank", F.row_number().over(w))
             .where(F.col("rank") <= n)
-            .select("category_id", "session_id", "click_count", "rank"))
+            .select("category_id", "session_id", "click_count", "order_count", "pay_count", "rank"))

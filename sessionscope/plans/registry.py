@@ -446,7 +446,7 @@ def _more_oracles() -> dict[str, str]:
                                    CATEGORY_COUNTS_CTE, body="SELECT * FROM top"),
         "top10_category_session": with_sql(
             *_sessions_body(TOP_TASK, "minute"), _range_cte("uva_r", TOP_TASK), CATEGORY_COUNTS_CTE,
-            """ranked AS (SELECT category_id, session_id, click_count,
+            """ranked AS (SELECT category_id, session_id, click_count, order_count, pay_count,
                  CAST(row_number() OVER (PARTITION BY category_id ORDER BY click_count DESC, session_id) AS BIGINT)
                  AS rank FROM counts WHERE click_count > 0 AND category_id IN (SELECT category_id FROM top))""",
             body="SELECT * FROM ranked WHERE rank <= 10"),
