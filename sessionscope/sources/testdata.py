@@ -17,72 +17,69 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessionscope.sources.schemas import ACTION_SCHEMA, USER_SCHEMA
 from sessionscope.sources.tables import as_date
 
 CLOCKS = ("second", "minute")
 
 
-def _props_k(props: Column) -> Column:
-    return F.from_json(props, "k bigint").getField("k")
+# The driver tables' schemas, declared so that reads skip footer inference.
+TABLE_SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+}
 
 
-def _clock_seconds(ts: Column, clock: str) -> Column:
+def _clock_seconds_sql(clock: str) -> str:
     if clock == "second":
-        return F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
+        return "hour(ts) * 3600 + minute(ts) * 60 + second(ts)"
     if clock == "minute":
-        return F.hour(ts) * 60 + F.minute(ts)
+        return "hour(ts) * 60 + minute(ts)"
     raise ValueError(f"clock must be one of {CLOCKS}, got {clock!r}")
 
 
 def actions_from_events(events: DataFrame, clock: str = "minute") -> DataFrame:
-    ts = F.col("ts")
-    day = F.to_date(ts)
-    k = F.col("_k")
-    etype = F.col("event_type")
-    k_text = k.cast("string")
-    product = (F.col("event_id") % 100)
-    out = (
-        events.select("event_id", "ts", "user_id", "event_type", _props_k(F.col("props")).alias("_k"))
-        .select(
-            F.col("event_id").alias("action_id"),
-            day.alias("date"),
-            F.col("user_id"),
-            F.concat_ws("_", F.col("user_id").cast("string"), F.date_format(ts, "yyyyMMdd")).alias("session_id"),
-            (F.col("event_id") % 10).alias("page_id"),
-            F.timestamp_add("SECOND", _clock_seconds(ts, clock), day.cast("timestamp_ntz")).alias("action_time"),
-            F.when(etype == "view", F.concat(F.lit("kw"), k_text)).alias("search_keyword"),
-            F.when(etype == "click", k).alias("click_category_id"),
-            F.when(etype == "click", product).alias("click_product_id"),
-            F.when(etype == "signup", k_text).alias("order_category_ids"),
-            F.when(etype == "signup", product.cast("string")).alias("order_product_ids"),
-            F.when(etype == "purchase", k_text).alias("pay_category_ids"),
-            F.when(etype == "purchase", product.cast("string")).alias("pay_product_ids"),
-        )
+    """``events`` as an action log (schema ``ACTION_SCHEMA``)."""
+    secs = _clock_seconds_sql(clock)
+    return events.selectExpr(
+        "event_id", "ts", "user_id", "event_type", "from_json(props, 'k bigint').k AS k",
+    ).selectExpr(
+        "event_id AS action_id",
+        "to_date(ts) AS date",
+        "user_id",
+        "concat_ws('_', CAST(user_id AS STRING), date_format(ts, 'yyyyMMdd')) AS session_id",
+        "event_id % 10 AS page_id",
+        f"timestampadd(SECOND, {secs}, CAST(to_date(ts) AS TIMESTAMP_NTZ)) AS action_time",
+        "CASE WHEN event_type = 'view' THEN concat('kw', CAST(k AS STRING)) END AS search_keyword",
+        "CASE WHEN event_type = 'click' THEN k END AS click_category_id",
+        "CASE WHEN event_type = 'click' THEN event_id % 100 END AS click_product_id",
+        "CASE WHEN event_type = 'signup' THEN CAST(k AS STRING) END AS order_category_ids",
+        "CASE WHEN event_type = 'signup' THEN CAST(event_id % 100 AS STRING) END AS order_product_ids",
+        "CASE WHEN event_type = 'purchase' THEN CAST(k AS STRING) END AS pay_category_ids",
+        "CASE WHEN event_type = 'purchase' THEN CAST(event_id % 100 AS STRING) END AS pay_product_ids",
     )
-    return out.select(*[F.col(f.name).cast(f.dataType) for f in ACTION_SCHEMA.fields])
 
 
 def users_from_customers(customer: DataFrame, nation: DataFrame) -> DataFrame:
+    """``customer`` joined with ``nation`` as a user table (``USER_SCHEMA``)."""
     c = customer.select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
-    n = nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
-    joined = c.join(n, "c_nationkey", "left")
-    return joined.select(
-        F.col("c_custkey").alias("user_id"),
-        F.col("c_name").alias("username"),
-        F.col("c_name").alias("name"),
-        (F.lit(18) + F.col("c_custkey") % 50).cast("int").alias("age"),
-        F.col("c_mktsegment").alias("professional"),
-        F.col("n_name").alias("city"),
-        F.when(F.col("c_custkey") % 2 == 0, F.lit("male")).otherwise(F.lit("female")).alias("sex"),
-    ).select(*[F.col(f.name).cast(f.dataType) for f in USER_SCHEMA.fields])
+    n = nation.selectExpr("n_nationkey AS c_nationkey", "n_name")
+    return c.join(n, "c_nationkey", "left").selectExpr(
+        "c_custkey AS user_id",
+        "c_name AS username",
+        "c_name AS name",
+        "CAST(18 + c_custkey % 50 AS INT) AS age",
+        "c_mktsegment AS professional",
+        "n_name AS city",
+        "CASE WHEN c_custkey % 2 = 0 THEN 'male' ELSE 'female' END AS sex",
+    )
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def load_actions(spark: SparkSession, sf_dir: str, clock: str = "minute",
