@@ -1,14 +1,17 @@
 """The ``k=v|k=v`` text form of a session record.
 
 Older outputs keep a session as one text value. ``record_field`` reads one
-field back as a column expression: split on ``|``, split each part on the
-first ``=``, keep parts with a non-empty value, take the first part whose
-key matches. A missing field and an empty value both read as NULL.
+field back as a column expression: of the ``|``-separated parts, those that
+split on ``=`` into exactly two pieces with a non-empty value count, and the
+first whose key matches wins. A missing field, an empty value and a value
+containing ``=`` all read as NULL.
 ``encode_record`` writes the text form from named columns.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,14 +43,15 @@ SESSION_RECORD_FIELDS = {
 }
 
 
+def _field_pattern(field: str) -> str:
+    # a whole part "field=value": value non-empty, without "|" or "="
+    return r"(?:^|\|)" + re.escape(field) + r"=([^|=]+)(?:\||$)"
+
+
 def record_field(record: Column, field: str) -> Column:
-    parts = F.split(record, r"\|")
-    pairs = F.transform(parts, lambda p: F.split(p, KEY_VALUE_SEPARATOR, 2))
-    hits = F.filter(
-        pairs,
-        lambda kv: (F.size(kv) == 2) & (kv[0] == F.lit(field)) & (F.length(kv[1]) > 0),
-    )
-    return F.try_element_at(F.try_element_at(hits, F.lit(1)), F.lit(2))
+    """Value of the first part ``field=value`` that splits on ``=`` into
+    exactly two pieces with a non-empty value; NULL when there is none."""
+    return F.nullif(F.regexp_extract(record, _field_pattern(field), 1), F.lit(""))
 
 
 def encode_record(fields: dict[str, Column]) -> Column:

@@ -9,15 +9,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sessionscope.functions.buckets import STEP_BUCKETS, VISIT_BUCKETS, bucket_condition
+from sessionscope.functions.buckets import STEP_BUCKETS, VISIT_BUCKETS, bucket_sql
 from sessionscope.functions.numbers import ratio_half_up
 
 
 def _count_aggs():
     aggs = [F.count(F.lit(1)).alias("session_count")]
-    aggs += [F.count_if(bucket_condition(F.col("visit_length"), b)).alias(f"visit_{b.name}")
+    aggs += [F.expr(f"count_if({bucket_sql('visit_length', b)})").alias(f"visit_{b.name}")
              for b in VISIT_BUCKETS]
-    aggs += [F.count_if(bucket_condition(F.col("step_length"), b)).alias(f"step_{b.name}")
+    aggs += [F.expr(f"count_if({bucket_sql('step_length', b)})").alias(f"step_{b.name}")
              for b in STEP_BUCKETS]
     return aggs
 

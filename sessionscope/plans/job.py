@@ -11,7 +11,7 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessionscope.operators.filters import filter_sessions, user_predicate
+from sessionscope.operators.filters import USER_PREDICATES, filter_sessions, user_predicate
 from sessionscope.operators.sessions import actions_in_range, rollup_sessions, with_users
 from sessionscope.operators.stats import session_aggr_stat
 from sessionscope.sources.tables import USER_COLUMNS
@@ -31,7 +31,7 @@ def filtered_sessions(actions: DataFrame, users: DataFrame, params: TaskParams,
     """
     acts = actions_in_range(actions, params.start_date, params.end_date)
     users = users.select(*USER_COLUMNS)
-    if prefilter_users:
+    if prefilter_users and any(f(params) is not None for f in USER_PREDICATES):
         wanted = users.where(user_predicate(params)).select("user_id")
         acts = acts.join(wanted, "user_id", "left_semi")
     return filter_sessions(with_users(rollup_sessions(acts), users), params)

@@ -21,6 +21,12 @@ _DEFAULTS = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Local runs see tiny shuffles; without this AQE merges them into one
+    # partition (1 MB minimum) and the stage after a shuffle runs on a single
+    # core. On cluster-sized data the advisory partition size governs.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
+    # no Python call-site capture on every DataFrame call (error context only)
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

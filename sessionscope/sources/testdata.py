@@ -45,7 +45,7 @@ def actions_from_events(events: DataFrame, clock: str = "minute") -> DataFrame:
     """``events`` as an action log (schema ``ACTION_SCHEMA``)."""
     secs = _clock_seconds_sql(clock)
     return events.selectExpr(
-        "event_id", "ts", "user_id", "event_type", "from_json(props, 'k bigint').k AS k",
+        "event_id", "ts", "user_id", "event_type", "CAST(get_json_object(props, '$.k') AS BIGINT) AS k",
     ).selectExpr(
         "event_id AS action_id",
         "to_date(ts) AS date",
@@ -82,12 +82,27 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give an under-split scan one partition per core.
+
+    Each test file is a single parquet row group, which Spark cannot split,
+    so every event would pass through one task before the first shuffle.
+    When the scan has fewer splits than the session has cores, a
+    round-robin repartition spreads the per-row work; a real action log
+    (many files, many row groups) has enough splits and is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 def load_actions(spark: SparkSession, sf_dir: str, clock: str = "minute",
                  start: str | dt.date | None = None, end: str | dt.date | None = None) -> DataFrame:
     """The action log; a date range is applied to the raw ``ts`` so that it
     reaches the parquet scan as a pushed filter (a stored log would be
     partitioned by date and pruned instead)."""
-    events = _table(spark, sf_dir, "events")
+    events = spread(_table(spark, sf_dir, "events"))
     if start is not None:
         lo = F.lit(as_date(start)).cast("timestamp_ntz")
         events = events.where(F.col("ts") >= lo)

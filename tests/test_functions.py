@@ -57,11 +57,13 @@ def test_before_after_are_false_on_unknown(spark):
 
 
 def test_record_field(spark):
-    rec = "sessionid=s1|searchKeywords=|age=31|city=a=b|sex=male|age=40|junk"
+    rec = "sessionid=s1|searchKeywords=|age=31|city=a=b|sex=|sex=male|age=40|junk|professional=x|"
     df = spark.createDataFrame([(rec,), (None,)], "r string")
     cols = {f: record_field(F.col("r"), f).alias(f) for f in
-            ["sessionid", "searchKeywords", "age", "city", "sex", "missing", "junk"]}
+            ["sessionid", "searchKeywords", "age", "city", "sex", "missing", "junk", "professional"]}
     got = df.select(*cols.values()).collect()
-    assert got[0].asDict() == {"sessionid": "s1", "searchKeywords": None, "age": "31", "city": "a=b",
-                               "sex": "male", "missing": None, "junk": None}
+    # empty values, values holding "=" and parts without "=" never count;
+    # the first readable part of a field wins
+    assert got[0].asDict() == {"sessionid": "s1", "searchKeywords": None, "age": "31", "city": None,
+                               "sex": "male", "missing": None, "junk": None, "professional": "x"}
     assert all(v is None for v in got[1].asDict().values())
