@@ -69,3 +69,13 @@ def time_before(t1: Column, t2: Column) -> Column:
 def time_after(t1: Column, t2: Column) -> Column:
     """``t1`` strictly after ``t2``; false when either is unknown."""
     return F.coalesce(t1 > t2, F.lit(False))
+
+
+def today() -> Column:
+    """Today as ``yyyy-MM-dd`` text (session time zone)."""
+    return F.date_format(F.current_date(), DATE_FORMAT)
+
+
+def yesterday() -> Column:
+    """Yesterday as ``yyyy-MM-dd`` text (session time zone)."""
+    return F.date_format(F.date_sub(F.current_date(), 1), DATE_FORMAT)

@@ -1,7 +1,7 @@
 """The session statistics job: task → actions → sessions → users → filter →
 statistics → sink, declared as one DataFrame plan with one action (the write).
 
-    spark-submit -m sessionscope.plans.job <task_id> --actions … --users … --tasks … --out …
+    python -m sessionscope.plans.job <task_id> --actions … --users … --tasks … --out … [--all-outputs]
 """
 
 from __future__ import annotations
@@ -43,6 +43,40 @@ def session_stats(actions: DataFrame, users: DataFrame, params: TaskParams,
     return session_aggr_stat(filtered_sessions(actions, users, params, prefilter_users), params.task_id)
 
 
+def task_outputs(actions: DataFrame, users: DataFrame, params: TaskParams, extract_per_day: int = 100,
+                 seed: str = "0", top_n: int = 10, checkpoint: bool = True) -> dict[str, DataFrame]:
+    """Every result of a task from one set of filtered sessions.
+
+    The filtered sessions feed five results; with ``checkpoint`` they are
+    written once to the cluster's checkpoint folder (``spark.checkpoint.dir``,
+    a reliable checkpoint, not a local one), so later results neither
+    recompute the rollup nor depend on its lineage when executors are lost.
+    """
+    from sessionscope.operators.extract import random_extract, session_detail
+    from sessionscope.operators.topn import counts_of_sessions, top_categories, top_sessions_per_category
+
+    acts = actions_in_range(actions, params.start_date, params.end_date)
+    sessions = filtered_sessions(actions, users, params)
+    if checkpoint:
+        from sessionscope.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(sessions.sparkSession)
+        sessions = sessions.checkpoint(eager=True)
+    tid = F.lit(params.task_id).cast("long").alias("task_id")
+    counts = counts_of_sessions(acts, sessions)
+    top = top_categories(counts, top_n)
+    extracted = random_extract(sessions, extract_per_day, seed)
+    return {
+        "session_aggr_stat": session_aggr_stat(sessions, params.task_id),
+        "top10_category": top.select(tid, "*"),
+        "top10_category_session": top_sessions_per_category(counts, top, top_n).select(tid, "*"),
+        "session_random_extract": extracted.select(
+            tid, "session_id", F.date_format("start_time", "yyyy-MM-dd HH:mm:ss").alias("start_time"),
+            F.date_format("end_time", "yyyy-MM-dd HH:mm:ss").alias("end_time"),
+            F.array_join("search_keywords", ",").alias("search_keywords")),
+        "session_detail": session_detail(acts, extracted).select(tid, "*"),
+    }
+
+
 def main(argv: list[str] | None = None) -> None:
     from sessionscope.sources.sinks import write_session_aggr_stat
     from sessionscope.sources.tables import read_actions, read_table, read_users
@@ -55,13 +89,26 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--tasks", default="task")
     ap.add_argument("--out", required=True)
     ap.add_argument("--prefilter-users", action="store_true")
+    ap.add_argument("--all-outputs", action="store_true",
+                    help="also write top categories, top sessions, the sample and its actions")
+    ap.add_argument("--extract-per-day", type=int, default=100)
     args = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName("session-stats").getOrCreate()
     params = load_task(read_table(spark, args.tasks), args.task_id)
-    stats = session_stats(read_actions(spark, args.actions), read_users(spark, args.users),
-                          params, args.prefilter_users)
-    write_session_aggr_stat(stats.withColumn("task_id", F.lit(args.task_id).cast("long")), args.out)
+    actions, users = read_actions(spark, args.actions), read_users(spark, args.users)
+    if not args.all_outputs:
+        stats = session_stats(actions, users, params, args.prefilter_users)
+        write_session_aggr_stat(stats.withColumn("task_id", F.lit(args.task_id).cast("long")), args.out)
+        return
+    from sessionscope.sources.sinks import write_by_task
+    outputs = task_outputs(actions, users, params, args.extract_per_day, seed=str(args.task_id))
+    for name, df in outputs.items():
+        if name == "session_aggr_stat":
+            write_session_aggr_stat(df.withColumn("task_id", F.lit(args.task_id).cast("long")),
+                                    f"{args.out}/{name}")
+        else:
+            write_by_task(df, f"{args.out}/{name}")
 
 
 if __name__ == "__main__":

@@ -67,3 +67,12 @@ def test_record_field(spark):
     assert got[0].asDict() == {"sessionid": "s1", "searchKeywords": None, "age": "31", "city": None,
                                "sex": "male", "missing": None, "junk": None, "professional": "x"}
     assert all(v is None for v in got[1].asDict().values())
+
+
+def test_today_and_yesterday(spark):
+    import datetime as dt
+
+    from sessionscope.functions.timefmt import today, yesterday
+    row = spark.range(1).select(today().alias("t"), yesterday().alias("y")).first()
+    t = dt.date.fromisoformat(row.t)
+    assert dt.date.fromisoformat(row.y) == t - dt.timedelta(days=1)
