@@ -22,6 +22,7 @@ coalesce it; both see the same partition ids.
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
@@ -58,9 +59,10 @@ def _previous_in_partition(key: str, carry: list[str], prefix: str):
                 prev = pa.concat_arrays([heads[c], col.slice(0, n - 1)])
                 cols.append(pc.if_else(same, prev, pa.nulls(n, col.type)))
                 out_names.append(prefix + c)
-            first = [tail is None] + [False] * (n - 1)
-            cols.append(pa.array([pid] * n, pa.int32()))
-            cols.append(pa.array(first, pa.bool_()))
+            first = np.zeros(n, dtype=bool)
+            first[0] = tail is None
+            cols.append(pa.array(np.full(n, pid, dtype=np.int32)))
+            cols.append(pa.array(first))
             out_names += [PID, FIRST]
             yield pa.RecordBatch.from_arrays(cols, names=out_names)
             tail = (keys.slice(n - 1, 1),
