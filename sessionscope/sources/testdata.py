@@ -91,10 +91,12 @@ def spread(df: DataFrame) -> DataFrame:
     round-robin repartition spreads the per-row work; a real action log
     (many files, many row groups) has enough splits and is left as it is.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()       # plans the scan; runs no job
+    except Exception:                            # e.g. a Spark Connect session
+        return df
+    return df.repartition(cores) if splits < cores else df
 
 
 def load_actions(spark: SparkSession, sf_dir: str, clock: str = "minute",
