@@ -36,13 +36,20 @@ def random_extract(sessions: DataFrame, per_day: int, seed: str = "0") -> DataFr
     w = Window.partitionBy("date_hour").orderBy("_rank_key", "session_id")
     ranked = (keyed.withColumn("rank", F.row_number().over(w))
               .where(F.col("rank") <= cap))
-    # one row per start hour of the sampled range
-    return (ranked.join(F.broadcast(quotas), "date_hour")
+    # one row per start hour; an aggregate's output, so adaptive execution
+    # knows its size and broadcasts it when under the threshold
+    return (ranked.join(quotas, "date_hour")
             .where(F.col("rank") <= F.col("quota"))
             .drop("_day", "_rank_key"))
 
 
 def session_detail(actions: DataFrame, extracted: DataFrame) -> DataFrame:
-    """All actions of the extracted sessions. The sample holds at most
-    ``max(1, per_day)`` sessions per hour of the range, so it is broadcast."""
-    return actions.join(F.broadcast(extracted.select("session_id")), "session_id", "left_semi")
+    """All actions of the extracted sessions.
+
+    The sample holds at most ``max(1, per_day)`` sessions per start hour, but
+    the number of hours grows with the range, so no broadcast is forced: the
+    sample is the output of a shuffle stage, adaptive execution measures it
+    and broadcasts it only under ``spark.sql.adaptive.autoBroadcastJoinThreshold``;
+    otherwise both sides are shuffled on ``session_id``.
+    """
+    return actions.join(extracted.select("session_id"), "session_id", "left_semi")
