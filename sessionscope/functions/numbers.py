@@ -56,6 +56,9 @@ def ratio_half_up(part: str, total: str) -> Column:
 
     ``part`` and ``total`` name non-negative integer columns (or are SQL
     expressions over them). One SQL expression keeps plan building cheap.
+    The midpoint table covers quotients up to 1, which every bucket ratio is;
+    a larger quotient (a page-flow step can exceed its base) is rounded
+    exactly half-up.
     """
     return F.expr(_ratio_sql(f"CAST({part} AS BIGINT)", f"CAST({total} AS BIGINT)", spark=True))
 

@@ -9,7 +9,7 @@ from sessionscope.functions.timefmt import (
 )
 
 
-def reference_round(k: int, n: int) -> float:
+def binary_half_up(k: int, n: int) -> float:
     """Half-up to two places applied to the binary double k / n."""
     return float(Decimal(k / n).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP))
 
@@ -20,7 +20,7 @@ def test_ratio_matches_binary_half_up_for_all_small_pairs(spark):
              .where("k <= n"))
     got = pairs.select("k", "n", ratio_half_up("k", "n").alias("r")).collect()
     assert len(got) == sum(n + 1 for n in range(1, 401))
-    bad = [(r.k, r.n, r.r) for r in got if r.r != reference_round(r.k, r.n)]
+    bad = [(r.k, r.n, r.r) for r in got if r.r != binary_half_up(r.k, r.n)]
     assert bad == []
 
 
