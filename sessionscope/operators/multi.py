@@ -2,10 +2,12 @@
 
 The task table is parsed by Spark (``task_param_columns``). Every task's
 date range is expanded to (task_id, date) rows — tasks × days, checked
-before it is broadcast — and equi-joined to the actions on ``date``, so the
-range condition never becomes a nested-loop join. Sessions are rolled up
-per (task, session), joined to users, filtered by column-to-column
-predicates against the task's parameters and counted per task. A task
+before it is broadcast — and equi-joined on ``date``, so the range
+condition never becomes a nested-loop join. The actions are first rolled up
+per (session, day), so what overlapping tasks replicate is session-days, not
+actions; the day partials are combined per (task, session), joined to users,
+filtered by column-to-column predicates against the task's parameters and
+counted per task. A task
 whose filters keep nothing still gets its row (count 0, NULL ratios).
 """
 
@@ -14,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sessionscope.functions.timefmt import seconds_between
 from sessionscope.operators.sessions import rollup_sessions
 from sessionscope.operators.stats import bucket_counts, ratios_from_counts
 from sessionscope.sources.tables import USER_COLUMNS
@@ -67,8 +70,18 @@ def multi_task_sessions(actions: DataFrame, users: DataFrame, tasks: DataFrame)
     small = task_days <= MAX_BROADCAST_TASK_DAYS        # measured above, not estimated
     if small:
         days = F.broadcast(days)
-    acts = actions.where(F.col("session_id").isNotNull()).join(days, "date")
-    sessions = rollup_sessions(acts, keys=("task_id",))
+    # Pre-aggregate to one row per (session, day) before the tasks replicate
+    # it: overlapping tasks multiply session-days, not actions.
+    daily = rollup_sessions(actions.where(F.col("date").isNotNull()), keys=("date",))
+    per_task = daily.join(days, "date")
+    sessions = (per_task.groupBy("task_id", "session_id")
+                .agg(F.min("user_id").alias("user_id"),
+                     F.sort_array(F.array_distinct(F.flatten(F.collect_list("search_keywords")))).alias("search_keywords"),
+                     F.sort_array(F.array_distinct(F.flatten(F.collect_list("click_category_ids")))).alias("click_category_ids"),
+                     F.min("start_time").alias("start_time"),
+                     F.max("end_time").alias("end_time"),
+                     F.sum("step_length").alias("step_length"))
+                .withColumn("visit_length", seconds_between(F.col("start_time"), F.col("end_time"))))
     records = sessions.join(users.select(*USER_COLUMNS), "user_id")
     params = parsed.select("task_id", *[F.col(c) for c in PARAM_COLUMNS if c != "sex"],
                            F.col("sex").alias("sex_param"))
