@@ -60,10 +60,8 @@ FILTER_TASKS: dict[str, TaskParams] = {
 
 # ------------------------------------------------------------ spark side --
 def _actions(spark, sf, p: TaskParams | None = None, clock="minute"):
-    if p is None:
-        return load_actions(spark, sf, clock)
-    return actions_in_range(load_actions(spark, sf, clock, p.start_date, p.end_date),
-                            p.start_date, p.end_date)
+    acts = load_actions(spark, sf, clock)
+    return acts if p is None else actions_in_range(acts, p.start_date, p.end_date)
 
 
 def _render_actions(df: DataFrame) -> DataFrame:

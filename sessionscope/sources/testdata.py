@@ -15,12 +15,8 @@ same rows.
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from sessionscope.sources.tables import as_date
 
 CLOCKS = ("second", "minute")
 
@@ -82,19 +78,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def load_actions(spark: SparkSession, sf_dir: str, clock: str = "minute",
-                 start: str | dt.date | None = None, end: str | dt.date | None = None) -> DataFrame:
-    """The action log; a date range is applied to the raw ``ts`` so that it
-    reaches the parquet scan as a pushed filter (a stored log would be
-    partitioned by date and pruned instead)."""
-    events = _table(spark, sf_dir, "events")
-    if start is not None:
-        lo = F.lit(as_date(start)).cast("timestamp_ntz")
-        events = events.where(F.col("ts") >= lo)
-    if end is not None:
-        hi = F.lit(as_date(end) + dt.timedelta(days=1)).cast("timestamp_ntz")
-        events = events.where(F.col("ts") < hi)
-    return actions_from_events(events, clock)
+def load_actions(spark: SparkSession, sf_dir: str, clock: str = "minute") -> DataFrame:
+    """The action log. A later ``date`` range predicate needs no help: the
+    optimizer rewrites ``to_date(ts) BETWEEN a AND b`` into bounds on ``ts``
+    and pushes them into the parquet scan (``PushedFilters``)."""
+    return actions_from_events(_table(spark, sf_dir, "events"), clock)
 
 
 def load_users(spark: SparkSession, sf_dir: str) -> DataFrame:
