@@ -47,3 +47,14 @@ def test_job_writes_all_outputs(spark):
     sample = spark.read.parquet(f"{root}/out/session_random_extract").count()
     detail = spark.read.parquet(f"{root}/out/session_detail").count()
     assert 1 <= sample <= 4 and detail == 3 * sample
+
+
+def test_read_table_prefers_catalog_names(spark):
+    from sessionscope.sources.tables import read_actions, read_users
+    rows = [action("a", 1, 0, keyword="x"), action("a", 1, 9)]
+    spark.createDataFrame(rows, RAW_ACTION_SCHEMA).createOrReplaceTempView("user_visit_action")
+    spark.createDataFrame([user(1)], USER_SCHEMA).createOrReplaceTempView("user_info")
+    acts = read_actions(spark, "user_visit_action")
+    assert acts.count() == 2 and dict(acts.dtypes)["action_time"] == "timestamp_ntz"
+    assert dict(acts.dtypes)["date"] == "date" and acts.where("action_id IS NULL").count() == 0
+    assert read_users(spark, "user_info").first().user_id == 1
