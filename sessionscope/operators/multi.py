@@ -22,16 +22,18 @@ from sessionscope.operators.stats import bucket_counts, ratios_from_counts
 from sessionscope.sources.tables import USER_COLUMNS
 from sessionscope.sources.tasks import task_param_columns
 
-MAX_BROADCAST_TASK_DAYS = 1_000_000
+MAX_BROADCAST_TASK_DAYS = 1_000_000           # (task, day) rows of ~16 bytes
+MAX_BROADCAST_PARAM_BYTES = 256 * 1024 * 1024  # parsed task parameters
 
 PARAM_COLUMNS = ("start_age", "end_age", "professionals", "cities", "sex", "keywords", "category_ids")
 
 
-def parsed_tasks(tasks: DataFrame) -> tuple[DataFrame, int]:
-    """Typed parameters of every task and the number of (task, day) rows.
+def parsed_tasks(tasks: DataFrame) -> tuple[DataFrame, int, int]:
+    """Typed parameters of every task, the number of (task, day) rows and
+    the total parameter text size.
 
-    One small job validates all tasks and measures the expansion; it raises
-    on an invalid task.
+    One small job validates all tasks and measures both; it raises on an
+    invalid task.
     """
     parsed = task_param_columns(tasks)
     check = parsed.agg(
@@ -40,10 +42,11 @@ def parsed_tasks(tasks: DataFrame) -> tuple[DataFrame, int]:
                               F.col("param_error")))).alias("error"),
         F.coalesce(F.sum(F.greatest(F.datediff("end_date", "start_date") + 1, F.lit(0))),
                    F.lit(0)).alias("task_days"),
+        F.coalesce(F.sum(F.length("task_param") + 16), F.lit(0)).alias("param_bytes"),
     ).first()
     if check["error"]:
         raise ValueError(check["error"])
-    return parsed, int(check["task_days"])
+    return parsed, int(check["task_days"]), int(check["param_bytes"])
 
 
 def _absent_or(value: Column, pred: Column) -> Column:
@@ -64,11 +67,10 @@ def task_predicate() -> Column:
 
 def multi_task_sessions(actions: DataFrame, users: DataFrame, tasks: DataFrame) -> DataFrame:
     """Filtered session records of every task, keyed by (task_id, session_id)."""
-    parsed, task_days = parsed_tasks(tasks)
+    parsed, task_days, param_bytes = parsed_tasks(tasks)
     days = (parsed.where(F.col("start_date") <= F.col("end_date"))
             .select("task_id", F.explode(F.sequence("start_date", "end_date")).alias("date")))
-    small = task_days <= MAX_BROADCAST_TASK_DAYS        # measured above, not estimated
-    if small:
+    if task_days <= MAX_BROADCAST_TASK_DAYS:            # measured above, not estimated
         days = F.broadcast(days)
     # Pre-aggregate to one row per (session, day) before the tasks replicate
     # it: overlapping tasks multiply session-days, not actions.
@@ -85,7 +87,9 @@ def multi_task_sessions(actions: DataFrame, users: DataFrame, tasks: DataFrame)
     records = sessions.join(users.select(*USER_COLUMNS), "user_id")
     params = parsed.select("task_id", *[F.col(c) for c in PARAM_COLUMNS if c != "sex"],
                            F.col("sex").alias("sex_param"))
-    if small:                                           # tasks <= task days
+    # a parsed value takes at most 8x its text (an id "1," becomes an 8-byte
+    # long plus an 8-byte offset), so this bounds the broadcast relation
+    if 8 * param_bytes <= MAX_BROADCAST_PARAM_BYTES:
         params = F.broadcast(params)
     return (records.join(params, "task_id")
             .where(task_predicate())
