@@ -57,7 +57,8 @@ def bucket_condition(value: Column, bucket: Bucket) -> Column:
 
 
 def bucket_sql(value: str, bucket: Bucket) -> str:
-    """The same predicate as SQL text, for oracle queries."""
+    """The same predicate as SQL text (valid in Spark SQL and DuckDB); the
+    statistics use it inside ``count_if`` and the oracles inside ``FILTER``."""
     if bucket.high is None:
         return f"{value} >= {bucket.low}"
     return f"{value} BETWEEN {bucket.low} AND {bucket.high}"

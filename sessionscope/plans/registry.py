@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 
 from sessionscope.functions.buckets import STEP_BUCKETS, VISIT_BUCKETS, bucket_sql
 from sessionscope.functions.numbers import ratio_half_up_sql
-from sessionscope.operators import filters as flt
 from sessionscope.operators.sessions import (
     actions_in_range, render_lists, rollup_sessions, session_records,
 )

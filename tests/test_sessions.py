@@ -3,7 +3,6 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from fixtures import action, actions_df, user, users_df
 from sessionscope.operators.sessions import rollup_sessions, with_users
