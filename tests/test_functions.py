@@ -76,3 +76,17 @@ def test_today_and_yesterday(spark):
     row = spark.range(1).select(today().alias("t"), yesterday().alias("y")).first()
     t = dt.date.fromisoformat(row.t)
     assert dt.date.fromisoformat(row.y) == t - dt.timedelta(days=1)
+
+
+def test_decode_sessions_agrees_with_record_field(spark):
+    from sessionscope.functions.records import SESSION_RECORD_FIELDS, decode_sessions
+    recs = ["sessionid=s1|searchKeywords=|age=31|city=a=b|sex=|sex=male|age=40|junk|professional=x|",
+            "age=7", "", "visitLength=12|stepLength=3|clickCategoryIds=1,2|city=|city=c", None,
+            "|sessionid=|sessionid=z=|sessionid=ok"]
+    df = spark.createDataFrame([(r,) for r in recs], "record string")
+    got = [r.asDict() for r in decode_sessions(df).collect()]
+    want = [r.asDict() for r in df.select(*[
+        record_field(F.col("record"), f).try_cast(t).alias(c)
+        for f, (c, t) in SESSION_RECORD_FIELDS.items()]).collect()]
+    assert got == want
+    assert got[0]["age"] == 31 and got[0]["city"] is None and got[5]["session_id"] == "ok"
