@@ -4,7 +4,7 @@ expressions, so they stay inside whole-stage code generation."""
 
 from sessionscope.functions.buckets import STEP_BUCKETS, VISIT_BUCKETS, Bucket, bucket_condition
 from sessionscope.functions.numbers import ratio_half_up
-from sessionscope.functions.records import encode_record, record_field
+from sessionscope.functions.records import encode_record, record_field, set_record_field
 from sessionscope.functions.timefmt import (
     date_hour, date_key, format_date, format_time, minute_key, parse_action_time,
     parse_date_key, seconds_between, time_after, time_before,
@@ -12,7 +12,7 @@ from sessionscope.functions.timefmt import (
 
 __all__ = [
     "Bucket", "STEP_BUCKETS", "VISIT_BUCKETS", "bucket_condition", "ratio_half_up",
-    "encode_record", "record_field", "date_hour", "date_key", "format_date", "format_time",
+    "encode_record", "record_field", "set_record_field", "date_hour", "date_key", "format_date", "format_time",
     "minute_key", "parse_action_time", "parse_date_key", "seconds_between", "time_after",
     "time_before",
 ]

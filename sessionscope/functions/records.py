@@ -44,8 +44,9 @@ SESSION_RECORD_FIELDS = {
 
 
 def _field_pattern(field: str) -> str:
-    # a whole part "field=value": value non-empty, without "|" or "="
-    return r"(?:^|\|)" + re.escape(field) + r"=([^|=]+)(?:\||$)"
+    # a whole part "field=value": value non-empty and without "|" or "=";
+    # trailing "=" are allowed, since splitting drops trailing empty pieces
+    return r"(?:^|\|)" + re.escape(field) + r"=([^|=]+)=*(?:\||$)"
 
 
 def record_field(record: Column, field: str) -> Column:
@@ -54,6 +55,17 @@ def record_field(record: Column, field: str) -> Column:
     return F.nullif(F.regexp_extract(record, _field_pattern(field), 1), F.lit(""))
 
 
+def set_record_field(record: Column, field: str, value: Column) -> Column:
+    """Replace the first part named ``field`` (the text before its first
+    ``=``) by ``field=value``; a record without such a part is unchanged."""
+    parts = F.split(record, r"\|")
+    names = F.transform(parts, lambda p: F.substring_index(p, KEY_VALUE_SEPARATOR, 1))
+    at = F.array_position(names, F.lit(field))
+    new_part = F.concat(F.lit(f"{field}{KEY_VALUE_SEPARATOR}"), F.coalesce(value.cast("string"), F.lit("")))
+    replaced = F.transform(parts, lambda p, i: F.when(i == at - 1, new_part).otherwise(p))
+    return F.when(at > 0, F.array_join(replaced, FIELD_SEPARATOR)).otherwise(record)
+
+
 def encode_record(fields: dict[str, Column]) -> Column:
     """Join ``key=value`` pairs with ``|``; NULL values become empty text."""
     parts = [F.concat(F.lit(f"{key}{KEY_VALUE_SEPARATOR}"), F.coalesce(value.cast("string"), F.lit("")))

@@ -89,4 +89,16 @@ def test_decode_sessions_agrees_with_record_field(spark):
         record_field(F.col("record"), f).try_cast(t).alias(c)
         for f, (c, t) in SESSION_RECORD_FIELDS.items()]).collect()]
     assert got == want
-    assert got[0]["age"] == 31 and got[0]["city"] is None and got[5]["session_id"] == "ok"
+    assert got[0]["age"] == 31 and got[0]["city"] is None and got[5]["session_id"] == "z"
+
+
+def test_record_field_trailing_equals_and_set_field(spark):
+    from sessionscope.functions.records import set_record_field
+    df = spark.createDataFrame([("a=1|b=2=|c==3|a=9",), ("x=1",), (None,)], "r string")
+    row = df.select(record_field(F.col("r"), "b").alias("b"), record_field(F.col("r"), "c").alias("c"),
+                    set_record_field(F.col("r"), "a", F.lit(5)).alias("s1"),
+                    set_record_field(F.col("r"), "zz", F.lit(5)).alias("s2")).collect()
+    assert (row[0].b, row[0].c) == ("2", None)          # "b=2=" reads 2, "c==3" is unreadable
+    assert row[0].s1 == "a=5|b=2=|c==3|a=9"             # only the first part named a
+    assert row[0].s2 == "a=1|b=2=|c==3|a=9"             # unknown field: unchanged
+    assert row[1].s1 == "x=1" and row[2].s1 is None
