@@ -83,7 +83,7 @@ def main(argv: list[str] | None = None) -> None:
     from sessionscope.sources.tasks import load_task
 
     ap = argparse.ArgumentParser(description="session statistics of one task")
-    ap.add_argument("task_id", type=int)
+    ap.add_argument("task_ids", help="a task id, or several separated by commas (one job for all)")
     ap.add_argument("--actions", default="user_visit_action")
     ap.add_argument("--users", default="user_info")
     ap.add_argument("--tasks", default="task")
@@ -95,8 +95,16 @@ def main(argv: list[str] | None = None) -> None:
     args = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName("session-stats").getOrCreate()
-    params = load_task(read_table(spark, args.tasks), args.task_id)
+    task_ids = [int(t) for t in args.task_ids.split(",") if t.strip()]
+    tasks = read_table(spark, args.tasks)
     actions, users = read_actions(spark, args.actions), read_users(spark, args.users)
+    if len(task_ids) > 1:
+        from sessionscope.operators.multi import multi_task_stat
+        wanted = tasks.where(F.col("task_id").isin(task_ids))
+        write_session_aggr_stat(multi_task_stat(actions, users, wanted), args.out)
+        return
+    args.task_id = task_ids[0]
+    params = load_task(tasks, args.task_id)
     if not args.all_outputs:
         stats = session_stats(actions, users, params, args.prefilter_users)
         write_session_aggr_stat(stats.withColumn("task_id", F.lit(args.task_id).cast("long")), args.out)

@@ -34,6 +34,17 @@ def test_job_writes_the_task_row(spark):
     assert len(rows) == 1 and rows[0].task_id == 7 and rows[0].session_count == 4   # user 2 is 70
 
 
+def test_job_runs_several_tasks_at_once(spark):
+    root = tempfile.mkdtemp(prefix="sessionscope-job-")
+    _inputs(spark, root)
+    spark.createDataFrame([(8, '{"startDate":["2024-01-01"],"endDate":["2024-01-01"],"sex":["female"]}')],
+                          "task_id long, task_param string").write.mode("append").parquet(f"{root}/tasks")
+    main(["7,8", "--actions", f"{root}/actions", "--users", f"{root}/users", "--tasks", f"{root}/tasks",
+          "--out", f"{root}/out"])
+    rows = {r.task_id: r.session_count for r in spark.read.parquet(f"{root}/out").collect()}
+    assert rows == {7: 4, 8: 2}
+
+
 def test_job_writes_all_outputs(spark):
     root = tempfile.mkdtemp(prefix="sessionscope-job-")
     _inputs(spark, root)
