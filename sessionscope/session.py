@@ -49,11 +49,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, setting one only when unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as given; a scratch folder is chosen only for local runs and tests.
+    as given; a scratch folder is chosen only for local-mode runs and tests.
+    A cluster without one is an error: a machine-local folder would not
+    survive the loss of the executor that wrote it.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or \
         spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
         configured = tempfile.mkdtemp(prefix="sessionscope-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     spark.sparkContext.setCheckpointDir(configured)
