@@ -48,3 +48,10 @@ def test_task_id_from_args():
         task_id_from_args([])
     with pytest.raises(ValueError):
         task_id_from_args(["x"])
+
+
+def test_numbers_and_empty_arrays(spark):
+    t = tasks(spark, (1, '{"startDate":["2024-01-01"],"endDate":["2024-01-31"],"startAge":[20],"endAge":[30],'
+                         '"categoryIds":[5],"cities":[]}'))
+    p = load_task(t, 1)
+    assert (p.start_age, p.end_age, p.category_ids, p.cities) == (20, 30, (5,), None)
