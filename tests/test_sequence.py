@@ -30,3 +30,13 @@ def test_hot_session_is_spread_over_partitions(spark):
     ranged = acts.repartitionByRange(8, "session_id", "action_time", "action_id")
     sizes = [r.c for r in ranged.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("c")).collect()]
     assert len(sizes) == 8 and max(sizes) < 2 * (10000 / 8)
+
+
+def test_empty_input_and_more_partitions_than_rows(spark):
+    df = spark.createDataFrame([("s", 3, 30), ("s", 1, 10), ("s", 2, 20), ("t", 1, 5)],
+                               "session_id string, action_id long, page_id long")
+    got = with_previous(df, "session_id", ["action_id"], ["page_id"], num_partitions=16)
+    assert sorted((r.session_id, r.action_id, r.prev_page_id) for r in got.collect()) == [
+        ("s", 1, None), ("s", 2, 10), ("s", 3, 20), ("t", 1, None)]
+    empty = with_previous(df.where("false"), "session_id", ["action_id"], ["page_id"], num_partitions=4)
+    assert empty.collect() == [] and "prev_page_id" in empty.columns
