@@ -31,10 +31,10 @@ _DEFAULTS = {
 
 
 def local_session(cores: int = 8, shuffle_partitions: int | None = None,
-                  app: str = "sessionscope") -> SparkSession:
+                  app: str = "sessionscope", conf: dict[str, str] | None = None) -> SparkSession:
     """A ``local[cores]`` session configured like our cluster jobs."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
-    for key, value in _DEFAULTS.items():
+    for key, value in {**_DEFAULTS, **(conf or {})}.items():
         builder = builder.config(key, value)
     builder = builder.config("spark.sql.shuffle.partitions",
                              str(shuffle_partitions or cores))

@@ -60,3 +60,21 @@ def read_tasks_jdbc(spark: SparkSession, url: str, properties: dict[str, str],
     if task_ids:
         tasks = tasks.where(F.col("task_id").isin(task_ids))   # pushed to the database
     return tasks
+
+
+def save_action_log(actions: DataFrame, table: str, buckets: int, mode: str = "overwrite") -> None:
+    """Store the action log as a catalog table laid out for the session job:
+    partitioned by ``date`` (a date range prunes whole folders) and bucketed
+    and sorted by ``session_id`` (the session rollup then reads each
+    session's actions from one bucket and needs no shuffle at all).
+
+    The price is that a session's actions all sit in one bucket, read by one
+    task. Where one session can hold a large share of the log, read the
+    table with ``spark.sql.sources.bucketing.enabled=false``: the files are
+    then split like any others and the rollup goes back to partial
+    aggregation before a shuffle, which no hot session can unbalance."""
+    (actions.write.mode(mode)
+     .partitionBy("date")
+     .bucketBy(buckets, "session_id")
+     .sortBy("session_id", "action_time")
+     .saveAsTable(table))

@@ -12,7 +12,11 @@ SF01 = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
+    import tempfile
+
     from sessionscope.session import local_session
-    s = local_session(4, shuffle_partitions=8, app="sessionscope-tests")
+    warehouse = tempfile.mkdtemp(prefix="sessionscope-warehouse-")
+    s = local_session(4, shuffle_partitions=8, app="sessionscope-tests",
+                      conf={"spark.sql.warehouse.dir": warehouse})
     yield s
     s.stop()

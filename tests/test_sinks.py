@@ -23,3 +23,27 @@ def test_rerun_of_a_task_replaces_its_row(spark):
     assert rows == [(1, 11), (2, 20)]
     stored = spark.read.parquet(out).columns
     assert "1s_3s" in stored and "60" in stored and "visit_length_1s_3s_ratio" not in stored
+
+
+def test_bucketed_action_log_makes_the_rollup_shuffle_free(spark):
+    import contextlib
+    import io
+
+    from conftest import SF01
+    from sessionscope.operators.sessions import actions_in_range, rollup_sessions
+    from sessionscope.sources.sinks import save_action_log
+    from sessionscope.sources.testdata import load_actions
+
+    acts = load_actions(spark, SF01, "minute")
+    save_action_log(acts, "uva_bucketed", buckets=8)
+    stored = spark.table("uva_bucketed")
+    rolled = rollup_sessions(actions_in_range(stored, "2024-01-05", "2024-01-09"))
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        rolled.explain()
+    plan = buf.getvalue()
+    assert "Exchange" not in plan, plan
+    assert "PartitionFilters: [isnotnull(date" in plan
+    expect = rollup_sessions(actions_in_range(acts, "2024-01-05", "2024-01-09"))
+    key = lambda r: r.session_id
+    assert sorted(rolled.collect(), key=key) == sorted(expect.select(*rolled.columns).collect(), key=key)
