@@ -38,6 +38,7 @@ from sessionscope.sources.testdata import USERS_SQL, actions_sql, load_actions,
 # The month the test tables cover, and the parameters of the filter queries.
 MONTH = TaskParams.of("2024-01-01", "2024-01-31", task_id=1)
 TWO_WEEKS = TaskParams.of("2024-01-08", "2024-01-21", task_id=2)
+NO_ACTIONS = TaskParams.of("2023-06-01", "2023-06-30", task_id=9)     # a month without actions
 FILTER_TASKS: dict[str, TaskParams] = {
     "filter_age": TaskParams.of("2024-01-01", "2024-01-31", start_age=25, end_age=40),
     "filter_professional": TaskParams.of("2024-01-01", "2024-01-31", professionals="BUILDING,FURNITURE"),
@@ -108,6 +109,12 @@ def q_session_aggr_stat(spark, sf):
         filtered_sessions(_actions(spark, sf), load_users(spark, sf), MONTH), MONTH.task_id)
 
 
+def q_session_aggr_stat_empty(spark, sf):
+    """A task whose range holds no action still gets its row: count 0, NULL ratios."""
+    return session_aggr_stat(
+        filtered_sessions(_actions(spark, sf), load_users(spark, sf), NO_ACTIONS), NO_ACTIONS.task_id)
+
+
 # ----------------------------------------------------------- oracle side --
 def _d(x: dt.date) -> str:
     return f"DATE '{x.isoformat()}'"
@@ -220,6 +227,7 @@ def _oracles() -> dict[str, str]:
         "visit_histogram": _histogram_sql("visit", VISIT_BUCKETS),
         "step_histogram": _histogram_sql("step", STEP_BUCKETS),
         "session_aggr_stat": _stat_sql(MONTH),
+        "session_aggr_stat_empty": _stat_sql(NO_ACTIONS),
     }
     for name, p in FILTER_TASKS.items():
         o[name] = with_sql(uva_cte(), USERS_CTE, sessions_cte(p), RECORDS_CTE, filtered_cte(p),
@@ -474,6 +482,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "visit_histogram": _histogram("visit", VISIT_BUCKETS),
         "step_histogram": _histogram("step", STEP_BUCKETS),
         "session_aggr_stat": q_session_aggr_stat,
+        "session_aggr_stat_empty": q_session_aggr_stat_empty,
         "decode_session_records": q_decode_session_records,
         "action_gaps": q_action_gaps,
         "sessions_per_hour": q_sessions_per_hour,
