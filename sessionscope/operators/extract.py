@@ -20,6 +20,8 @@ from sessionscope.functions.timefmt import date_hour, format_date
 
 
 def random_extract(sessions: DataFrame, per_day: int, seed: str = "0") -> DataFrame:
+    """Sessions sampled per start hour, with ``date_hour``, ``rank`` and
+    ``quota`` columns added (see the module notes for the rule)."""
     if per_day < 0:
         raise ValueError("per_day must be non-negative")
     keyed = sessions.withColumns({
