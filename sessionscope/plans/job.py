@@ -45,7 +45,9 @@ def session_stats(actions: DataFrame, users: DataFrame, params: TaskParams,
 
 def task_outputs(actions: DataFrame, users: DataFrame, params: TaskParams, extract_per_day: int = 100,
                  seed: str = "0", top_n: int = 10, checkpoint: bool = True) -> dict[str, DataFrame]:
-    """Every result of a task from one set of filtered sessions.
+    """Every result of a task from one set of filtered sessions (and, when
+    the task names a ``targetPageFlow``, its page-flow conversion over the
+    task's actions).
 
     The filtered sessions feed five results; with ``checkpoint`` they are
     written once to the cluster's checkpoint folder (``spark.checkpoint.dir``,
@@ -65,7 +67,7 @@ def task_outputs(actions: DataFrame, users: DataFrame, params: TaskParams, extra
     counts = counts_of_sessions(acts, sessions)
     top = top_categories(counts, top_n)
     extracted = random_extract(sessions, extract_per_day, seed)
-    return {
+    outputs = {
         "session_aggr_stat": session_aggr_stat(sessions, params.task_id),
         "top10_category": top.select(tid, "*"),
         "top10_category_session": top_sessions_per_category(counts, top, top_n).select(tid, "*"),
@@ -75,6 +77,10 @@ def task_outputs(actions: DataFrame, users: DataFrame, params: TaskParams, extra
             F.array_join("search_keywords", ",").alias("search_keywords")),
         "session_detail": session_detail(acts, extracted).select(tid, "*"),
     }
+    if params.target_page_flow and len(params.target_page_flow) >= 2:
+        from sessionscope.operators.flow import page_flow_conversion
+        outputs["page_flow_conversion"] = page_flow_conversion(acts, params.target_page_flow).select(tid, "*")
+    return outputs
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -18,7 +18,8 @@ def _inputs(spark, root):
     spark.createDataFrame([user(0), user(1, sex="female"), user(2, age=70)], USER_SCHEMA).write.parquet(f"{root}/users")
     spark.createDataFrame(
         [(7, "t", None, None, None, None, None,
-          '{"startDate":["2024-01-01"],"endDate":["2024-01-01"],"startAge":["18"],"endAge":["60"]}')],
+          '{"startDate":["2024-01-01"],"endDate":["2024-01-01"],"startAge":["18"],"endAge":["60"],'
+          '"targetPageFlow":["0,1,2"]}')],
         "task_id long, task_name string, create_time string, start_time string, finish_time string, "
         "task_type string, task_status string, task_param string").write.parquet(f"{root}/tasks")
 
@@ -51,8 +52,10 @@ def test_job_writes_all_outputs(spark):
     main(["7", "--actions", f"{root}/actions", "--users", f"{root}/users", "--tasks", f"{root}/tasks",
           "--out", f"{root}/out", "--all-outputs", "--extract-per-day", "2"])
     names = sorted(os.listdir(f"{root}/out"))
-    assert names == ["session_aggr_stat", "session_detail", "session_random_extract", "top10_category",
-                     "top10_category_session"]
+    assert names == ["page_flow_conversion", "session_aggr_stat", "session_detail", "session_random_extract",
+                     "top10_category", "top10_category_session"]
+    flow = spark.read.parquet(f"{root}/out/page_flow_conversion").orderBy("step").collect()
+    assert [r.page_pair for r in flow] == ["0_1", "1_2"] and flow[0].task_id == 7
     top = spark.read.parquet(f"{root}/out/top10_category").collect()
     assert sorted(r.category_id for r in top) == [0, 1, 3, 4]
     sample = spark.read.parquet(f"{root}/out/session_random_extract").count()
