@@ -98,9 +98,13 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--all-outputs", action="store_true",
                     help="also write top categories, top sessions, the sample and its actions")
     ap.add_argument("--extract-per-day", type=int, default=100)
+    ap.add_argument("--hive", action="store_true", help="resolve table names in the Hive metastore")
     args = ap.parse_args(argv)
 
-    spark = SparkSession.builder.appName("session-stats").getOrCreate()
+    builder = SparkSession.builder.appName("session-stats")
+    if args.hive:
+        builder = builder.enableHiveSupport()
+    spark = builder.getOrCreate()
     task_ids = [int(t) for t in args.task_ids.split(",") if t.strip()]
     tasks = read_table(spark, args.tasks)
     actions, users = read_actions(spark, args.actions), read_users(spark, args.users)
