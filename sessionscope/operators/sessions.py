@@ -16,7 +16,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sessionscope.functions.timefmt import seconds_between
+from sessionscope.functions.timefmt import format_time, seconds_between
 from sessionscope.sources.tables import USER_COLUMNS, date_range_predicate
 
 
@@ -78,5 +78,5 @@ def render_lists(sessions: DataFrame) -> DataFrame:
         out = out.withColumn("click_category_ids", F.array_join("click_category_ids", ","))
     for c in ("start_time", "end_time"):
         if c in sessions.columns:
-            out = out.withColumn(c, F.date_format(c, "yyyy-MM-dd HH:mm:ss"))
+            out = out.withColumn(c, format_time(F.col(c)))
     return out

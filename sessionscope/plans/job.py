@@ -54,6 +54,7 @@ def task_outputs(actions: DataFrame, users: DataFrame, params: TaskParams, extra
     a reliable checkpoint, not a local one), so later results neither
     recompute the rollup nor depend on its lineage when executors are lost.
     """
+    from sessionscope.functions.timefmt import format_time
     from sessionscope.operators.extract import random_extract, session_detail
     from sessionscope.operators.topn import counts_of_sessions, top_categories, top_sessions_per_category
 
@@ -72,8 +73,8 @@ def task_outputs(actions: DataFrame, users: DataFrame, params: TaskParams, extra
         "top10_category": top.select(tid, "*"),
         "top10_category_session": top_sessions_per_category(counts, top, top_n).select(tid, "*"),
         "session_random_extract": extracted.select(
-            tid, "session_id", F.date_format("start_time", "yyyy-MM-dd HH:mm:ss").alias("start_time"),
-            F.date_format("end_time", "yyyy-MM-dd HH:mm:ss").alias("end_time"),
+            tid, "session_id", format_time(F.col("start_time")).alias("start_time"),
+            format_time(F.col("end_time")).alias("end_time"),
             F.array_join("search_keywords", ",").alias("search_keywords")),
         "session_detail": session_detail(acts, extracted).select(tid, "*"),
     }

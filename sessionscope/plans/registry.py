@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from sessionscope.functions.buckets import STEP_BUCKETS, VISIT_BUCKETS, bucket_sql
 from sessionscope.functions.numbers import ratio_half_up_sql
+from sessionscope.functions.timefmt import format_action_time, format_date, format_time
 from sessionscope.operators.sessions import (
     actions_in_range, render_lists, rollup_sessions, session_records,
 )
@@ -66,8 +67,8 @@ def _actions(spark, sf, p: TaskParams | None = None, clock="minute"):
 
 def _render_actions(df: DataFrame) -> DataFrame:
     return df.withColumns({
-        "date": F.date_format("date", "yyyy-MM-dd"),
-        "action_time": F.date_format("action_time", "yyyy-MM-dd HH:mm:ss"),
+        "date": format_date(F.col("date")),
+        "action_time": format_time(F.col("action_time")),
     })
 
 
@@ -272,8 +273,8 @@ def q_raw_action_log(spark, sf):
     """Actions written as the raw text log (one-digit hours) and read back."""
     acts = load_actions(spark, sf, "second")
     raw = acts.withColumns({
-        "date": F.date_format("date", "yyyy-MM-dd"),
-        "action_time": F.date_format("action_time", "yyyy-MM-dd H:mm:ss"),
+        "date": format_date(F.col("date")),
+        "action_time": format_action_time(F.col("action_time")),
     })
     return _render_actions(normalize_actions(raw))
 
@@ -286,8 +287,8 @@ def q_decode_session_records(spark, sf):
 def q_action_gaps(spark, sf):
     gaps = action_gaps(_actions(spark, sf, MONTH, clock="second"))
     return gaps.select("action_id", "session_id",
-                       F.date_format("action_time", "yyyy-MM-dd HH:mm:ss").alias("action_time"),
-                       F.date_format("prev_action_time", "yyyy-MM-dd HH:mm:ss").alias("prev_action_time"),
+                       format_time(F.col("action_time")).alias("action_time"),
+                       format_time(F.col("prev_action_time")).alias("prev_action_time"),
                        "gap_seconds")
 
 

@@ -46,7 +46,7 @@ def actions_from_events(events: DataFrame, clock: str = "minute") -> DataFrame:
         "event_id AS action_id",
         "to_date(ts) AS date",
         "user_id",
-        "concat_ws('_', CAST(user_id AS STRING), date_format(ts, 'yyyyMMdd')) AS session_id",
+        "concat_ws('_', CAST(user_id AS STRING), replace(CAST(to_date(ts) AS STRING), '-', '')) AS session_id",
         "event_id % 10 AS page_id",
         f"timestampadd(SECOND, {secs}, CAST(to_date(ts) AS TIMESTAMP_NTZ)) AS action_time",
         "CASE WHEN event_type = 'view' THEN concat('kw', CAST(k AS STRING)) END AS search_keyword",

@@ -35,8 +35,9 @@ def session_rollup_stream(actions: DataFrame, horizon: str = "1 day",
                           watermark: str = "1 hour") -> DataFrame:
     """Closed sessions of a streaming action log (append mode)."""
     return (actions.where(F.col("session_id").isNotNull())
-            # event time must be a zoned timestamp for the watermark
-            .withColumn("_event_time", F.col("action_time").cast("timestamp"))
+            # the watermark needs a zoned timestamp: read the wall-clock time
+            # as UTC, so windows align with the log's days in any session zone
+            .withColumn("_event_time", F.timestamp_seconds(F.unix_timestamp(F.col("action_time"))))
             .withWatermark("_event_time", watermark)
             .groupBy(F.window("_event_time", horizon).alias("_horizon"), "session_id")
             .agg(F.min("user_id").alias("user_id"),

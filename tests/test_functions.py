@@ -102,3 +102,18 @@ def test_record_field_trailing_equals_and_set_field(spark):
     assert row[0].s1 == "a=5|b=2=|c==3|a=9"             # only the first part named a
     assert row[0].s2 == "a=1|b=2=|c==3|a=9"             # unknown field: unchanged
     assert row[1].s1 == "x=1" and row[2].s1 is None
+
+
+def test_times_do_not_depend_on_the_session_zone(spark):
+    """A wall-clock time in the daylight-saving gap stays what it says."""
+    from sessionscope.functions.timefmt import date_hour, format_action_time, format_time, seconds_between
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = spark.createDataFrame([("2024-03-10 1:30:00", "2024-03-10 2:30:05")], "a string, b string")
+        a, b = parse_action_time(F.col("a")), parse_action_time(F.col("b"))
+        row = df.select(format_time(b).alias("t"), format_action_time(b).alias("r"), date_hour(b).alias("h"),
+                        seconds_between(a, b).alias("d")).first()
+        assert (row.t, row.r, row.h, row.d) == ("2024-03-10 02:30:05", "2024-03-10 2:30:05", "2024-03-10_02", 3605)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
