@@ -11,10 +11,18 @@ from sessionscope.functions.timefmt import (
 from sessionscope.operators.sequence import with_previous
 
 
-def action_gaps(actions: DataFrame, num_partitions: int | None = None) -> DataFrame:
+def action_gaps(actions: DataFrame, num_partitions: int | None = None,
+                keep: list[str] | None = None) -> DataFrame:
     """Every action with ``gap_seconds``: seconds since the previous action
-    of its session (NULL for a session's first action)."""
+    of its session (NULL for a session's first action).
+
+    ``keep`` names the action columns to carry (all by default). The
+    previous-row step is opaque to column pruning, so narrowing here is what
+    keeps unused columns out of its exchange and its Arrow pass.
+    """
     acts = actions.where(F.col("session_id").isNotNull())
+    if keep is not None:
+        acts = acts.select(*dict.fromkeys(["session_id", "action_time", "action_id", *keep]))
     prev = with_previous(acts, "session_id", ["action_time", "action_id"], ["action_time"],
                          num_partitions)
     return prev.withColumn("gap_seconds", seconds_between(F.col("prev_action_time"), F.col("action_time")))

@@ -285,7 +285,7 @@ def q_decode_session_records(spark, sf):
 
 
 def q_action_gaps(spark, sf):
-    gaps = action_gaps(_actions(spark, sf, MONTH, clock="second"))
+    gaps = action_gaps(_actions(spark, sf, MONTH, clock="second"), keep=[])
     return gaps.select("action_id", "session_id",
                        format_time(F.col("action_time")).alias("action_time"),
                        format_time(F.col("prev_action_time")).alias("prev_action_time"),
