@@ -236,7 +236,6 @@ def _oracles() -> dict[str, str]:
     return o
 
 
-
 # ------------------------------------------------ further operations --
 TOP_TASK = TaskParams.of("2024-01-01", "2024-01-31", start_age=20, end_age=55, task_id=4)
 EXTRACT_PER_DAY = 20
