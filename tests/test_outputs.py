@@ -69,3 +69,19 @@ def test_action_gaps(spark):
     got = sorted(((r.session_id, r.gap_seconds) for r in action_gaps(actions_df(spark, rows), 2).collect()),
                  key=repr)
     assert got == sorted([("a", None), ("a", 7), ("a", 13), ("b", None)], key=repr)
+
+
+def test_time_rollups(spark):
+    from sessionscope.operators.rollups import actions_per_minute, daily_rollup, sessions_per_hour
+    rows = [action("a", 1, 0), action("a", 1, 30), action("a", 1, 3700),   # starts 05:00, ends 06:01:40
+            action("b", 2, 65), action("c", 1, 3600)]
+    acts = actions_df(spark, rows)
+    sessions = rollup_sessions(acts)
+    hours = {r.date_hour: (r.sessions, r.actions) for r in sessions_per_hour(sessions).collect()}
+    assert hours == {"2024-01-01_05": (2, 4), "2024-01-01_06": (1, 1)}
+    minutes = {r.minute_key: (r.actions, r.sessions) for r in actions_per_minute(acts).collect()}
+    assert minutes == {"202401010500": (2, 1), "202401010501": (1, 1), "202401010600": (1, 1),
+                       "202401010601": (1, 1)}
+    day = daily_rollup(sessions).first()
+    assert (day.date_key, day.date, day.sessions, day.actions, day.users, day.longest_visit) == (
+        "20240101", "2024-01-01", 3, 5, 2, 3700)

@@ -130,3 +130,15 @@ def test_same_result_for_any_partitioning_and_row_order(spark):
         acts = actions_df(spark, shuffled).repartition(n)
         results.append(session_stats(acts, users, MONTH).first().asDict())
     assert results[0] == results[1] == results[2]
+
+
+def test_user_prefilter_on_the_test_tables(spark):
+    from conftest import SF01
+    from sessionscope.plans.registry import FILTER_TASKS
+    from sessionscope.sources.testdata import load_actions, load_users
+    p = FILTER_TASKS["filter_all"]
+    acts, users = load_actions(spark, SF01), load_users(spark, SF01)
+    cols = ["session_id", "user_id", "visit_length", "step_length"]
+    plain = sorted(map(tuple, filtered_sessions(acts, users, p).select(*cols).collect()))
+    pre = sorted(map(tuple, filtered_sessions(acts, users, p, prefilter_users=True).select(*cols).collect()))
+    assert plain == pre and len(plain) > 0
