@@ -89,16 +89,17 @@ def main(argv: list[str] | None = None) -> None:
     from sessionscope.sources.tables import read_actions, read_table, read_users
     from sessionscope.sources.tasks import load_task
 
-    ap = argparse.ArgumentParser(description="session statistics of one task")
+    ap = argparse.ArgumentParser(description="session statistics of one task, or of several in one plan")
     ap.add_argument("task_ids", help="a task id, or several separated by commas (one job for all)")
-    ap.add_argument("--actions", default="user_visit_action")
-    ap.add_argument("--users", default="user_info")
-    ap.add_argument("--tasks", default="task")
-    ap.add_argument("--out", required=True)
-    ap.add_argument("--prefilter-users", action="store_true")
+    ap.add_argument("--actions", default="user_visit_action", help="action log: catalog table or parquet path")
+    ap.add_argument("--users", default="user_info", help="user table: catalog table or parquet path")
+    ap.add_argument("--tasks", default="task", help="task table: catalog table or parquet path")
+    ap.add_argument("--out", required=True, help="output folder (shared storage); rows are kept per task_id")
+    ap.add_argument("--prefilter-users", action="store_true",
+                    help="drop actions of non-matching users before the session shuffle")
     ap.add_argument("--all-outputs", action="store_true",
-                    help="also write top categories, top sessions, the sample and its actions")
-    ap.add_argument("--extract-per-day", type=int, default=100)
+                    help="also write top categories, top sessions, the sample, its actions and the page flow")
+    ap.add_argument("--extract-per-day", type=int, default=100, help="sample size per day for the session sample")
     ap.add_argument("--hive", action="store_true", help="resolve table names in the Hive metastore")
     args = ap.parse_args(argv)
 
