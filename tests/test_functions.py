@@ -117,3 +117,19 @@ def test_times_do_not_depend_on_the_session_zone(spark):
         assert (row.t, row.r, row.h, row.d) == ("2024-03-10 02:30:05", "2024-03-10 2:30:05", "2024-03-10_02", 3605)
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_ratio_at_cluster_sized_counts(spark):
+    import random
+    rnd = random.Random(7)
+    pairs = []
+    for _ in range(1500):                    # arbitrary quotients
+        n = rnd.randint(1, 10**12)
+        pairs.append((rnd.randint(0, n), n))
+    for _ in range(1500):                    # exact midpoints (2m+1)/200, scaled
+        m, t = rnd.randint(0, 99), rnd.randint(1, 5 * 10**9)
+        pairs.append(((2 * m + 1) * t, 200 * t))
+    df = spark.createDataFrame(pairs, "k long, n long")
+    got = df.select("k", "n", ratio_half_up("k", "n").alias("r")).collect()
+    bad = [(r.k, r.n, r.r) for r in got if r.r != binary_half_up(r.k, r.n)]
+    assert bad == []
