@@ -6,18 +6,28 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import simhash
-from .common import read_table
+from . import langid, simhash
+from .common import crc_remainder, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Models learn from documents whose crc32(doc_id) mod 4 is not 2 (a null id is left out)."""
+    docs = read_table(spark, sf_dir, "documents")
+    part = crc_remainder(docs["doc_id"], 4)
+    models = langid.fit(docs.where(~part.isin(2, -1)))
+    found = langid.identify(docs.select("doc_id", "text", (part == 2).alias("held_out")), models,
+                            keep=["doc_id", "held_out"])
+    return found.select("doc_id", "held_out", "lang_pred", "score", "cross_entropy", "rejected")
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op9_simhash,)}
+    return {f.__name__: f for f in (op5_language_id, op9_simhash)}
 
 
 def oracle_sql() -> dict[str, str]:
