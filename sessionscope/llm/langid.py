@@ -270,7 +270,7 @@ def identify(docs: DataFrame, models: Models, keep: list[str] | None = None,
     names = ["lang_pred", "score", "cross_entropy", "rejected"]
     columns = [c for c in keep or docs.columns if c not in names]
     kept = docs.select(columns)
-    read = docs.select(*columns, F.col("text").cast("string"))
+    read = docs.select(*columns, F.col("text").cast("string").alias("text to identify"))
     held = docs.sparkSession.sparkContext.broadcast(models)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
