@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, simhash
+from . import debruijn, langid, simhash
 from .common import crc_remainder, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,12 +22,17 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score", "cross_entropy", "rejected")
 
 
+def op8_debruijn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return debruijn.paths(read_table(spark, sf_dir, "documents")) \
+        .select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op5_language_id, op9_simhash)}
+    return {f.__name__: f for f in (op5_language_id, op8_debruijn, op9_simhash)}
 
 
 def oracle_sql() -> dict[str, str]:
