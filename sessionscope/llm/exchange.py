@@ -30,6 +30,7 @@ CHUNK_BYTES = 16 << 20
 _CHUNKS = pa.schema([("chunk", pa.int64()), ("kind", pa.int32()), ("payload", pa.binary())])
 _PARTS = pa.schema([("chunk", pa.int64()), ("bucket", pa.int32()), ("payload", pa.binary())])
 _TEXT = -1  # the bucket of the row that holds a chunk's documents
+SUMMARY = -1  # the chunk of a row that a bucket adds about itself
 
 
 def buckets(spark: SparkSession) -> int:
@@ -172,12 +173,16 @@ def _groups(batches: Iterator[pa.RecordBatch], key: int) -> Iterator[tuple[int,
 
 
 def answer(asked: DataFrame, n: int, resolve: Callable[[list[bytes]], list[bytes]]) -> DataFrame:
-    """(chunk, bucket, payload): ``resolve`` maps a bucket's questions to answers, one each."""
+    """(chunk, bucket, payload): ``resolve`` maps a bucket's questions to answers, one each.
+
+    One answer more is the bucket's own and goes to the chunk ``SUMMARY``.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bucket, group in _groups(batches, 1):
             found = resolve([row[2] for row in group])
+            chunks = [row[0] for row in group] + [SUMMARY] * (len(found) - len(group))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([row[0] for row in group], pa.int64()), pa.array([bucket] * len(group), pa.int32()),
+                [pa.array(chunks, pa.int64()), pa.array([bucket] * len(found), pa.int32()),
                  pa.array(found, pa.binary())], schema=_PARTS)
 
     return asked.repartition(n, "bucket").sortWithinPartitions("bucket", "chunk") \
@@ -193,6 +198,7 @@ def gather(chunks: DataFrame, answers: DataFrame, n: int,
             if texts:
                 yield from finish(chunk, documents(texts[0]), [row[2] for row in group if row[1] != _TEXT])
 
+    answers = answers.where(F.col("chunk") != SUMMARY)
     own = chunks.select("chunk", F.lit(_TEXT).alias("bucket"), "payload")
     return own.unionByName(answers).repartition(n, "chunk").sortWithinPartitions("chunk", "bucket") \
         .mapInArrow(run, schema)
