@@ -27,11 +27,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from . import exchange as ex
 from .common import materialise, rows
+from .repeats import bits, labels, questions, repeated, sizes, sources
 from .tokens import joined, word_windows, words
 
 ANCHOR = 8  # words of an anchor
 _NULL_ID = np.iinfo(np.int64).max  # a null doc_id sorts after all others
-_CANDIDATES = -2  # the part of a chunk that says which of its windows were asked about
 
 
 class _Chunk:
@@ -74,77 +74,6 @@ def _sliding_argmin(values: np.ndarray, span: int) -> np.ndarray:
     return best
 
 
-def _questions(hashes: np.ndarray, n: int, beside: list[np.ndarray]) -> Iterator[tuple[int, bytes]]:
-    """One question per bucket: sorted hashes and the arrays beside them."""
-    cuts = ex.split(hashes, n)
-    for b in np.flatnonzero(np.diff(cuts)).tolist():
-        own = slice(cuts[b], cuts[b + 1])
-        yield b, ex.frame([ex.pack_sorted(hashes[own]), *(ex.pack(x[own]) for x in beside)])
-
-
-def repeated(questions: list[bytes]) -> list[bytes]:
-    """A bit per asked hash: does it occur twice or more? (hashes, twice in the chunk)"""
-    parts = [ex.unframe(q) for q in questions]
-    hashes = [ex.unpack_sorted(p[0]) for p in parts]
-    twice = [ex.unpack(p[1]).astype(bool) for p in parts]
-    every = np.concatenate(hashes)
-    known, inverse, n = np.unique(every, return_inverse=True, return_counts=True)
-    many = n > 1
-    many[inverse[np.concatenate(twice)]] = True
-    flags = many[inverse]
-    ends = np.cumsum([len(h) for h in hashes])
-    return [np.packbits(f).tobytes() for f in np.split(flags, ends[:-1])]
-
-
-def bits(answers: list[bytes], hashes: np.ndarray, n: int) -> np.ndarray:
-    """The answers of ``repeated`` for a chunk's sorted hashes."""
-    out = [np.unpackbits(np.frombuffer(a, np.uint8), count=size)
-           for a, size in zip(answers, _sizes(hashes, n), strict=True)]
-    return np.concatenate(out).astype(bool) if out else np.empty(0, bool)
-
-
-def _sizes(hashes: np.ndarray, n: int) -> list[int]:
-    """How many hashes each question of the chunk held."""
-    sizes = np.diff(ex.split(hashes, n))
-    return sizes[sizes > 0].tolist()
-
-
-def _labels(answers: list[bytes], hashes: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Source of each distinct edge; start -1 where it occurs only once."""
-    ids, starts, done = np.zeros(len(hashes), np.int64), np.full(len(hashes), -1, np.int64), 0
-    for answer, size in zip(answers, _sizes(hashes, n), strict=True):
-        flags, source, start = ex.unframe(answer)
-        f = np.flatnonzero(np.unpackbits(np.frombuffer(flags, np.uint8), count=size)) + done
-        ids[f], starts[f] = ex.unpack(source), ex.unpack(start).astype(np.int64)
-        done += size
-    return ids, starts
-
-
-def _sources(questions: list[bytes]) -> list[bytes]:
-    """For each asked edge its source (doc_id, start), if it occurs elsewhere too; else nothing."""
-    parts = [ex.unframe(q) for q in questions]
-    hashes = [ex.unpack_sorted(p[0]) for p in parts]
-    ids, at, twice = ([ex.unpack(p[i]) for p in parts] for i in (1, 2, 3))
-    every, doc = np.concatenate(hashes), np.concatenate(ids)
-    start, many = np.concatenate(at).astype(np.int64), np.concatenate(twice).astype(bool)
-    order = np.lexsort((start, doc, every))
-    head = np.flatnonzero(np.concatenate(([True], np.diff(every[order]) != 0)))
-    group = np.zeros(len(every), np.int64)
-    group[order] = np.repeat(np.arange(len(head)), np.diff(np.append(head, len(every))))
-    again = np.bincount(group, minlength=len(head)) > 1
-    again[group[many]] = True
-    flags = again[group]
-    source_doc, source_start = doc[order][head], start[order][head]
-    out, done = [], 0
-    for h in hashes:
-        own = slice(done, done + len(h))
-        f = flags[own]
-        g = group[own][f]
-        out.append(ex.frame([np.packbits(f).tobytes(), ex.pack(source_doc[g]), ex.pack(ex.narrow(source_start[g]))]))
-        done += len(h)
-    return out
-
-
 def _edges(chunk: _Chunk, candidate: np.ndarray) -> tuple[np.ndarray, ...]:
     """Sorted distinct fingerprints of candidate windows; first place, repeats, and each window's place in them."""
     at = np.flatnonzero(candidate)
@@ -157,11 +86,11 @@ def _edges(chunk: _Chunk, candidate: np.ndarray) -> tuple[np.ndarray, ...]:
     return h[head], at[head], twice, at, place
 
 
-def paths(docs: DataFrame, k: int = 20, chunk_bytes: int = ex.CHUNK_BYTES) -> DataFrame:
+def paths(docs: DataFrame, k: int = 20, chunk_bytes: int = ex.CHUNK_BYTES, texts: bool = True) -> DataFrame:
     """Words that repeat earlier spans, one row per document.
 
     Columns: doc_id; n_words; n_removed; kept (the remaining words joined by
-    one space, UTF-8, binary); kept_sha256; path_starts and path_words: each
+    one space, UTF-8, binary; null without ``texts``); kept_sha256; path_starts and path_words: each
     removed path's first word and number of words; source_ids and
     source_starts: where its source starts. A word goes if it lies in a window
     of ``k`` words whose sequence also starts earlier: in a smaller doc_id, or
@@ -174,30 +103,26 @@ def paths(docs: DataFrame, k: int = 20, chunk_bytes: int = ex.CHUNK_BYTES) -> Da
 
     def ask_anchors(content: dict) -> Iterator[tuple[int, bytes]]:
         hashes, count = np.unique(_Chunk(content, k).anchors()[0], return_counts=True)
-        yield from _questions(hashes, n, [(count > 1).astype(np.uint8)])
+        yield from questions(hashes, n, [(count > 1).astype(np.uint8)])
 
-    answers = ex.answer(ex.ask(chunks, ask_anchors), n, repeated)
+    answers = materialise(ex.answer(ex.ask(chunks, ask_anchors), n, repeated), "anchors", "uncompressed")
 
-    def candidates(chunk: _Chunk, found: list[bytes]) -> np.ndarray:
+    def candidates(chunk: _Chunk, found: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
+        """Windows whose anchor occurs elsewhere, and the answers left over."""
         anchors, own = chunk.anchors()
         hashes, place = np.unique(anchors, return_inverse=True)
-        again = np.append(bits(found, hashes, n)[place], False)
-        return again[own]
-
-    parts = "chunk long, bucket int, payload binary"
+        asked = len(sizes(hashes, n))
+        again = np.append(bits(found[:asked], hashes, n)[place, 0], False)
+        return again[own], found[asked:]
 
     def ask_edges(chunk_id: int, content: dict, found: list[bytes]) -> Iterator[pa.RecordBatch]:
         chunk = _Chunk(content, k)
-        candidate = candidates(chunk, found)
-        hashes, first, twice, _, _ = _edges(chunk, candidate)
+        hashes, first, twice, _, _ = _edges(chunk, candidates(chunk, found)[0])
         beside = [chunk.ids[chunk.doc[first]], ex.narrow(chunk.position[first]), twice.astype(np.uint8)]
-        yield ex.part(chunk_id, _CANDIDATES, np.packbits(candidate).tobytes())
-        for bucket, payload in _questions(hashes, n, beside):
+        for bucket, payload in questions(hashes, n, beside, first=n):
             yield ex.part(chunk_id, bucket, payload)
 
-    asked = materialise(ex.gather(chunks, answers, n, ask_edges, parts), "edges", "uncompressed")
-    sources = ex.answer(asked.where(F.col("bucket") >= 0), n, _sources) \
-        .unionByName(asked.where(F.col("bucket") == _CANDIDATES))
+    edges = ex.gather(chunks, answers, n, ask_edges, "chunk long, bucket int, payload binary")
 
     schema = pa.schema([
         ("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.binary()),
@@ -206,9 +131,9 @@ def paths(docs: DataFrame, k: int = 20, chunk_bytes: int = ex.CHUNK_BYTES) -> Da
 
     def compact(chunk_id: int, content: dict, found: list[bytes]) -> Iterator[pa.RecordBatch]:
         chunk = _Chunk(content, k)
-        candidate = np.unpackbits(np.frombuffer(found[0], np.uint8), count=len(chunk.inside)).astype(bool)
+        candidate, rest = candidates(chunk, found)
         hashes, _, _, at, place = _edges(chunk, candidate)
-        source_id, source_start = _labels(found[1:], hashes, n)
+        source_id, source_start = labels(rest, hashes, n)
         own_id, own_start = chunk.ids[chunk.doc[at]], chunk.position[at]
         sid, spos = source_id[place], source_start[place]
         earlier = (spos >= 0) & ((sid < own_id) | ((sid == own_id) & (spos < own_start)))
@@ -235,13 +160,13 @@ def paths(docs: DataFrame, k: int = 20, chunk_bytes: int = ex.CHUNK_BYTES) -> Da
                                                                  chunk.end[w][keep].tolist())])
                 p = head[of_doc[d]:of_doc[d + 1]]
                 for name, value in zip(out, (
-                        content["doc_id"][d], len(keep), int((~keep).sum()), kept, hashlib.sha256(kept).hexdigest(),
+                        content["doc_id"][d], len(keep), int((~keep).sum()), kept if texts else None, hashlib.sha256(kept).hexdigest(),
                         (at[p] - chunk.first[d]).tolist(), size[of_doc[d]:of_doc[d + 1]].tolist(),
                         [None if i == _NULL_ID else i for i in sid[p].tolist()], spos[p].tolist())):
                     out[name].append(value)
             yield rows(schema, out)
 
-    return ex.gather(chunks, sources, n, compact,
+    return ex.gather(chunks, answers.unionByName(ex.answer(edges, n, sources)), n, compact,
                      "doc_id long, n_words long, n_removed long, kept binary, kept_sha256 string, "
                      "path_starts array<long>, path_words array<long>, source_ids array<long>, "
                      "source_starts array<long>")

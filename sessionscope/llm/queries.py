@@ -33,7 +33,7 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_debruijn(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return debruijn.paths(read_table(spark, sf_dir, "documents")) \
+    return debruijn.paths(read_table(spark, sf_dir, "documents"), texts=False) \
         .select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
