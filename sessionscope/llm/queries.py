@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import debruijn, langid, ngram_lm, simhash
+from . import debruijn, langid, ngram_lm, simhash, suffix_dedup
 from .common import crc_remainder, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,11 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score", "cross_entropy", "rejected")
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents"), texts=False) \
+        .select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op8_debruijn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return debruijn.paths(read_table(spark, sf_dir, "documents"), texts=False) \
         .select("doc_id", "n_words", "n_removed", "kept_sha256")
@@ -42,7 +47,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_lm_score, op5_language_id, op8_debruijn, op9_simhash)}
+    return {f.__name__: f for f in (op1_lm_score, op5_language_id, op6_suffix_dedup, op8_debruijn, op9_simhash)}
 
 
 def oracle_sql() -> dict[str, str]:
