@@ -157,16 +157,17 @@ def ask(chunks: DataFrame, question: Callable[[dict], Iterator[tuple[int, bytes]
     return chunks.select("chunk", "payload").mapInArrow(run, "chunk long, bucket int, payload binary")
 
 
-def _groups(batches: Iterator[pa.RecordBatch], key: int) -> Iterator[tuple[int, list[tuple]]]:
-    """Consecutive rows with the same key."""
+def groups(batches: Iterator[pa.RecordBatch], key: tuple[int, ...]) -> Iterator[tuple[tuple, list[tuple]]]:
+    """Consecutive rows with the same values in the columns ``key``."""
     held, at = [], None
     for batch in batches:
         for i in range(batch.num_rows):
             row = tuple(c[i].as_py() for c in batch.columns)
-            if held and row[key] != at:
+            own = tuple(row[k] for k in key)
+            if held and own != at:
                 yield at, held
                 held = []
-            at = row[key]
+            at = own
             held.append(row)
     if held:
         yield at, held
@@ -178,7 +179,7 @@ def answer(asked: DataFrame, n: int, resolve: Callable[[list[bytes]], list[bytes
     One answer more is the bucket's own and goes to the chunk ``SUMMARY``.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for bucket, group in _groups(batches, 1):
+        for (bucket,), group in groups(batches, (1,)):
             found = resolve([row[2] for row in group])
             chunks = [row[0] for row in group] + [SUMMARY] * (len(found) - len(group))
             yield pa.RecordBatch.from_arrays(
@@ -193,7 +194,7 @@ def gather(chunks: DataFrame, answers: DataFrame, n: int,
            finish: Callable[[int, dict, list[bytes]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """``finish`` gets each chunk's id, documents and answers, in the order of the buckets."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk, group in _groups(batches, 0):
+        for (chunk,), group in groups(batches, (0,)):
             texts = [row[2] for row in group if row[1] == _TEXT]
             if texts:
                 yield from finish(chunk, documents(texts[0]), [row[2] for row in group if row[1] != _TEXT])

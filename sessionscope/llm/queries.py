@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import debruijn, langid, ngram_lm, simhash, suffix_dedup
+from . import debruijn, langid, ngram_lm, quality, simhash, suffix_dedup
 from .common import crc_remainder, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +37,10 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(read_table(spark, sf_dir, "documents"))
+
+
 def op8_debruijn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return debruijn.paths(read_table(spark, sf_dir, "documents"), texts=False) \
         .select("doc_id", "n_words", "n_removed", "kept_sha256")
@@ -47,7 +51,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_lm_score, op5_language_id, op6_suffix_dedup, op8_debruijn, op9_simhash)}
+    return {f.__name__: f for f in (op1_lm_score, op5_language_id, op6_suffix_dedup, op7_quality, op8_debruijn, op9_simhash)}
 
 
 def oracle_sql() -> dict[str, str]:
