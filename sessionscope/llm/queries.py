@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import debruijn, langid, ngram_lm, quality, simhash, suffix_dedup
+from . import debruijn, langid, ngram_lm, quality, simhash, suffix_dedup, warc
 from .common import crc_remainder, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,9 +50,24 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(read_table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_lm_score, op5_language_id, op6_suffix_dedup, op7_quality, op8_debruijn, op9_simhash)}
+    return {f.__name__: f for f in (op1_lm_score, op5_language_id, op6_suffix_dedup, op7_quality, op8_debruijn, op9_simhash, op10_warc)}
+
+
+_WARC_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+     r AS (SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes, sha256(html) AS payload_digest,
+                  min(page_id) OVER (PARTITION BY html) AS first FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to
+FROM r
+"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op10_warc": _WARC_SQL}
