@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import debruijn, langid, ngram_lm, quality, simhash, suffix_dedup, warc
+from . import debruijn, langid, ngram_lm, packing, quality, simhash, suffix_dedup, warc
 from .common import crc_remainder, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,17 @@ def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "train_tokens", "base_score", "score", "train_types")
 
 
+def vocabulary() -> str:
+    """The vocabulary file of the packed sequences, as installed."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op4_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read_table(spark, sf_dir, "documents"), vocabulary())
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Models learn from documents whose crc32(doc_id) mod 4 is not 2 (a null id is left out)."""
     docs = read_table(spark, sf_dir, "documents")
@@ -55,7 +66,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_lm_score, op5_language_id, op6_suffix_dedup, op7_quality, op8_debruijn, op9_simhash, op10_warc)}
+    return {f.__name__: f for f in (op1_lm_score, op4_pattern_packing, op5_language_id, op6_suffix_dedup, op7_quality, op8_debruijn, op9_simhash, op10_warc)}
 
 
 _WARC_SQL = """

@@ -56,6 +56,22 @@ def span_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return (sums[ends] - sums[starts]) * _tables()[2][starts]
 
 
+def spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Fingerprints of byte spans in order, however long ``data`` is."""
+    out, at = np.empty(len(starts), np.uint64), 0
+    while at < len(starts):
+        lo = int(starts[at])
+        upto = max(int(np.searchsorted(ends, lo + PIECE, "right")), at + 1)
+        if ends[at] - lo > PIECE:
+            found: list = []
+            _long_word(data[:ends[at]], lo, found)
+            out[at] = found[0][0][0]
+        else:
+            out[at:upto] = span_hashes(prefix_hashes(data[lo:ends[upto - 1]]), starts[at:upto] - lo, ends[at:upto] - lo)
+        at = upto
+    return mix(out)
+
+
 def _piece_words(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     edges = np.diff(np.concatenate(([True], _SPACE[data], [True])).view(np.int8))
     starts, ends = np.flatnonzero(edges == -1), np.flatnonzero(edges == 1)
