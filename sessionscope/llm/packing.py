@@ -32,7 +32,8 @@ from .tokens import joined, spans
 
 CAPACITY = 2048
 SEPARATOR = 0  # the id behind every document
-SHARES = (1.0, 0.9, 0.7, 0.4)  # of the fitted repeats
+# of the fitted repeats that are used, and the smallest number that still counts as one
+SHARES = ((1.0, 0.05), (1.0, 0.5), (0.9, 0.5), (0.7, 0.5), (0.4, 0.5), (0.1, 0.5))
 _GROUP = 1 << 23  # bytes of text whose words are tokenised together
 
 # How the vocabulary's file says words are found. For texts of
@@ -245,11 +246,11 @@ def nonnegative_least_squares(slots: np.ndarray, wanted: np.ndarray, rounds: int
     return x
 
 
-def _round(slots: np.ndarray, x: np.ndarray, left: np.ndarray) -> list[tuple[list[int], int]]:
+def _round(slots: np.ndarray, x: np.ndarray, least: float, left: np.ndarray) -> list[tuple[list[int], int]]:
     """(lengths, repeats) of the patterns used; takes their pieces from ``left``."""
     chosen = []
     for i in np.argsort(-x, kind="stable"):
-        if x[i] < 0.05:
+        if x[i] < least:
             break
         used = slots[i][slots[i] > 0]
         kinds, each = np.unique(used, return_counts=True)
@@ -292,8 +293,9 @@ def _best_fit(left: np.ndarray, capacity: int) -> list[tuple[list[int], int]]:
     return [group for groups in by_gap for group in groups]
 
 
-def _planned(slots: np.ndarray, x: np.ndarray, left: np.ndarray, capacity: int) -> list[tuple[list[int], int]]:
-    return _round(slots, x, left) + _best_fit(left, capacity)
+def _planned(slots: np.ndarray, x: np.ndarray, least: float, left: np.ndarray,
+             capacity: int) -> list[tuple[list[int], int]]:
+    return _round(slots, x, least, left) + _best_fit(left, capacity)
 
 
 def plan(histogram: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndarray, int]:
@@ -305,7 +307,7 @@ def plan(histogram: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndarray, i
     slots = patterns(np.flatnonzero(left), capacity)
     fit = nonnegative_least_squares(slots, left.astype(np.float64))
     # patterns may use up the short pieces that would fill gaps beside the rest: keep the best of a few shares
-    chosen = min((_planned(slots, share * fit, left.copy(), capacity) for share in SHARES),
+    chosen = min((_planned(slots, share * fit, least, left.copy(), capacity) for share, least in SHARES),
                  key=lambda groups: sum(times for _, times in groups))
     taken, sequence, out = np.zeros(capacity + 1, np.int64), 0, []
     for lengths, times in chosen:
