@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import debruijn, langid, ngram_lm, packing, pii, quality, simhash, suffix_dedup, warc
+from . import debruijn, decontamination, langid, ngram_lm, packing, pii, quality, simhash, suffix_dedup, warc
 from .common import crc_remainder, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,11 @@ def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "train_tokens", "base_score", "score", "train_types")
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"),
+                                keep=["doc_id"])
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     spans = F.col("spans")
@@ -74,7 +79,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_lm_score, op3_pii, op4_pattern_packing, op5_language_id, op6_suffix_dedup, op7_quality, op8_debruijn, op9_simhash, op10_warc)}
+    return {f.__name__: f for f in (op1_lm_score, op2_decontamination, op3_pii, op4_pattern_packing, op5_language_id, op6_suffix_dedup, op7_quality, op8_debruijn, op9_simhash, op10_warc)}
 
 
 _WARC_SQL = """
