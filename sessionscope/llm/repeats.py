@@ -17,29 +17,15 @@ def questions(hashes: np.ndarray, n: int, beside: list[np.ndarray], first: int =
         yield first + b, ex.frame([ex.pack_sorted(hashes[own]), *(ex.pack(x[own]) for x in beside)])
 
 
-def _repeats(asked: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Over all asked hashes in order: occurs twice or more? the first to ask? And where each question ends."""
+def repeated(asked: list[bytes]) -> list[bytes]:
+    """A bit per asked hash: does it occur twice or more? (hashes, twice in the chunk)"""
     parts = [ex.unframe(q) for q in asked]
     hashes = [ex.unpack_sorted(p[0]) for p in parts]
     twice = np.concatenate([ex.unpack(p[1]) for p in parts]).astype(bool)
-    known, first, inverse, n = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True,
-                                         return_counts=True)
+    known, inverse, n = np.unique(np.concatenate(hashes), return_inverse=True, return_counts=True)
     many = n > 1
     many[inverse[twice]] = True
-    return many[inverse], first[inverse] == np.arange(len(inverse)), np.cumsum([len(h) for h in hashes])
-
-
-def repeated(asked: list[bytes]) -> list[bytes]:
-    """A bit per asked hash: does it occur twice or more? (hashes, twice in the chunk)"""
-    flags, _, ends = _repeats(asked)
-    return [np.packbits(f).tobytes() for f in np.split(flags, ends[:-1])]
-
-
-def claimed(asked: list[bytes]) -> list[bytes]:
-    """Like ``repeated``, and a second bit that is set for one of the chunks that asked."""
-    flags, first, ends = _repeats(asked)
-    both = np.stack([flags, first], 1)
-    return [np.packbits(f.reshape(-1)).tobytes() for f in np.split(both, ends[:-1])]
+    return [np.packbits(f).tobytes() for f in np.split(many[inverse], np.cumsum([len(h) for h in hashes])[:-1])]
 
 
 def bits(answers: list[bytes], hashes: np.ndarray, n: int, each: int = 1) -> np.ndarray:

@@ -7,12 +7,14 @@ common prefix of neighbours is ``length`` or counts as none, and the previous
 and next smaller positions of a suffix (``factors``) say whether an equal
 string starts earlier (longest previous factor) or later.
 
-Only suffixes that can repeat are ordered. Every window of ``length`` bytes
-has an anchor, the short byte n-gram in it with the smallest fingerprint,
-which each copy of the window shares; a window whose anchor occurs nowhere
-else is unique. Long copies are settled by blocks: a text is cut at some of its
-anchors, and if a block (with the bytes its last window needs) occurs again,
-all windows in it repeat; one chunk then stands for that block's windows.
+Only suffixes that can repeat and are not settled otherwise are ordered. Every
+window of ``length`` bytes has an anchor, the first of its short byte n-grams
+with the smallest fingerprint, which each copy of the window shares. An
+anchor's context is all the bytes that windows over it can reach. Chunks
+exchange the contexts of their anchors: where a context occurs again, its
+windows repeat; where an anchor has but one context, no other window can
+equal them; only anchors with several contexts leave their windows to the
+suffix order, and of copies of a context one chunk stands for all.
 """
 
 from __future__ import annotations
@@ -26,12 +28,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from . import exchange as ex
 from .common import materialise, rows
-from .repeats import bits, claimed, questions, sizes
-from .tokens import PIECE, mix, prefix_hashes, span_hashes
+from .repeats import bits, questions, sizes
+from .tokens import PIECE, distinct, mix, places, prefix_hashes, span_hashes
 
 GRAM = 32  # bytes of an anchor, at most
-_CUT = np.uint64(7)  # one anchor in eight ends a block
-_BLOCK, _WINDOW = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)  # tell kinds of hashes apart
+_WINDOW = np.uint64(0x14057B7EF767814F)  # tells windows from other hashes
 
 
 def _sliding(values: np.ndarray, span: int, best: np.ufunc) -> np.ndarray:
@@ -47,7 +48,7 @@ def _sliding(values: np.ndarray, span: int, best: np.ufunc) -> np.ndarray:
 
 
 class _Piece:
-    """Some fragments of texts, joined: fingerprints, anchors and blocks of their windows."""
+    """Some fragments of texts, joined: their windows' anchors and the anchors' contexts."""
 
     def __init__(self, fragments: list[tuple[int, int, bytes]], length: int):
         self.doc = np.array([f[0] for f in fragments], np.int64)
@@ -55,41 +56,45 @@ class _Piece:
         size = np.array([len(f[2]) for f in fragments], np.int64)
         self.begin = np.cumsum(size + 1) - size - 1
         self.data = np.frombuffer(b"\n".join(f[2] for f in fragments), np.uint8)
-        self.length, self.finish = length, self.begin + size
+        self.length = length
         n = max(len(self.data) - length + 1, 0)
         step = np.zeros(n + 1, np.int64)
         windows = np.maximum(size - length + 1, 0)
         np.add.at(step, np.minimum(self.begin, n), (windows > 0).astype(np.int64))
         np.add.at(step, np.minimum(self.begin + windows, n), -(windows > 0).astype(np.int64))
         self.valid = np.cumsum(step)[:n] > 0
-        self.sums = prefix_hashes(self.data)
+        self.anchors = self.contexts = np.empty(0, np.uint64)
+        self.run_sizes = self.run_anchor = np.empty(0, np.int64)
         if not n:
-            self.runs = self.run_heads = self.anchors = self.blocks = np.empty(0, np.uint64)
-            self.block_at = np.empty((0, 2), np.int64)
             return
+        sums = prefix_hashes(self.data)
         gram = min(GRAM, length)
         at = np.arange(len(self.data) - gram + 1)
-        grams = mix(span_hashes(self.sums, at, at + gram))
+        grams = mix(span_hashes(sums, at, at + gram))
         span = length - gram + 1
         smallest = _sliding(grams, span, np.minimum)
         # a gram is an anchor where it is the smallest of some window over it
         padded = np.concatenate((np.zeros(span - 1, np.uint64), smallest, np.zeros(span - 1, np.uint64)))
         chosen = np.flatnonzero(grams == _sliding(padded, span, np.maximum))
         self.anchors = grams[chosen]
-        self.run_heads = np.flatnonzero(np.concatenate(([True], smallest[1:] != smallest[:-1])))
-        self.runs = smallest[self.run_heads]
-        cuts = np.unique(np.concatenate((self.begin, chosen[(self.anchors >> np.uint64(40)) & _CUT == 0])))
-        cuts = cuts[cuts < n]
-        ends = np.append(cuts[1:], n)
-        upto = self.finish[np.searchsorted(self.begin, cuts, "right") - 1]
-        full = np.minimum(ends + length - 1, upto)
-        long = full - cuts >= length
-        self.block_at = np.stack([cuts, ends], 1)[long]
-        self.blocks = mix(span_hashes(self.sums, cuts[long], full[long])
-                          + _BLOCK * (full - cuts)[long].astype(np.uint64))
+        home = np.searchsorted(self.begin, chosen, "right") - 1
+        lo = np.maximum(chosen - span + 1, self.begin[home])
+        hi = np.maximum(np.minimum(chosen + length, self.begin[home] + size[home]), lo)
+        # where the anchor lies in its context counts too: clipped contexts of one place must differ
+        shape = (chosen - lo).astype(np.uint64) * np.uint64(length + span) + (hi - lo).astype(np.uint64)
+        self.contexts = mix(span_hashes(sums, lo, hi) + mix(shape + np.uint64(1)))
+        # runs of windows with the same anchor: its value, and the first place from the window on
+        change = smallest[1:] != smallest[:-1]
+        inner = chosen[chosen < n - 1]
+        change[inner[smallest[inner] == grams[inner]]] = True
+        last = np.append(np.flatnonzero(change), n - 1)
+        self.run_sizes = np.diff(last, prepend=-1)
+        self.run_anchor = np.searchsorted(chosen, last)
+        while len(other := np.flatnonzero(self.anchors[self.run_anchor] != smallest[last])):
+            self.run_anchor[other] += 1
 
     def windows(self, at: np.ndarray) -> np.ndarray:
-        return mix(span_hashes(self.sums, at, at + self.length) ^ _WINDOW)
+        return mix(span_hashes(prefix_hashes(self.data), at, at + self.length) ^ _WINDOW)
 
     def spans(self, repeated: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(document, start, end) of the maximal runs of bytes that repeated windows cover."""
@@ -119,34 +124,47 @@ def _pieces(texts: list[bytes], length: int) -> Iterator[_Piece]:
         yield _Piece(held, length)
 
 
-def _asked_first(pieces: Iterator[_Piece]) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct anchors and blocks of a chunk, and which occur in it twice or more."""
-    own = [x for p in pieces for x in (p.anchors, p.blocks)]
-    hashes, n = np.unique(np.concatenate(own) if own else np.empty(0, np.uint64), return_counts=True)
-    return hashes, n > 1
+def _asked_first(pieces: list[_Piece]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """A chunk's different (anchor, context), sorted; which occur twice or more; and where each piece's are."""
+    anchors = np.concatenate([p.anchors for p in pieces] or [np.empty(0, np.uint64)])
+    contexts = np.concatenate([p.contexts for p in pieces] or [np.empty(0, np.uint64)])
+    order = np.lexsort((contexts, anchors))
+    a, c = anchors[order], contexts[order]
+    head = np.concatenate(([True], (a[1:] != a[:-1]) | (c[1:] != c[:-1]))) if len(a) else np.empty(0, bool)
+    place = np.empty(len(a), np.int64)
+    place[order] = np.cumsum(head) - 1
+    return a[head], c[head], np.bincount(place, minlength=int(head.sum())) > 1, place
 
 
-def _settle(piece: _Piece, hashes: np.ndarray, known: np.ndarray, claims: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(windows of repeated blocks, those this chunk stands for, windows still open).
-
-    ``known``: the answers (occurs again, first to ask); ``claims``: blocks not
-    yet taken, so that a chunk asks about a block's windows once.
-    """
-    n = len(piece.valid)
-    if not n:
-        none = np.empty(0, np.int64)
-        return none, none, none
-    again = known[np.searchsorted(hashes, piece.runs), 0]
-    open_ = piece.valid & np.repeat(again, np.diff(np.append(piece.run_heads, n)))
-    at = np.searchsorted(hashes, piece.blocks)
-    settled, own = np.zeros(n, bool), np.zeros(n, bool)
-    for (lo, hi), i in zip(piece.block_at[known[at, 0]].tolist(), at[known[at, 0]].tolist()):
-        settled[lo:hi] = True
-        if known[i, 1] and claims[i]:
-            own[lo:hi] = True
-            claims[i] = False
-    settled &= piece.valid
-    return np.flatnonzero(settled), np.flatnonzero(own & settled), np.flatnonzero(open_ & ~settled)
+def _contexts(asked: list[bytes]) -> list[bytes]:
+    """Two bits per asked (anchor, context): does it occur twice or more? is the asker to order its windows?"""
+    parts = [ex.unframe(q) for q in asked]
+    anchors = [ex.unpack_sorted(p[0]) for p in parts]
+    a, c = np.concatenate(anchors), np.concatenate([ex.unpack(p[1]) for p in parts])
+    twice = np.concatenate([ex.unpack(p[2]) for p in parts]).astype(bool)
+    order = np.lexsort((c, a))  # stable: of like entries the first asked comes first
+    a, c = a[order], c[order]
+    new_anchor = np.concatenate(([True], a[1:] != a[:-1]))
+    new = new_anchor.copy()
+    new[1:] |= c[1:] != c[:-1]
+    heads, anchor_heads = np.flatnonzero(new), np.flatnonzero(new_anchor)
+    entry, anchor = np.cumsum(new) - 1, np.cumsum(new_anchor) - 1
+    many = np.diff(np.append(heads, len(a))) > 1
+    many |= np.logical_or.reduceat(twice[order], heads)
+    several = np.add.reduceat(new.astype(np.int64), anchor_heads) > 1
+    flags = np.empty((len(a), 2), bool)
+    flags[order, 0] = many[entry]
+    flags[order, 1] = several[anchor] & new  # the first asker stands for all with this context
+    return [np.packbits(f.reshape(-1)).tobytes() for f in np.split(flags, np.cumsum([len(x) for x in anchors])[:-1])]
+
+
+def _settle(piece: _Piece, repeated: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(windows known to repeat, windows to order), from the flags of the piece's anchors."""
+    if not len(piece.run_sizes):
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    sure = np.repeat(repeated[piece.run_anchor], piece.run_sizes) & piece.valid
+    ask = np.repeat(order[piece.run_anchor], piece.run_sizes) & piece.valid
+    return np.flatnonzero(sure), np.flatnonzero(ask)
 
 
 def factors(order: np.ndarray, equal: np.ndarray, positions: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -196,30 +214,41 @@ def remove_repeats(docs: DataFrame, length: int = 200, chunk_bytes: int = ex.CHU
     n = ex.buckets(docs.sparkSession)
     chunks = ex.chunked(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), chunk_bytes)
 
-    def ask_blocks(content: dict) -> Iterator[tuple[int, bytes]]:
-        hashes, twice = _asked_first(_pieces(content["text"], length))
-        yield from questions(hashes, n, [twice.astype(np.uint8)])
-
-    known = materialise(ex.answer(ex.ask(chunks, ask_blocks), n, claimed), "blocks", "uncompressed")
-
-    def settled(content: dict, found: list[bytes]) -> Iterator[tuple]:
-        hashes, _ = _asked_first(_pieces(content["text"], length))
-        flags = bits(found[:len(sizes(hashes, n))], hashes, n, 2)
-        claims = np.ones(len(hashes), bool)
-        for piece in _pieces(content["text"], length):
-            yield piece, len(sizes(hashes, n)), *_settle(piece, hashes, flags, claims)
+    def ask_contexts(content: dict) -> Iterator[tuple[int, bytes]]:
+        anchors, contexts, twice, _ = _asked_first(list(_pieces(content["text"], length)))
+        yield from questions(anchors, n, [contexts, twice.astype(np.uint8)])
+
+    known = materialise(ex.answer(ex.ask(chunks, ask_contexts), n, _contexts), "contexts", "uncompressed")
+
+    def settled(content: dict, found: list[bytes]) -> tuple[list[tuple], list[bytes]]:
+        """(piece, windows known to repeat, those to order, which of these it knows to repeat); answers left over."""
+        pieces = list(_pieces(content["text"], length))
+        anchors, _, _, place = _asked_first(pieces)
+        asked = len(sizes(anchors, n))
+        flags = bits(found[:asked], anchors, n, 2)
+        claimed, out, done = np.zeros(len(anchors), bool), [], 0
+        for piece in pieces:
+            own = place[done:done + len(piece.anchors)]
+            done += len(own)
+            # of a context that repeats in the chunk, its first anchor stands for the others
+            first = np.zeros(len(own), bool)
+            first[np.unique(own, return_index=True)[1]] = True
+            first &= ~claimed[own]
+            claimed[own] = True
+            sure, ask = _settle(piece, flags[own, 0], flags[own, 1] & first)
+            out.append((piece, sure, ask))
+        return out, found[asked:]
 
     def ask_windows(chunk_id: int, content: dict, found: list[bytes]) -> Iterator[pa.RecordBatch]:
-        own, left = [np.empty(0, np.uint64)], [np.empty(0, np.uint64)]
-        for piece, _, _, claim, rest in settled(content, found):
-            own.append(piece.windows(claim))
-            left.append(piece.windows(rest))
-        hashes, count = np.unique(np.concatenate(left), return_counts=True)
-        claimed_hashes = np.unique(np.concatenate(own))
-        both = np.union1d(hashes, claimed_hashes)
-        twice = np.isin(both, claimed_hashes, assume_unique=True)
-        twice[np.searchsorted(both, hashes[count > 1])] = True
-        for bucket, payload in questions(both, n, [twice.astype(np.uint8)], first=n):
+        every, surely = [np.empty(0, np.uint64)], [np.empty(0, np.uint64)]
+        for piece, sure, ask in settled(content, found)[0]:
+            hashes = piece.windows(ask)
+            every.append(hashes)
+            surely.append(hashes[np.isin(ask, sure, assume_unique=True)])
+        hashes, count = np.unique(np.concatenate(every), return_counts=True)
+        twice = count > 1
+        twice[places(hashes, np.concatenate(surely))] = True
+        for bucket, payload in questions(hashes, n, [twice.astype(np.uint8)], first=n):
             yield ex.part(chunk_id, bucket, payload)
 
     asked = ex.gather(chunks, known, n, ask_windows, "chunk long, bucket int, payload binary")
@@ -231,18 +260,19 @@ def remove_repeats(docs: DataFrame, length: int = 200, chunk_bytes: int = ex.CHU
         ("span_starts", pa.list_(pa.int64())), ("span_ends", pa.list_(pa.int64()))])
 
     def finish(_: int, content: dict, found: list[bytes]) -> Iterator[pa.RecordBatch]:
-        own, left, pieces = [np.empty(0, np.uint64)], [np.empty(0, np.uint64)], []
-        first = 0
-        for piece, first, sure, claim, rest in settled(content, found):
-            own.append(piece.windows(claim))
-            left.append(piece.windows(rest))
-            pieces.append((sure, rest))
-        hashes = np.unique(np.concatenate([*own, *left]))
-        again = bits(found[first:], hashes, n, 2).any(axis=1)
-        flags = [again[np.searchsorted(hashes, w)] for w in left[1:]]
+        pieces, rest = settled(content, found)
+        asked = [piece.windows(ask) for piece, _, ask in pieces]
+        every = np.concatenate([*asked, np.empty(0, np.uint64)])
+        hashes = distinct(every)
+        again = bits(rest, hashes, n, 2).any(axis=1)[places(hashes, every)]
         spans: list[list[tuple[int, int]]] = [[] for _ in content["text"]]
-        for piece, (sure, rest), flag in zip(_pieces(content["text"], length), pieces, flags):
-            for d, s, e in zip(*(x.tolist() for x in piece.spans(np.sort(np.concatenate((sure, rest[flag])))))):
+        done = 0
+        for piece, sure, ask in pieces:
+            repeats = np.zeros(len(piece.valid), bool)
+            repeats[sure] = True
+            repeats[ask[again[done:done + len(ask)]]] = True
+            done += len(ask)
+            for d, s, e in zip(*(x.tolist() for x in piece.spans(np.flatnonzero(repeats)))):
                 if spans[d] and s <= spans[d][-1][1]:  # fragments of one text overlap
                     spans[d][-1] = spans[d][-1][0], max(e, spans[d][-1][1])
                 else:
