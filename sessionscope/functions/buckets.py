@@ -10,9 +10,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 
 @dataclass(frozen=True)
 class Bucket:
@@ -48,17 +45,8 @@ STEP_BUCKETS: tuple[Bucket, ...] = (
 )
 
 
-def bucket_condition(value: Column, bucket: Bucket) -> Column:
-    """Boolean column: ``value`` lies in ``bucket`` (NULL never does)."""
-    cond = value >= F.lit(bucket.low)
-    if bucket.high is not None:
-        cond = cond & (value <= F.lit(bucket.high))
-    return cond
-
-
 def bucket_sql(value: str, bucket: Bucket) -> str:
-    """The same predicate as SQL text (valid in Spark SQL and DuckDB); the
-    statistics use it inside ``count_if`` and the oracles inside ``FILTER``."""
+    """``value`` lies in ``bucket``, as Spark SQL text for ``count_if`` (NULL never does)."""
     if bucket.high is None:
         return f"{value} >= {bucket.low}"
     return f"{value} BETWEEN {bucket.low} AND {bucket.high}"

@@ -1,68 +1,35 @@
 """Ratio rounding.
 
-The statistics report ``bucket / sessions`` rounded half-up to two decimals,
-where the rounding is applied to the *binary double* nearest the quotient
-(a decimal built from that double, then ``HALF_UP``). Away from an exact
-midpoint ``(2m+1)/200`` this equals exact rational rounding, because the
-quotient is at least ``1/(200 n)`` from any midpoint, far more than double
-error for any realistic ``n`` (< 10**13). At a midpoint the double lies just
-above or just below it; which one is a property of the midpoint alone, so
-the 100 cases are derived once below by rule, and the Spark expression stays
-on exact long arithmetic.
+The statistics report ``part / total`` rounded half-up to two decimals, where
+the rounding is applied to the *binary double* nearest the quotient (a decimal
+built from that double, then ``HALF_UP``). Away from an exact midpoint
+``(2m+1)/200`` this equals exact rational rounding, because the quotient is at
+least ``1/(200 n)`` from any midpoint, far more than double error for any
+realistic ``n`` (< 10**13). At a midpoint the double lies on it or just above
+or below it; that is decided by comparing the double with the midpoint in
+exact integers, for quotients of any size below 2**21.
 """
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _midpoints_rounding_down() -> tuple[int, ...]:
-    """Hundredths ``m`` whose midpoint ``(2m+1)/200`` is stored below itself.
-
-    ``(2*m + 1) / 200`` is a correctly rounded division, the same double the
-    quotient ``k / n`` becomes whenever ``k / n`` equals that midpoint.
-    """
-    down = []
-    for m in range(100):
-        as_double = (2 * m + 1) / 200
-        if Decimal(as_double) < Decimal(2 * m + 1) / Decimal(200):  # exact decimal
-            down.append(m)
-    return tuple(down)
-
-
-MIDPOINTS_ROUNDING_DOWN: tuple[int, ...] = _midpoints_rounding_down()
-
-
-def _ratio_sql(part: str, total: str, *, spark: bool) -> str:
-    """Half-up hundredths of ``part / total`` as SQL text, in Spark or DuckDB
-    dialect: exact long arithmetic, with the midpoint correction above."""
-    down = ", ".join(str(m) for m in MIDPOINTS_ROUNDING_DOWN)
-    k, n = f"({part})", f"nullif(({total}), 0)"   # NULL divisor, NULL ratio
-    div = "div" if spark else "//"
-    contains = (f"array_contains(array({down}), CAST((200 * {k}) {div} (2 * {n}) AS INT))" if spark
-                else f"list_contains([{down}], (200 * {k}) {div} (2 * {n}))")
-    return (
-        f"CAST(CASE WHEN (200 * {k}) % (2 * {n}) = {n} AND {contains} "
-        f"THEN (200 * {k}) {div} (2 * {n}) "
-        f"ELSE (200 * {k} + {n}) {div} (2 * {n}) END AS DOUBLE) / CAST(100 AS DOUBLE)"
-    )
-
-
 def ratio_half_up(part: str, total: str) -> Column:
     """``round_half_up(part / total, 2)`` as a double; NULL when total is 0.
 
     ``part`` and ``total`` name non-negative integer columns (or are SQL
     expressions over them). One SQL expression keeps plan building cheap.
-    The midpoint table covers quotients up to 1, which every bucket ratio is;
-    a larger quotient (a page-flow step can exceed its base) is rounded
-    exactly half-up.
     """
-    return F.expr(_ratio_sql(f"CAST({part} AS BIGINT)", f"CAST({total} AS BIGINT)", spark=True))
-
-
-def ratio_half_up_sql(part: str, total: str) -> str:
-    """The same rounding as DuckDB SQL text, for oracle queries."""
-    return _ratio_sql(part, total, spark=False)
+    k, n = f"CAST({part} AS BIGINT)", f"nullif(CAST({total} AS BIGINT), 0)"  # NULL divisor, NULL ratio
+    hundredths = f"((200 * {k}) div (2 * {n}))"
+    # scaled by a power of two the double becomes an exact integer
+    below = " OR ".join(
+        f"({k} >= {low} * {n} AND {k} < {high} * {n} AND "
+        f"CAST(CAST(CAST({k} AS DOUBLE) / {n} * {2 ** bits}D AS BIGINT) AS DECIMAL(19, 0)) * 200 "
+        f"< CAST(2 * {hundredths} + 1 AS DECIMAL(19, 0)) * CAST({2 ** bits} AS DECIMAL(19, 0)))"
+        for low, high, bits in ((0, 1, 60), (1, 512, 52), (512, 1 << 21, 42)))
+    return F.expr(
+        f"CAST(CASE WHEN (200 * {k}) % (2 * {n}) = {n} AND ({below}) THEN {hundredths} "
+        f"ELSE (200 * {k} + {n}) div (2 * {n}) END AS DOUBLE) / CAST(100 AS DOUBLE)")

@@ -14,7 +14,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Text formats of the action log and of the derived keys.
-ACTION_TIME_FORMAT = "yyyy-MM-dd H:mm:ss"   # hour may be one digit
+ACTION_TIME_FORMAT = "yyyy-M-d H:m:s"   # every field but the year may be one digit
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 DATE_FORMAT = "yyyy-MM-dd"
 DATE_HOUR_FORMAT = "yyyy-MM-dd_HH"
@@ -25,11 +25,12 @@ MINUTE_KEY_FORMAT = "yyyyMMddHHmm"
 def parse_action_time(text: Column) -> Column:
     """Action-time text to ``timestamp_ntz``; NULL when it does not parse.
 
-    Accepts a one- or two-digit hour; out-of-range fields (minute 61) give
-    NULL instead of rolling over. ``try_to_timestamp`` only screens the text
+    Accepts one- or two-digit fields and ignores a fraction of a second;
+    out-of-range fields (minute 61) give NULL instead of rolling over. ``try_to_timestamp`` only screens the text
     (it would resolve the wall clock in the session zone); the value comes
     from the zone-free ``to_timestamp_ntz``, evaluated only for valid text.
     """
+    text = F.substring_index(text, ".", 1)
     fmt = F.lit(ACTION_TIME_FORMAT)
     return F.when(F.try_to_timestamp(text, fmt).isNotNull(), F.to_timestamp_ntz(text, fmt))
 

@@ -47,13 +47,3 @@ def ratios_from_counts(counts: DataFrame, task_id=None) -> DataFrame:
 def session_aggr_stat(sessions: DataFrame, task_id=None) -> DataFrame:
     """One row: session count and the 15 ratios (NULL ratios when empty)."""
     return ratios_from_counts(bucket_counts(sessions), task_id)
-
-
-def visit_histogram(sessions: DataFrame) -> DataFrame:
-    return bucket_counts(sessions).select(
-        "session_count", *[F.col(f"visit_{b.name}") for b in VISIT_BUCKETS])
-
-
-def step_histogram(sessions: DataFrame) -> DataFrame:
-    return bucket_counts(sessions).select(
-        "session_count", *[F.col(f"step_{b.name}") for b in STEP_BUCKETS])

@@ -1,11 +1,12 @@
-"""Schemas of the inputs, the session record and the results."""
+"""Schemas of the inputs.
+
+Fixed values: column names and types of the action log and the user table.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import types as T
 
-from sessionscope.functions.buckets import STEP_BUCKETS, VISIT_BUCKETS
-
 # The action log as stored upstream: every value is text or a number,
 # dates and times are text (``yyyy-MM-dd`` and ``yyyy-MM-dd H:mm:ss``).
 RAW_ACTION_SCHEMA = T.StructType([
@@ -50,40 +51,3 @@ USER_SCHEMA = T.StructType([
     T.StructField("city", T.StringType()),
     T.StructField("sex", T.StringType()),
 ])
-
-TASK_SCHEMA = T.StructType([
-    T.StructField("task_id", T.LongType()),
-    T.StructField("task_name", T.StringType()),
-    T.StructField("create_time", T.StringType()),
-    T.StructField("start_time", T.StringType()),
-    T.StructField("finish_time", T.StringType()),
-    T.StructField("task_type", T.StringType()),
-    T.StructField("task_status", T.StringType()),
-    T.StructField("task_param", T.StringType()),
-])
-
-# One row per session (the rollup joined with its user).
-SESSION_SCHEMA = T.StructType([
-    T.StructField("session_id", T.StringType()),
-    T.StructField("user_id", T.LongType()),
-    T.StructField("search_keywords", T.ArrayType(T.StringType())),
-    T.StructField("click_category_ids", T.ArrayType(T.LongType())),
-    T.StructField("start_time", T.TimestampNTZType()),
-    T.StructField("end_time", T.TimestampNTZType()),
-    T.StructField("visit_length", T.LongType()),
-    T.StructField("step_length", T.LongType()),
-    T.StructField("age", T.IntegerType()),
-    T.StructField("professional", T.StringType()),
-    T.StructField("city", T.StringType()),
-    T.StructField("sex", T.StringType()),
-])
-
-VISIT_RATIO_COLUMNS = tuple(f"visit_length_{b.name}_ratio" for b in VISIT_BUCKETS)
-STEP_RATIO_COLUMNS = tuple(f"step_length_{b.name}_ratio" for b in STEP_BUCKETS)
-
-# Result of one task's statistics, named as inside the library; the sink
-# renames the ratio columns to the bucket names of the stored table.
-SESSION_AGGR_STAT_SCHEMA = T.StructType(
-    [T.StructField("task_id", T.LongType()), T.StructField("session_count", T.LongType())]
-    + [T.StructField(c, T.DoubleType()) for c in VISIT_RATIO_COLUMNS + STEP_RATIO_COLUMNS]
-)

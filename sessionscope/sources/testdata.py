@@ -4,10 +4,12 @@
 ``nation`` becomes ``user_info``. The relabelling is a test fixture; the
 library works on any table with the action and user schemas.
 
-A session is one user's actions on one day. Two clocks place an event in
-its day: ``second`` keeps the time of day (whole seconds), ``minute`` reads
-minutes as seconds (``13:07:42`` becomes ``00:13:07``), which spreads the
-sparse test sessions over every visit-length bucket.
+Four clocks say what a session is and place its events in time: ``second``
+(one user's actions on one day, time of day in whole seconds), ``minute`` (the
+same sessions, minutes read as seconds: ``13:07:42`` becomes ``00:13:07``),
+``hour`` (a user's actions in five days, hours since their start read as
+seconds) and ``month`` (a user's actions in a month, real seconds). Together
+they put sessions into every visit-length and step-length bucket.
 
 Each adapter has its DuckDB twin (``*_SQL``) so oracle queries see the very
 same rows.
@@ -18,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-CLOCKS = ("second", "minute")
+CLOCKS = ("second", "minute", "hour", "month")
 
 
 # The driver tables' schemas, declared so that reads skip footer inference.
@@ -29,26 +31,34 @@ TABLE_SCHEMAS = {
 }
 
 
-def _clock_seconds_sql(clock: str) -> str:
-    if clock == "second":
-        return "hour(ts) * 3600 + minute(ts) * 60 + second(ts)"
-    if clock == "minute":
-        return "hour(ts) * 60 + minute(ts)"
-    raise ValueError(f"clock must be one of {CLOCKS}, got {clock!r}")
+# Of each clock: the session's first day and its key (``{day}`` is the day),
+# and the seconds behind midnight of that day.
+_SPARK_CLOCKS = {
+    "second": ("to_date(ts)", "replace(CAST(to_date(ts) AS STRING), '-', '')",
+               "hour(ts) * 3600 + minute(ts) * 60 + second(ts)"),
+    "minute": ("to_date(ts)", "replace(CAST(to_date(ts) AS STRING), '-', '')", "hour(ts) * 60 + minute(ts)"),
+    "hour": ("date_sub(to_date(ts), datediff(to_date(ts), DATE '2024-01-01') % 5)",
+             "concat('b', CAST(datediff(to_date(ts), DATE '2024-01-01') div 5 AS STRING))",
+             "(datediff(to_date(ts), DATE '2024-01-01') % 5) * 24 + hour(ts)"),
+    "month": ("to_date(ts)", "substring(CAST(to_date(ts) AS STRING), 1, 7)",
+              "hour(ts) * 3600 + minute(ts) * 60 + second(ts)"),
+}
 
 
 def actions_from_events(events: DataFrame, clock: str = "minute") -> DataFrame:
     """``events`` as an action log (schema ``ACTION_SCHEMA``)."""
-    secs = _clock_seconds_sql(clock)
+    if clock not in CLOCKS:
+        raise ValueError(f"clock must be one of {CLOCKS}, got {clock!r}")
+    day, key, secs = _SPARK_CLOCKS[clock]
     return events.selectExpr(
         "event_id", "ts", "user_id", "event_type", "CAST(get_json_object(props, '$.k') AS BIGINT) AS k",
     ).selectExpr(
         "event_id AS action_id",
         "to_date(ts) AS date",
         "user_id",
-        "concat_ws('_', CAST(user_id AS STRING), replace(CAST(to_date(ts) AS STRING), '-', '')) AS session_id",
+        f"concat_ws('_', CAST(user_id AS STRING), {key}) AS session_id",
         "event_id % 10 AS page_id",
-        f"timestampadd(SECOND, {secs}, CAST(to_date(ts) AS TIMESTAMP_NTZ)) AS action_time",
+        f"timestampadd(SECOND, {secs}, CAST({day} AS TIMESTAMP_NTZ)) AS action_time",
         "CASE WHEN event_type = 'view' THEN concat('kw', CAST(k AS STRING)) END AS search_keyword",
         "CASE WHEN event_type = 'click' THEN k END AS click_category_id",
         "CASE WHEN event_type = 'click' THEN event_id % 100 END AS click_product_id",
@@ -91,20 +101,25 @@ def load_users(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- DuckDB twins of the adapters (oracle side) -------------------------
 
+_DAYS_SQL = "date_diff('day', DATE '2024-01-01', CAST(ts AS DATE))"
+_DUCKDB_CLOCKS = {
+    "second": ("CAST(ts AS DATE)", "strftime(ts, '%Y%m%d')", "hour(ts) * 3600 + minute(ts) * 60 + second(ts)"),
+    "minute": ("CAST(ts AS DATE)", "strftime(ts, '%Y%m%d')", "hour(ts) * 60 + minute(ts)"),
+    "hour": (f"CAST(DATE '2024-01-01' + CAST(5 * ({_DAYS_SQL} // 5) AS INTEGER) AS DATE)",
+             f"'b' || CAST({_DAYS_SQL} // 5 AS VARCHAR)", f"({_DAYS_SQL} % 5) * 24 + hour(ts)"),
+    "month": ("CAST(ts AS DATE)", "strftime(ts, '%Y-%m')", "hour(ts) * 3600 + minute(ts) * 60 + second(ts)"),
+}
+
+
 def actions_sql(clock: str = "minute") -> str:
-    if clock == "second":
-        secs = "hour(ts) * 3600 + minute(ts) * 60 + second(ts)"
-    elif clock == "minute":
-        secs = "hour(ts) * 60 + minute(ts)"
-    else:
-        raise ValueError(clock)
+    day, key, secs = _DUCKDB_CLOCKS[clock]
     return f"""
     SELECT event_id AS action_id,
            CAST(ts AS DATE) AS date,
            user_id,
-           CAST(user_id AS VARCHAR) || '_' || strftime(ts, '%Y%m%d') AS session_id,
+           CAST(user_id AS VARCHAR) || '_' || {key} AS session_id,
            event_id % 10 AS page_id,
-           CAST(CAST(ts AS DATE) AS TIMESTAMP) + to_seconds({secs}) AS action_time,
+           CAST({day} AS TIMESTAMP) + to_seconds({secs}) AS action_time,
            CASE WHEN event_type = 'view' THEN 'kw' || CAST(k AS VARCHAR) END AS search_keyword,
            CASE WHEN event_type = 'click' THEN k END AS click_category_id,
            CASE WHEN event_type = 'click' THEN event_id % 100 END AS click_product_id,
