@@ -11,12 +11,12 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessionscope.functions.buckets import STEP_BUCKETS, VISIT_BUCKETS, bucket_sql
-from sessionscope.functions.numbers import ratio_half_up_sql
+from sessionscope.functions.buckets import STEP_BUCKETS, VISIT_BUCKETS
 from sessionscope.functions.timefmt import format_action_time, format_date, format_time
 from sessionscope.operators.sessions import (
     actions_in_range, render_lists, rollup_sessions, session_records,
@@ -27,7 +27,7 @@ from sessionscope.operators.extract import random_extract, session_detail
 from sessionscope.operators.flow import page_flow_conversion
 from sessionscope.operators.multi import multi_task_stat
 from sessionscope.operators.rollups import (
-    action_gaps, actions_per_minute, daily_rollup, sessions_per_hour,
+    action_gaps, actions_around, actions_per_minute, daily_rollup, sessions_per_hour,
 )
 from sessionscope.operators.topn import counts_of_sessions, top_categories, top_sessions_per_category
 from sessionscope.plans.job import filtered_sessions
@@ -38,8 +38,8 @@ from sessionscope.sources.testdata import USERS_SQL, actions_sql, load_actions,
 # ---------------------------------------------------------------- tasks --
 # The month the test tables cover, and the parameters of the filter queries.
 MONTH = TaskParams.of("2024-01-01", "2024-01-31", task_id=1)
+STAT_CLOCKS = ("minute", "hour", "month")    # every bucket holds sessions under one of them
 TWO_WEEKS = TaskParams.of("2024-01-08", "2024-01-21", task_id=2)
-NO_ACTIONS = TaskParams.of("2023-06-01", "2023-06-30", task_id=9)     # a month without actions
 FILTER_TASKS: dict[str, TaskParams] = {
     "filter_age": TaskParams.of("2024-01-01", "2024-01-31", start_age=25, end_age=40),
     "filter_professional": TaskParams.of("2024-01-01", "2024-01-31", professionals="BUILDING,FURNITURE"),
@@ -98,22 +98,23 @@ def q_session_counts(spark, sf):
 
 
 def _histogram(kind: str, buckets):
+    """The histogram under every clock; together they fill all buckets."""
     def q(spark, sf):
-        counts = bucket_counts(session_records(_actions(spark, sf, MONTH), load_users(spark, sf)))
+        users = load_users(spark, sf)
         pairs = ", ".join(f"'{b.name}', `{kind}_{b.name}`" for b in buckets)
-        return counts.selectExpr(f"stack({len(buckets)}, {pairs}) AS (bucket, sessions)")
+        parts = [bucket_counts(session_records(_actions(spark, sf, MONTH, clock), users))
+                 .selectExpr(f"'{clock}' AS clock", f"stack({len(buckets)}, {pairs}) AS (bucket, sessions)")
+                 for clock in STAT_CLOCKS]
+        return reduce(DataFrame.unionByName, parts)
     return q
 
 
 def q_session_aggr_stat(spark, sf):
-    return session_aggr_stat(
-        filtered_sessions(_actions(spark, sf), load_users(spark, sf), MONTH), MONTH.task_id)
-
-
-def q_session_aggr_stat_empty(spark, sf):
-    """A task whose range holds no action still gets its row: count 0, NULL ratios."""
-    return session_aggr_stat(
-        filtered_sessions(_actions(spark, sf), load_users(spark, sf), NO_ACTIONS), NO_ACTIONS.task_id)
+    """The flagship statistics, one task per clock."""
+    users = load_users(spark, sf)
+    parts = [session_aggr_stat(filtered_sessions(_actions(spark, sf, clock=clock), users, MONTH), task_id)
+             for task_id, clock in enumerate(STAT_CLOCKS, start=1)]
+    return reduce(DataFrame.unionByName, parts)
 
 
 # ----------------------------------------------------------- oracle side --
@@ -184,29 +185,68 @@ def filtered_cte(p: TaskParams) -> str:
     return f"filtered AS (SELECT * FROM records WHERE {where_sql(p)})"
 
 
+# The buckets' edges as the statistics define them, written out
+# here so that the oracle does not depend on the library's own table.
+VISIT_EDGES_SQL = {
+    "1s_3s": "visit_length >= 1 AND visit_length <= 3",
+    "4s_6s": "visit_length >= 4 AND visit_length <= 6",
+    "7s_9s": "visit_length >= 7 AND visit_length <= 9",
+    "10s_30s": "visit_length >= 10 AND visit_length <= 30",
+    "30s_60s": "visit_length > 30 AND visit_length <= 60",
+    "1m_3m": "visit_length > 60 AND visit_length <= 180",
+    "3m_10m": "visit_length > 180 AND visit_length <= 600",
+    "10m_30m": "visit_length > 600 AND visit_length <= 1800",
+    "30m": "visit_length > 1800",
+}
+STEP_EDGES_SQL = {
+    "1_3": "step_length >= 1 AND step_length <= 3",
+    "4_6": "step_length >= 4 AND step_length <= 6",
+    "7_9": "step_length >= 7 AND step_length <= 9",
+    "10_30": "step_length >= 10 AND step_length <= 30",
+    "30_60": "step_length > 30 AND step_length <= 60",
+    "60": "step_length > 60",
+}
 COUNTS_SELECT = ", ".join(
     ["count(*) AS session_count"]
-    + [f"count(*) FILTER (WHERE {bucket_sql('visit_length', b)}) AS visit_{b.name}" for b in VISIT_BUCKETS]
-    + [f"count(*) FILTER (WHERE {bucket_sql('step_length', b)}) AS step_{b.name}" for b in STEP_BUCKETS]
+    + [f"count(*) FILTER (WHERE {e}) AS visit_{b}" for b, e in VISIT_EDGES_SQL.items()]
+    + [f"count(*) FILTER (WHERE {e}) AS step_{b}" for b, e in STEP_EDGES_SQL.items()]
 )
 
 
-def _stat_sql(p: TaskParams) -> str:
-    ratios = [f"{ratio_half_up_sql(f'visit_{b.name}', 'session_count')} AS visit_length_{b.name}_ratio"
-              for b in VISIT_BUCKETS]
-    ratios += [f"{ratio_half_up_sql(f'step_{b.name}', 'session_count')} AS step_length_{b.name}_ratio"
-               for b in STEP_BUCKETS]
-    return with_sql(uva_cte(), USERS_CTE, sessions_cte(p), RECORDS_CTE, filtered_cte(p),
+def half_up_sql(part: str, total: str) -> str:
+    """DuckDB: the double ``part / total`` rounded half-up by its exact binary value.
+
+    From 2**-8 on a double below 2**40 times 2**60 is an exact integer, so the
+    rounding is integer arithmetic; anything smaller rounds to 0.
+    """
+    q = f"(CAST({part} AS DOUBLE) / CAST({total} AS DOUBLE))"
+    one = 1 << 60
+    exact = f"((CAST({q} * {one}.0::DOUBLE AS HUGEINT) * 200 + {one}) // {2 * one})"
+    return (f"CASE WHEN {total} = 0 THEN NULL WHEN {q} < 0.00390625 THEN 0.0::DOUBLE "
+            f"ELSE CAST({exact} AS DOUBLE) / 100.0::DOUBLE END")
+
+
+def _stat_sql(p: TaskParams, clock="minute", task_id=None) -> str:
+    ratios = [f"{half_up_sql(f'visit_{b}', 'session_count')} AS visit_length_{b}_ratio" for b in VISIT_EDGES_SQL]
+    ratios += [f"{half_up_sql(f'step_{b}', 'session_count')} AS step_length_{b}_ratio" for b in STEP_EDGES_SQL]
+    return with_sql(uva_cte(clock), USERS_CTE, sessions_cte(p), RECORDS_CTE, filtered_cte(p),
                     f"counts AS (SELECT {COUNTS_SELECT} FROM filtered)",
-                    body=f"SELECT CAST({p.task_id} AS BIGINT) AS task_id, session_count, "
+                    body=f"SELECT CAST({task_id or p.task_id} AS BIGINT) AS task_id, session_count, "
                          f"{', '.join(ratios)} FROM counts")
 
 
-def _histogram_sql(kind: str, buckets) -> str:
-    rows = " UNION ALL ".join(f"SELECT '{b.name}' AS bucket, {kind}_{b.name} AS sessions FROM counts"
-                              for b in buckets)
-    return with_sql(uva_cte(), USERS_CTE, sessions_cte(MONTH), RECORDS_CTE,
-                    f"counts AS (SELECT {COUNTS_SELECT} FROM records)", body=rows)
+def _histogram_sql(kind: str, edges) -> str:
+    parts = []
+    for clock in STAT_CLOCKS:
+        rows = " UNION ALL ".join(f"SELECT '{clock}' AS clock, '{b}' AS bucket, {kind}_{b} AS sessions FROM counts"
+                                  for b in edges)
+        parts.append(with_sql(uva_cte(clock), USERS_CTE, sessions_cte(MONTH), RECORDS_CTE,
+                              f"counts AS (SELECT {COUNTS_SELECT} FROM records)", body=rows))
+    return _union_sql(parts)
+
+
+def _union_sql(parts) -> str:
+    return " UNION ALL ".join(f"SELECT * FROM ({x})" for x in parts)
 
 
 ACTION_COLUMNS_SQL = """action_id, strftime(date, '%Y-%m-%d') AS date, user_id, session_id, page_id,
@@ -225,10 +265,9 @@ def _oracles() -> dict[str, str]:
         "session_counts": with_sql(uva_cte(), USERS_CTE, sessions_cte(FILTER_TASKS["filter_all"]), RECORDS_CTE,
                                    filtered_cte(FILTER_TASKS["filter_all"]),
                                    body=f"SELECT {COUNTS_SELECT} FROM filtered"),
-        "visit_histogram": _histogram_sql("visit", VISIT_BUCKETS),
-        "step_histogram": _histogram_sql("step", STEP_BUCKETS),
-        "session_aggr_stat": _stat_sql(MONTH),
-        "session_aggr_stat_empty": _stat_sql(NO_ACTIONS),
+        "visit_histogram": _histogram_sql("visit", VISIT_EDGES_SQL),
+        "step_histogram": _histogram_sql("step", STEP_EDGES_SQL),
+        "session_aggr_stat": _union_sql([_stat_sql(MONTH, clock, i) for i, clock in enumerate(STAT_CLOCKS, start=1)]),
     }
     for name, p in FILTER_TASKS.items():
         o[name] = with_sql(uva_cte(), USERS_CTE, sessions_cte(p), RECORDS_CTE, filtered_cte(p),
@@ -269,11 +308,14 @@ def q_user_info(spark, sf):
 
 
 def q_raw_action_log(spark, sf):
-    """Actions written as the raw text log (one-digit hours) and read back."""
+    """Actions written as the raw text log and read back: one-digit hours, and
+    for some actions one-digit fields throughout or milliseconds."""
     acts = load_actions(spark, sf, "second")
+    text, way = format_action_time(F.col("action_time")), F.col("action_id") % 3
+    short = F.regexp_replace(text, "(?<=[- :])0(?=[0-9])", "")
     raw = acts.withColumns({
         "date": format_date(F.col("date")),
-        "action_time": format_action_time(F.col("action_time")),
+        "action_time": F.when(way == 0, text).when(way == 1, short).otherwise(F.concat(text, F.lit(".123"))),
     })
     return _render_actions(normalize_actions(raw))
 
@@ -303,6 +345,12 @@ def q_actions_per_minute(spark, sf):
     return actions_per_minute(_actions(spark, sf, MONTH, clock="second"))
 
 
+def q_actions_around_noon(spark, sf):
+    """Actions of each session before and after noon of the action's day."""
+    noon = F.col("date").cast("timestamp_ntz") + F.expr("INTERVAL 12 HOURS")
+    return actions_around(_actions(spark, sf, MONTH, clock="second"), noon)
+
+
 def q_daily_rollup(spark, sf):
     return daily_rollup(_real_sessions(spark, sf))
 
@@ -409,15 +457,11 @@ def _flow_sql():
                      AS prev_page_id FROM uva_r WHERE session_id IS NOT NULL)""",
         f"counted AS (SELECT {counted} FROM pairs)", f"steps AS ({rows})",
         body=f"SELECT CAST(step AS INTEGER) AS step, page_pair, transitions, base, "
-             f"{ratio_half_up_sql('transitions', 'base')} AS conversion_rate FROM steps")
+             f"{half_up_sql('transitions', 'base')} AS conversion_rate FROM steps")
 
 
 def _multi_sql():
-    parts = []
-    for tid, text in TASK_ROWS:
-        p = _task_params_from_json(tid, text)
-        parts.append(f"({_stat_sql(p)})")
-    return " UNION ALL ".join(f"SELECT * FROM {x}" for x in parts)
+    return _union_sql([_stat_sql(_task_params_from_json(tid, text)) for tid, text in TASK_ROWS])
 
 
 def _more_oracles() -> dict[str, str]:
@@ -442,6 +486,10 @@ def _more_oracles() -> dict[str, str]:
         "actions_per_minute": with_sql(uva_cte("second"), _range_cte("uva_r", MONTH), body="""
             SELECT strftime(action_time, '%Y%m%d%H%M') AS minute_key, count(*) AS actions,
                    count(DISTINCT session_id) AS sessions FROM uva_r GROUP BY 1"""),
+        "actions_around_noon": with_sql(uva_cte("second"), _range_cte("uva_r", MONTH), body="""
+            SELECT session_id, count(*) FILTER (WHERE hour(action_time) < 12) AS actions_before,
+                   count(*) FILTER (WHERE action_time > date_trunc('day', action_time) + INTERVAL 12 HOUR)
+                   AS actions_after FROM uva_r GROUP BY session_id"""),
         "daily_rollup": with_sql(*_sessions_body(MONTH, "second"), body="""
             SELECT strftime(start_time, '%Y%m%d') AS date_key, count(*) AS sessions,
                    CAST(sum(step_length) AS BIGINT) AS actions, count(DISTINCT user_id) AS users,
@@ -482,11 +530,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "visit_histogram": _histogram("visit", VISIT_BUCKETS),
         "step_histogram": _histogram("step", STEP_BUCKETS),
         "session_aggr_stat": q_session_aggr_stat,
-        "session_aggr_stat_empty": q_session_aggr_stat_empty,
         "decode_session_records": q_decode_session_records,
         "action_gaps": q_action_gaps,
         "sessions_per_hour": q_sessions_per_hour,
         "actions_per_minute": q_actions_per_minute,
+        "actions_around_noon": q_actions_around_noon,
         "daily_rollup": q_daily_rollup,
         "top10_category": q_top10_category,
         "top10_category_session": q_top10_category_session,
