@@ -13,17 +13,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sessionscope.functions.numbers import ratio_half_up
-from sessionscope.operators.sequence import with_previous
+from sessionscope.operators.sequence import MAX_ROWS, with_previous
 
 
 def page_flow_conversion(actions: DataFrame, flow: list[int] | tuple[int, ...],
-                         num_partitions: int | None = None) -> DataFrame:
+                         max_rows: int = MAX_ROWS) -> DataFrame:
     flow = [int(p) for p in flow]
     if len(flow) < 2:
         raise ValueError("a page flow needs at least two pages")
     steps = list(zip(flow[:-1], flow[1:]))
     acts = actions.where(F.col("session_id").isNotNull()).select("session_id", "action_time", "action_id", "page_id")
-    pairs = with_previous(acts, "session_id", ["action_time", "action_id"], ["page_id"], num_partitions)
+    pairs = with_previous(acts, "session_id", ["action_time", "action_id"], ["page_id"], max_rows)
     prev, page = F.col("prev_page_id"), F.col("page_id")
     # one global aggregate: views of the first page and every step's transitions
     counted = pairs.agg(

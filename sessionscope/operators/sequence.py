@@ -1,111 +1,81 @@
 """Previous row within an ordered group, without one task per group.
 
-A window ``partitionBy(key).orderBy(...)`` sends a whole group to one task;
-a session holding a third of all actions would then be sorted by a single
-task. Here the rows are *range*-partitioned on ``(key, order…)`` instead:
-the sampled range bounds cut a hot key across as many partitions as its
-size needs, and every partition is about equally large.
+A window ``partitionBy(key).orderBy(...)`` sends a whole group to one task; a
+group holding a third of all rows would then be sorted by a single task. Here
+groups of more than ``max_rows`` rows are cut into slices first:
 
-1. ``repartitionByRange(n, key, *order)`` then sort within partitions.
-2. ``mapInArrow`` walks each partition in order, carrying the last row
-   across Arrow batches, and fills ``prev_<col>`` where the previous row has
-   the same key. Only the first row of a partition is left open.
-3. The last row of every non-empty partition (a partial ``max_by`` per
-   partition: at most ``n`` rows) is linked to the next partition with a
-   ``lag`` over those ≤ n rows; the result is broadcast — its size is
-   bounded by the partition count, not by the data — and closes the gap.
+1. one job counts the rows by key (partial counts per task) and takes, for
+   every key above the limit, a sample of its order values, chosen by hash so
+   that it is about ``SAMPLE`` values per slice;
+2. every so-many-th sampled value becomes a bound. The bounds are *values*:
+   which slice a row is in follows from the row alone, wherever and however
+   often it is computed;
+3. the previous row comes from a window over (key, slice); the first row of a
+   slice takes the last row of the slice before it. There are at most
+   ``rows / max_rows`` bounds and as many last rows, so both are broadcast.
 
-Steps 2 and 3 read one range exchange (exchange reuse, checked by a
-test), and the partition count is explicit so adaptive execution does not
-coalesce it; both see the same partition ids.
+Without a large group the plan is just the window.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-PID = "_seq_pid"
-FIRST = "_seq_first"
+MAX_ROWS = 1_000_000  # of one group in one task
+SAMPLE = 32           # sampled order values per slice
 
 
-def _previous_in_partition(key: str, carry: list[str], prefix: str):
-    def run(batches):
-        from pyspark import TaskContext
-
-        pid = TaskContext.get().partitionId()
-        tail = None  # last row seen in this partition: (key, {col: 1-element array})
-        for rb in batches:
-            n = rb.num_rows
-            if n == 0:
-                continue
-            names = rb.schema.names
-            keys = rb.column(names.index(key))
-            if tail is None:
-                head_key = pa.nulls(1, keys.type)
-                heads = {c: pa.nulls(1, rb.column(names.index(c)).type) for c in carry}
-            else:
-                head_key, heads = tail
-            prev_keys = pa.concat_arrays([head_key, keys.slice(0, n - 1)])
-            same = pc.fill_null(pc.equal(keys, prev_keys), False)
-            cols = list(rb.columns)
-            out_names = list(names)
-            for c in carry:
-                col = rb.column(names.index(c))
-                prev = pa.concat_arrays([heads[c], col.slice(0, n - 1)])
-                cols.append(pc.if_else(same, prev, pa.nulls(n, col.type)))
-                out_names.append(prefix + c)
-            first = np.zeros(n, dtype=bool)
-            first[0] = tail is None
-            cols.append(pa.array(np.full(n, pid, dtype=np.int32)))
-            cols.append(pa.array(first))
-            out_names += [PID, FIRST]
-            yield pa.RecordBatch.from_arrays(cols, names=out_names)
-            tail = (keys.slice(n - 1, 1),
-                    {c: rb.column(names.index(c)).slice(n - 1, 1) for c in carry})
-    return run
+def _bounds(df: DataFrame, key: str, order: list[str], max_rows: int) -> DataFrame | None:
+    """(key, bounds): the order values at which a large group is cut; None without one."""
+    large = [(r[0], r[1]) for r in df.where(F.col(key).isNotNull()).groupBy(key)
+             .agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > max_rows).collect()]
+    if not large:
+        return None
+    spark = df.sparkSession
+    value = F.struct(*[F.col(c) for c in order])
+    rates = spark.createDataFrame([(k, max(1, max_rows // SAMPLE)) for k, _ in large],
+                                  f"`{key}` {df.schema[key].dataType.simpleString()}, _rate long")
+    sample = (df.join(F.broadcast(rates), key)
+              .where(F.pmod(F.xxhash64(*order), F.col("_rate")) == 0)
+              .select(key, value.alias("_at")).orderBy(key, "_at"))
+    cuts: dict = {}
+    for r in sample.collect():  # about SAMPLE * rows / max_rows values
+        cuts.setdefault(r[0], []).append(r[1])
+    rows = [(k, [tuple(v) for v in values[SAMPLE // 2::SAMPLE]]) for k, values in cuts.items()]
+    kind = df.select(value.alias("_at")).schema["_at"].dataType.simpleString()
+    return spark.createDataFrame(rows, f"`{key}` {df.schema[key].dataType.simpleString()}, _bounds array<{kind}>")
 
 
 def with_previous(df: DataFrame, key: str, order: list[str], carry: list[str],
-                  num_partitions: int | None = None, prefix: str = "prev_") -> DataFrame:
+                  max_rows: int = MAX_ROWS, prefix: str = "prev_") -> DataFrame:
     """Add ``prefix + c`` for each ``c`` in ``carry``: its value on the
     previous row of the same ``key`` in ``order`` (NULL on a group's first
-    row). ``order`` must make rows unique within a key."""
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, F.col(key), *[F.col(c) for c in order])
-
-    fields = list(df.schema.fields)
-    by_name = {f.name: f for f in fields}
-    out_schema = T.StructType(
-        fields
-        + [T.StructField(prefix + c, by_name[c].dataType, True) for c in carry]
-        + [T.StructField(PID, T.IntegerType(), False), T.StructField(FIRST, T.BooleanType(), False)]
-    )
-    walked = ranged.sortWithinPartitions(key, *order).mapInArrow(
-        _previous_in_partition(key, carry, prefix), out_schema)
-
-    # The boundary branch must read the *same* range exchange as the walk:
-    # the sampled bounds are seeded per RDD, so a second exchange could cut
-    # elsewhere. Keeping every column in the struct stops column pruning from
-    # making this branch's exchange differ, and the exchange is reused.
-    order_struct = F.struct(*[F.col(c) for c in [key] + order])
-    row_struct = F.struct(*[F.col(f.name) for f in fields])
-    lasts = (ranged.withColumn(PID, F.spark_partition_id())
-             .groupBy(PID)
-             .agg(F.max_by(row_struct, order_struct).alias("_row"))
-             .select(PID, F.struct(F.col(f"_row.{key}").alias("k"),
-                                   *[F.col(f"_row.{c}").alias(c) for c in carry]).alias("_last")))
-    # at most n rows; one partition is enough for a lag over them
-    links = (lasts.withColumn("_pred", F.lag("_last").over(Window.orderBy(PID)))
-             .select(PID, "_pred"))
-
-    joined = walked.join(F.broadcast(links), PID, "left")
-    link_ok = F.col(FIRST) & (F.col("_pred.k") == F.col(key))
-    fixed = {prefix + c: F.when(link_ok, F.col(f"_pred.{c}")).otherwise(F.col(prefix + c))
-             for c in carry}
-    return joined.withColumns(fixed).drop("_pred", PID, FIRST)
+    row, and where the key is NULL). ``order`` must make rows unique within a
+    key."""
+    at = F.struct(*[F.col(c) for c in order])
+    bounds = _bounds(df, key, order, max_rows)
+    # rows without a key have no previous row; they are spread by hash
+    unkeyed = F.pmod(F.xxhash64(*order), F.lit(4096)).cast("int")
+    if bounds is None:
+        w = Window.partitionBy(key, "_slice").orderBy(*order)
+        sliced = df.withColumn("_slice", F.when(F.col(key).isNull(), unkeyed).otherwise(0))
+        previous = {prefix + c: F.when(F.col(key).isNotNull(), F.lag(c).over(w)) for c in carry}
+        return sliced.withColumns(previous).drop("_slice")
+    # NULL order values come first, in Spark's ordering of structs as in the window
+    passed = F.size(F.filter("_bounds", lambda b: b <= at))
+    sliced = df.join(F.broadcast(bounds), key, "left").withColumn(
+        "_slice", F.when(F.col(key).isNull(), unkeyed).when(F.col("_bounds").isNull(), 0).otherwise(passed))
+    w = Window.partitionBy(key, "_slice").orderBy(*order)
+    walked = sliced.withColumns({
+        "_first": F.row_number().over(w) == 1,
+        **{prefix + c: F.when(F.col(key).isNotNull(), F.lag(c).over(w)) for c in carry}})
+    lasts = (sliced.where(F.col("_bounds").isNotNull()).groupBy(key, "_slice")
+             .agg(F.max_by(F.struct(*[F.col(c) for c in carry]), at).alias("_last")))
+    links = lasts.select(F.col(key).alias("_key"), F.col("_slice").alias("_at_slice"),
+                         F.lag("_last").over(Window.partitionBy(key).orderBy("_slice")).alias("_pred"))
+    joined = walked.join(F.broadcast(links), F.col("_first") & (F.col(key) == F.col("_key"))
+                         & (F.col("_slice") == F.col("_at_slice")), "left")
+    linked = {prefix + c: F.when(F.col("_pred").isNotNull(), F.col(f"_pred.{c}")).otherwise(F.col(prefix + c))
+              for c in carry}
+    return joined.withColumns(linked).select(*df.columns, *linked)
