@@ -24,11 +24,11 @@ def age_predicate(p: TaskParams) -> Column | None:
 
 
 def professional_predicate(p: TaskParams) -> Column | None:
-    return F.col("professional").isin(list(p.professionals)) if p.professionals else None
+    return F.col("professional").isin(list(p.professionals)) if p.professionals is not None else None
 
 
 def city_predicate(p: TaskParams) -> Column | None:
-    return F.col("city").isin(list(p.cities)) if p.cities else None
+    return F.col("city").isin(list(p.cities)) if p.cities is not None else None
 
 
 def sex_predicate(p: TaskParams) -> Column | None:
@@ -36,16 +36,16 @@ def sex_predicate(p: TaskParams) -> Column | None:
 
 
 def keyword_predicate(p: TaskParams) -> Column | None:
-    if not p.keywords:
+    if p.keywords is None:
         return None
-    wanted = F.array(*[F.lit(k) for k in p.keywords])
+    wanted = F.array(*[F.lit(k) for k in p.keywords]).cast("array<string>")
     return F.coalesce(F.arrays_overlap(F.col("search_keywords"), wanted), F.lit(False))
 
 
 def category_predicate(p: TaskParams) -> Column | None:
-    if not p.category_ids:
+    if p.category_ids is None:
         return None
-    wanted = F.array(*[F.lit(int(c)).cast("long") for c in p.category_ids])
+    wanted = F.array(*[F.lit(int(c)) for c in p.category_ids]).cast("array<bigint>")
     return F.coalesce(F.arrays_overlap(F.col("click_category_ids"), wanted), F.lit(False))
 
 
@@ -67,5 +67,17 @@ def session_predicate(p: TaskParams) -> Column:
     return conjunction([f(p) for f in USER_PREDICATES + SESSION_PREDICATES])
 
 
+def keyword_match(p: TaskParams) -> Column | None:
+    """Aggregate over a session's actions: does one search a wanted keyword?"""
+    return None if p.keywords is None else \
+        F.coalesce(F.bool_or(F.col("search_keyword").isin(list(p.keywords))), F.lit(False))
+
+
+def category_match(p: TaskParams) -> Column | None:
+    """Aggregate over a session's actions: does one click a wanted category?"""
+    return None if p.category_ids is None else \
+        F.coalesce(F.bool_or(F.col("click_category_id").isin(list(p.category_ids))), F.lit(False))
+
+
 def filter_sessions(sessions: DataFrame, p: TaskParams) -> DataFrame:
     return sessions.where(session_predicate(p))

@@ -1,106 +1,90 @@
 """Statistics of many tasks in one job.
 
-The task table is parsed by Spark (``task_param_columns``). Every task's
-date range is expanded to (task_id, date) rows — tasks × days, checked
-before it is broadcast — and equi-joined on ``date``, so the range
-condition never becomes a nested-loop join. The actions are first rolled up
-per (session, day), so what overlapping tasks replicate is session-days, not
-actions; the day partials are combined per (task, session), joined to users,
-filtered by column-to-column predicates against the task's parameters and
-counted per task. A task
-whose filters keep nothing still gets its row (count 0, NULL ratios).
+The task table is read once and parsed by Spark; the tasks become part of the
+plan (their number is an argument, ``max_tasks``). The scan is bounded by the
+earliest start and the latest end of all tasks. Actions are first rolled up
+per (session, day) into fixed-width rows: times, steps and, per task with
+keyword or category lists, whether one was met. These rows are shuffled once,
+by session; only behind that shuffle is a day copied to the tasks that cover
+it and combined per (task, session), so overlapping tasks multiply rows inside
+a task of the job but not in the shuffle. A task whose filters keep nothing
+still gets its row (count 0, NULL ratios).
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sessionscope.functions.timefmt import seconds_between
-from sessionscope.operators.sessions import rollup_sessions
+from sessionscope.operators.filters import category_match, keyword_match, user_predicate
+from sessionscope.operators.sessions import actions_in_range
 from sessionscope.operators.stats import bucket_counts, ratios_from_counts
 from sessionscope.sources.tables import USER_COLUMNS
-from sessionscope.sources.tasks import task_param_columns
-
-MAX_BROADCAST_TASK_DAYS = 1_000_000           # (task, day) rows of ~16 bytes
-MAX_BROADCAST_PARAM_BYTES = 256 * 1024 * 1024  # parsed task parameters
-
-PARAM_COLUMNS = ("start_age", "end_age", "professionals", "cities", "sex", "keywords", "category_ids")
-
-
-def parsed_tasks(tasks: DataFrame) -> tuple[DataFrame, int, int]:
-    """Typed parameters of every task, the number of (task, day) rows and
-    the total parameter text size.
-
-    One small job validates all tasks and measures both; it raises on an
-    invalid task.
-    """
-    parsed = task_param_columns(tasks)
-    check = parsed.agg(
-        F.min(F.when(F.col("param_error").isNotNull(),
-                     F.concat(F.lit("task "), F.col("task_id").cast("string"), F.lit(": "),
-                              F.col("param_error")))).alias("error"),
-        F.coalesce(F.sum(F.greatest(F.datediff("end_date", "start_date") + 1, F.lit(0))),
-                   F.lit(0)).alias("task_days"),
-        F.coalesce(F.sum(F.length("task_param") + 16), F.lit(0)).alias("param_bytes"),
-    ).first()
-    if check["error"]:
-        raise ValueError(check["error"])
-    return parsed, int(check["task_days"]), int(check["param_bytes"])
-
-
-def _absent_or(value: Column, pred: Column) -> Column:
-    return value.isNull() | F.coalesce(pred, F.lit(False))
-
-
-def task_predicate() -> Column:
-    """The task filters as column-to-column predicates (absent → true)."""
-    age = (F.col("start_age").isNull() | F.col("end_age").isNull()
-           | F.coalesce(F.col("age").between(F.col("start_age"), F.col("end_age")), F.lit(False)))
-    return (age
-            & _absent_or(F.col("professionals"), F.array_contains(F.col("professionals"), F.col("professional")))
-            & _absent_or(F.col("cities"), F.array_contains(F.col("cities"), F.col("city")))
-            & _absent_or(F.col("sex_param"), F.col("sex_param") == F.col("sex"))
-            & _absent_or(F.col("keywords"), F.arrays_overlap(F.col("search_keywords"), F.col("keywords")))
-            & _absent_or(F.col("category_ids"), F.arrays_overlap(F.col("click_category_ids"), F.col("category_ids"))))
-
-
-def multi_task_sessions(actions: DataFrame, users: DataFrame, tasks: DataFrame) -> DataFrame:
-    """Filtered session records of every task, keyed by (task_id, session_id)."""
-    parsed, task_days, param_bytes = parsed_tasks(tasks)
-    days = (parsed.where(F.col("start_date") <= F.col("end_date"))
-            .select("task_id", F.explode(F.sequence("start_date", "end_date")).alias("date")))
-    if task_days <= MAX_BROADCAST_TASK_DAYS:            # measured above, not estimated
-        days = F.broadcast(days)
-    # Pre-aggregate to one row per (session, day) before the tasks replicate
-    # it: overlapping tasks multiply session-days, not actions.
-    daily = rollup_sessions(actions.where(F.col("date").isNotNull()), keys=("date",))
-    per_task = daily.join(days, "date")
+from sessionscope.sources.tasks import TaskParams, load_tasks
+
+
+def _by_task(tasks: list[TaskParams], predicate) -> Column:
+    """The row's own task's predicate (a missing one passes every row)."""
+    own = [(t.task_id, predicate(t)) for t in tasks]
+    branches = [(task_id, p) for task_id, p in own if p is not None]
+    if not branches:
+        return F.lit(True)
+    whens = reduce(lambda w, b: w.when(F.col("task_id") == b[0], b[1]), branches[1:],
+                   F.when(F.col("task_id") == branches[0][0], branches[0][1]))
+    return F.coalesce(whens.otherwise(F.lit(True)), F.lit(False))
+
+
+def task_dates(tasks: list[TaskParams]):
+    """Earliest start and latest end over the tasks that cover a day; None without one."""
+    covered = [(t.start_date, t.end_date) for t in tasks if t.start_date <= t.end_date]
+    return (min(s for s, _ in covered), max(e for _, e in covered)) if covered else None
+
+
+def multi_task_sessions(actions: DataFrame, users: DataFrame, tasks: list[TaskParams]) -> DataFrame:
+    """Session records (without lists) of every task that pass its predicates,
+    keyed by (task_id, session_id)."""
+    dates = task_dates(tasks)
+    acts = actions_in_range(actions, *dates) if dates else actions.where(F.lit(False))
+    flags = {f"_{kind}_{t.task_id}": c for t in tasks for kind, c in
+             (("keyword", keyword_match(t)), ("category", category_match(t))) if c is not None}
+    daily = (acts.where(F.col("session_id").isNotNull())
+             .groupBy("session_id", "date")
+             .agg(F.min("user_id").alias("user_id"), F.min("action_time").alias("start_time"),
+                  F.max("action_time").alias("end_time"), F.count(F.lit(1)).alias("step_length"),
+                  *[c.alias(name) for name, c in flags.items()])
+             .repartition("session_id"))
+    ranges = F.array(*[F.struct(F.lit(t.task_id).cast("long").alias("task_id"), F.lit(t.start_date).alias("first"),
+                                F.lit(t.end_date).alias("last")) for t in tasks])
+    covering = F.filter(ranges, lambda t: F.col("date").between(t["first"], t["last"]))
+    per_task = daily.select("*", F.explode(F.transform(covering, lambda t: t["task_id"])).alias("task_id"))
     sessions = (per_task.groupBy("task_id", "session_id")
-                .agg(F.min("user_id").alias("user_id"),
-                     F.sort_array(F.array_distinct(F.flatten(F.collect_list("search_keywords")))).alias("search_keywords"),
-                     F.sort_array(F.array_distinct(F.flatten(F.collect_list("click_category_ids")))).alias("click_category_ids"),
-                     F.min("start_time").alias("start_time"),
-                     F.max("end_time").alias("end_time"),
-                     F.sum("step_length").alias("step_length"))
+                .agg(F.min("user_id").alias("user_id"), F.min("start_time").alias("start_time"),
+                     F.max("end_time").alias("end_time"), F.sum("step_length").alias("step_length"),
+                     *[F.bool_or(name).alias(name) for name in flags])
                 .withColumn("visit_length", seconds_between(F.col("start_time"), F.col("end_time"))))
-    records = sessions.join(users.select(*USER_COLUMNS), "user_id")
-    params = parsed.select("task_id", *[F.col(c) for c in PARAM_COLUMNS if c != "sex"],
-                           F.col("sex").alias("sex_param"))
-    # a parsed value takes at most 8x its text (an id "1," becomes an 8-byte
-    # long plus an 8-byte offset), so this bounds the broadcast relation
-    if 8 * param_bytes <= MAX_BROADCAST_PARAM_BYTES:
-        params = F.broadcast(params)
-    return (records.join(params, "task_id")
-            .where(task_predicate())
-            .drop(*[c for c in PARAM_COLUMNS if c != "sex"], "sex_param"))
+    for kind in ("keyword", "category"):
+        sessions = sessions.where(_by_task(
+            tasks, lambda t: F.col(f"_{kind}_{t.task_id}") if f"_{kind}_{t.task_id}" in flags else None))
+    records = sessions.drop(*flags).join(users.select(*USER_COLUMNS), "user_id")
+    return records.where(_by_task(tasks, user_predicate))
+
 
+def multi_task_stat(actions: DataFrame, users: DataFrame, tasks: DataFrame,
+                    task_ids: list[int] | None = None, max_tasks: int = 1000) -> DataFrame:
+    """One ``session_aggr_stat`` row per task of the table (or per id given).
 
-def multi_task_stat(actions: DataFrame, users: DataFrame, tasks: DataFrame) -> DataFrame:
-    """One ``session_aggr_stat`` row per task."""
-    counts = bucket_counts(multi_task_sessions(actions, users, tasks), by=["task_id"])
-    all_tasks = tasks.select("task_id").distinct()
+    Missing or repeated ids and invalid tasks raise ``ValueError``.
+    """
+    params = load_tasks(tasks, task_ids, max_tasks)
+    wanted = actions.sparkSession.createDataFrame([(t.task_id,) for t in params], "task_id long")
+    if not params:
+        return ratios_from_counts(bucket_counts(
+            multi_task_sessions(actions, users, [TaskParams.of("1970-01-02", "1970-01-01")]), by=["task_id"]))
+    counts = bucket_counts(multi_task_sessions(actions, users, params), by=["task_id"])
     count_cols = [c for c in counts.columns if c != "task_id"]
-    filled = (all_tasks.join(counts, "task_id", "left")
+    filled = (wanted.join(counts, "task_id", "left")
               .select("task_id", *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in count_cols]))
     return ratios_from_counts(filled)

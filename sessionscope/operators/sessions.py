@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sessionscope.functions.timefmt import format_time, seconds_between
@@ -25,8 +25,8 @@ def actions_in_range(actions: DataFrame, start: str | dt.date, end: str | dt.dat
     return actions.where(date_range_predicate(F.col("date"), start, end))
 
 
-def rollup_sessions(actions: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
-    """One row per session id (per ``keys`` + session id when keys are given).
+def rollup_sessions(actions: DataFrame, flags: dict[str, Column] | None = None) -> DataFrame:
+    """One row per session id.
 
     user_id          smallest user id met (a session belongs to one user)
     search_keywords  distinct non-empty keywords, sorted
@@ -35,11 +35,13 @@ def rollup_sessions(actions: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame
     visit_length     whole seconds from start to end
     step_length      number of actions (also those without a time)
 
+    ``flags`` adds further aggregates, such as whether a keyword was met: a
+    yes or no costs a fixed-width column where the lists would be built.
     Actions without a session id are dropped.
     """
     sessions = (
         actions.where(F.col("session_id").isNotNull())
-        .groupBy(*keys, "session_id")
+        .groupBy("session_id")
         .agg(
             F.min("user_id").alias("user_id"),
             F.sort_array(F.collect_set(F.nullif(F.col("search_keyword"), F.lit("")))).alias("search_keywords"),
@@ -47,6 +49,7 @@ def rollup_sessions(actions: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame
             F.min("action_time").alias("start_time"),
             F.max("action_time").alias("end_time"),
             F.count(F.lit(1)).alias("step_length"),
+            *[c.alias(name) for name, c in (flags or {}).items()],
         )
     )
     return sessions.withColumn("visit_length", seconds_between(F.col("start_time"), F.col("end_time")))
@@ -55,10 +58,11 @@ def rollup_sessions(actions: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame
 def with_users(sessions: DataFrame, users: DataFrame) -> DataFrame:
     """Inner join on ``user_id``: sessions of unknown users drop out, a user
     listed twice doubles its sessions (as any inner join)."""
+    columns = ["session_id", "user_id", "search_keywords", "click_category_ids", "start_time",
+               "end_time", "visit_length", "step_length"]
+    flags = [c for c in sessions.columns if c not in columns]
     return sessions.join(users.select(*USER_COLUMNS), "user_id", "inner").select(
-        "session_id", "user_id", "search_keywords", "click_category_ids", "start_time",
-        "end_time", "visit_length", "step_length", "age", "professional", "city", "sex",
-    )
+        *columns, "age", "professional", "city", "sex", *flags)
 
 
 def session_records(actions: DataFrame, users: DataFrame, start=None, end=None) -> DataFrame:

@@ -44,8 +44,20 @@ def normalize_actions(raw: DataFrame) -> DataFrame:
     return typed.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in ACTION_SCHEMA.fields])
 
 
-def read_actions(spark: SparkSession, source: str, fmt: str = "parquet") -> DataFrame:
-    return normalize_actions(read_table(spark, source, fmt))
+def read_actions(spark: SparkSession, source: str, fmt: str = "parquet",
+                 start: str | dt.date | None = None, end: str | dt.date | None = None) -> DataFrame:
+    """The action log; with ``start`` and ``end`` only those dates.
+
+    A log that keeps dates as text is filtered on the text before it is typed
+    (``yyyy-MM-dd`` sorts like the date), so the bounds reach the scan.
+    """
+    raw = read_table(spark, source, fmt)
+    if start is None or end is None:
+        return normalize_actions(raw)
+    if dict(raw.dtypes).get("date") == "string":
+        raw = raw.where(F.col("date").between(as_date(start).isoformat(), as_date(end).isoformat()))
+    actions = normalize_actions(raw)
+    return actions.where(date_range_predicate(F.col("date"), start, end))
 
 
 def read_users(spark: SparkSession, source: str, fmt: str = "parquet") -> DataFrame:

@@ -14,7 +14,6 @@ single task is that same parse of one row, brought to the driver as a
 from __future__ import annotations
 
 import datetime as dt
-import sys
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -42,7 +41,7 @@ PARAM_MAP_TYPE = "map<string,array<string>>"
 @dataclass(frozen=True)
 class TaskParams:
     """Typed parameters of one task. ``None`` means the parameter is absent
-    and its predicate passes every session."""
+    and its predicate passes every session; an empty list passes none."""
 
     start_date: dt.date
     end_date: dt.date
@@ -147,8 +146,8 @@ def params_from_row(row) -> TaskParams:
         raise ValueError(f"task {d.get('task_id')}: {d['param_error']}")
 
     def opt(v):
-        # an absent parameter parses to NULL, and so does an empty list
-        return tuple(v) if v else None
+        # an absent parameter is NULL; a list without entries (",") matches nothing
+        return None if v is None else tuple(v)
 
     return TaskParams(
         start_date=d["start_date"], end_date=d["end_date"],
@@ -167,12 +166,34 @@ def load_task(tasks: DataFrame, task_id: int) -> TaskParams:
     return params_from_row(rows[0])
 
 
-def task_id_from_args(argv: list[str] | None = None) -> int:
-    """Task id from the first job argument."""
-    argv = sys.argv[1:] if argv is None else argv
-    if not argv:
-        raise ValueError("usage: job <task_id>")
+def load_tasks(tasks: DataFrame, task_ids: list[int] | None = None, max_tasks: int = 1000) -> list[TaskParams]:
+    """Parse several tasks (all by default) in one read, by id.
+
+    Raises if an id is missing or repeated, a task is invalid, or there are
+    more than ``max_tasks``: every task adds expressions to the plan.
+    """
+    if task_ids is not None:
+        tasks = tasks.where(F.col("task_id").isin(task_ids))
+    rows = task_param_columns(tasks).orderBy("task_id").limit(max_tasks + 1).collect()
+    if len(rows) > max_tasks:
+        raise ValueError(f"more than {max_tasks} tasks in one job")
+    found = [r["task_id"] for r in rows]
+    missing = sorted(set(task_ids or ()) - set(found))
+    if missing:
+        raise ValueError(f"no task with id {', '.join(map(str, missing))}")
+    if None in found or len(set(found)) < len(found):
+        raise ValueError("task ids must be given and unique: "
+                         + ", ".join(sorted({str(t) for t in found if t is None or found.count(t) > 1})))
+    return [params_from_row(r) for r in rows]
+
+
+def task_ids_from_text(text: str) -> list[int]:
+    """Task ids of a job argument: one, or several separated by commas."""
+    parts = [p.strip() for p in text.split(",") if p.strip()]
+    if not parts:
+        raise ValueError("a job needs a task id")
     try:
-        return int(argv[0])
+        ids = [int(p) for p in parts]
     except ValueError as exc:
-        raise ValueError(f"task id must be an integer, got {argv[0]!r}") from exc
+        raise ValueError(f"task ids must be integers, got {text!r}") from exc
+    return list(dict.fromkeys(ids))

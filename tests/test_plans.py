@@ -6,6 +6,9 @@ import re
 
 import __spark_entry__ as entry
 from conftest import SF01
+from fixtures import action
+from sessionscope.sources.schemas import RAW_ACTION_SCHEMA
+from sessionscope.sources.tables import read_actions
 
 QUERIES = entry.queries()
 
@@ -47,7 +50,39 @@ def test_top_sessions_share_one_category_aggregate(spark):
     assert "ReusedExchange" in plan(spark, "top10_category_session", execute=True)
 
 
-def test_page_flow_uses_one_range_exchange(spark):
+def test_previous_row_is_a_native_window(spark):
     p = plan(spark, "page_flow_conversion", execute=True)
-    assert "rangepartitioning(session_id" in p and "MapInArrow" in p
-    assert "ReusedExchange" in p          # the boundary branch reads the same exchange
+    assert "Window" in p and "Python" not in p and "Arrow" not in p
+
+
+def test_statistics_with_lists_build_no_arrays(spark):
+    p = plan(spark, "session_counts")
+    assert "ObjectHashAggregate" not in p and "collect_set" not in p
+
+
+def test_multi_task_bounds_the_scan_and_keeps_rows_narrow(spark):
+    p = plan(spark, "multi_task_stat")
+    scan = [line for line in p.splitlines() if "FileScan parquet" in line and "events" in line]
+    assert len(scan) == 1 and re.search(r"GreaterThanOrEqual\(ts,2024-01-01T00:00\), LessThan\(ts,2025-03-08T00:00\)", scan[0])
+    assert "collect_list" not in p and "collect_set" not in p
+    # one shuffle of the daily rows, by session, serves every task
+    assert p.count("REPARTITION_BY_COL") == 1 and not re.search(r"hashpartitioning\(task_id#\d+L?, session_id", p)
+
+
+def test_text_dates_are_pushed_to_the_scan(spark, tmp_path):
+    rows = [action("s1", 1, 0), action("s2", 1, 5)]
+    path = str(tmp_path / "log")
+    spark.createDataFrame(rows, RAW_ACTION_SCHEMA).write.parquet(path)
+    found = read_actions(spark, path, start="2024-01-01", end="2024-01-31")
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        found.explain()
+    assert re.search(r"PushedFilters: \[IsNotNull\(date\), GreaterThanOrEqual\(date,2024-01-01\), "
+                     r"LessThanOrEqual\(date,2024-01-31\)\]", buf.getvalue())
+    assert found.count() == 2
+    assert read_actions(spark, path, start="2024-01-02", end="2024-01-31").count() == 0
+
+
+def test_sample_ranks_and_counts_from_one_scan(spark):
+    p = plan(spark, "session_random_extract", execute=True)
+    assert "ReusedExchange" in p

@@ -2,7 +2,7 @@ import datetime as dt
 
 import pytest
 
-from sessionscope.sources.tasks import TaskParams, load_task, task_id_from_args
+from sessionscope.sources.tasks import TaskParams, load_task, task_ids_from_text
 
 
 def tasks(spark, *rows):
@@ -42,13 +42,12 @@ def test_first_row_wins_for_a_repeated_id(spark):
     assert load_task(t, 1).end_date == dt.date(2024, 1, 31)
 
 
-def test_task_id_from_args():
-    assert task_id_from_args(["42"]) == 42
-    with pytest.raises(ValueError):
-        task_id_from_args([])
-    with pytest.raises(ValueError):
-        task_id_from_args(["x"])
-
+def test_task_ids_from_text():
+    assert task_ids_from_text("42") == [42]
+    assert task_ids_from_text(" 3,1, 3,") == [3, 1]
+    for bad in ("", ",", "x", "1,x"):
+        with pytest.raises(ValueError):
+            task_ids_from_text(bad)
 
 def test_numbers_and_empty_arrays(spark):
     t = tasks(spark, (1, '{"startDate":["2024-01-01"],"endDate":["2024-01-31"],"startAge":[20],"endAge":[30],'
