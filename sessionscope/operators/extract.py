@@ -19,30 +19,38 @@ from pyspark.sql import functions as F
 from sessionscope.functions.timefmt import date_hour, format_date
 
 
+NO_TIME = "none"  # the stratum of sessions without a start time
+
+
 def random_extract(sessions: DataFrame, per_day: int, seed: str = "0") -> DataFrame:
     """Sessions sampled per start hour, with ``date_hour``, ``rank`` and
-    ``quota`` columns added (see the module notes for the rule)."""
+    ``quota`` columns added (see the module notes for the rule).
+
+    Sessions without a start time form one more stratum, ``date_hour``
+    ``NO_TIME``, with the quota of a day of its own.
+    """
     if per_day < 0:
         raise ValueError("per_day must be non-negative")
-    keyed = sessions.withColumns({
-        "date_hour": date_hour(F.col("start_time")),
-        "_day": format_date(F.col("start_time")),
-        "_rank_key": F.md5(F.concat(F.col("session_id"), F.lit(seed))),
-    })
-    hours = keyed.groupBy("date_hour", "_day").agg(F.count(F.lit(1)).alias("_hour_n"))
+    # hours are counted and sessions ranked from the same two columns, so both
+    # read one exchange of the rollup; the rest of the few sampled sessions
+    # is fetched by their id
+    narrow = sessions.select("session_id", F.coalesce(date_hour(F.col("start_time")), F.lit(NO_TIME)).alias("date_hour"),
+                             F.coalesce(format_date(F.col("start_time")), F.lit(NO_TIME)).alias("_day"))
+    hours = narrow.groupBy("date_hour", "_day").agg(F.count("session_id").alias("_hour_n"))
     quotas = (hours.withColumn("_day_n", F.sum("_hour_n").over(Window.partitionBy("_day")))
               .select("date_hour",
                       F.greatest(F.lit(1), F.call_function("div", F.lit(per_day) * F.col("_hour_n"),
                                                            F.col("_day_n"))).alias("quota")))
     cap = max(1, per_day)
-    w = Window.partitionBy("date_hour").orderBy("_rank_key", "session_id")
-    ranked = (keyed.withColumn("rank", F.row_number().over(w))
+    w = Window.partitionBy("date_hour").orderBy(F.md5(F.concat(F.col("session_id"), F.lit(seed))), "session_id")
+    ranked = (narrow.withColumn("rank", F.row_number().over(w))
               .where(F.col("rank") <= cap))
     # one row per start hour; an aggregate's output, so adaptive execution
     # knows its size and broadcasts it when under the threshold
-    return (ranked.join(quotas, "date_hour")
-            .where(F.col("rank") <= F.col("quota"))
-            .drop("_day", "_rank_key"))
+    sample = (ranked.join(quotas, "date_hour")
+              .where(F.col("rank") <= F.col("quota"))
+              .select("session_id", "date_hour", "rank", "quota"))
+    return sessions.join(sample, "session_id")
 
 
 def session_detail(actions: DataFrame, extracted: DataFrame) -> DataFrame:

@@ -23,7 +23,10 @@ def _ids(text: Column) -> Column:
 
 def category_events(actions: DataFrame) -> DataFrame:
     """(session_id, category_id, kind) for every clicked, ordered or paid
-    category of every action; the order and pay id lists are comma-separated."""
+    category of every action; the order and pay id lists are comma-separated.
+
+    An entry of a list that is not a number names no category and is skipped.
+    """
     def tagged(ids: Column, kind: str) -> Column:
         return F.transform(ids, lambda c: F.struct(c.alias("category_id"), F.lit(kind).alias("kind")))
 

@@ -8,14 +8,22 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sessionscope.operators.filters import USER_PREDICATES, filter_sessions, user_predicate
+from sessionscope.functions.timefmt import format_time
+from sessionscope.operators.extract import random_extract, session_detail
+
+from sessionscope.operators.filters import USER_PREDICATES, category_match, conjunction, keyword_match, user_predicate
+from sessionscope.operators.flow import page_flow_conversion
+from sessionscope.operators.multi import multi_task_stat, task_dates
 from sessionscope.operators.sessions import actions_in_range, rollup_sessions, with_users
 from sessionscope.operators.stats import session_aggr_stat
-from sessionscope.sources.tables import USER_COLUMNS
-from sessionscope.sources.tasks import TaskParams
+from sessionscope.operators.topn import counts_of_sessions, top_categories, top_sessions_per_category
+from sessionscope.session import ensure_checkpoint_dir, job_session
+from sessionscope.sources.sinks import write_by_task, write_session_aggr_stat
+from sessionscope.sources.tables import USER_COLUMNS, read_actions, read_table, read_users
+from sessionscope.sources.tasks import TaskParams, load_tasks, task_ids_from_text
 
 
 def filtered_sessions(actions: DataFrame, users: DataFrame, params: TaskParams,
@@ -31,10 +39,13 @@ def filtered_sessions(actions: DataFrame, users: DataFrame, params: TaskParams,
     """
     acts = actions_in_range(actions, params.start_date, params.end_date)
     users = users.select(*USER_COLUMNS)
+    flags = {name: c for name, c in (("_keyword_met", keyword_match(params)), ("_category_met", category_match(params)))
+             if c is not None}
     if prefilter_users and any(f(params) is not None for f in USER_PREDICATES):
         wanted = users.where(user_predicate(params)).select("user_id")
         acts = acts.join(wanted, "user_id", "left_semi")
-    return filter_sessions(with_users(rollup_sessions(acts), users), params)
+    kept = with_users(rollup_sessions(acts, flags), users).where(user_predicate(params))
+    return kept.where(conjunction([F.col(c) for c in flags])).drop(*flags)
 
 
 def session_stats(actions: DataFrame, users: DataFrame, params: TaskParams,
@@ -43,52 +54,54 @@ def session_stats(actions: DataFrame, users: DataFrame, params: TaskParams,
     return session_aggr_stat(filtered_sessions(actions, users, params, prefilter_users), params.task_id)
 
 
+# Columns of the stored results, behind task_id.
+SESSION_DETAIL_COLUMNS = ("user_id", "session_id", "page_id", "action_time", "search_keyword", "click_category_id",
+                          "click_product_id", "order_category_ids", "order_product_ids", "pay_category_ids",
+                          "pay_product_ids")
+TOP_SESSION_COLUMNS = ("category_id", "session_id", "click_count")
+
+
 def task_outputs(actions: DataFrame, users: DataFrame, params: TaskParams, extract_per_day: int = 100,
                  seed: str = "0", top_n: int = 10, checkpoint: bool = True) -> dict[str, DataFrame]:
-    """Every result of a task from one set of filtered sessions (and, when
-    the task names a ``targetPageFlow``, its page-flow conversion over the
-    task's actions).
-
-    The filtered sessions feed five results; with ``checkpoint`` they are
-    written once to the cluster's checkpoint folder (``spark.checkpoint.dir``,
-    a reliable checkpoint, not a local one), so later results neither
-    recompute the rollup nor depend on its lineage when executors are lost.
+    """Every result of a task in its stored columns, from one set of filtered
+    sessions (and, when the task names a ``targetPageFlow``, its page-flow
+    conversion over the task's actions).
+
+    With ``checkpoint`` the filtered sessions and the session-category counts,
+    which feed several results, are written once to the cluster's checkpoint
+    folder (``spark.checkpoint.dir``, a reliable checkpoint, not a local one),
+    so later results neither recompute them nor depend on their lineage when
+    executors are lost. Spark removes the files with the session if
+    ``spark.cleaner.referenceTracking.cleanCheckpoints`` is set.
     """
-    from sessionscope.functions.timefmt import format_time
-    from sessionscope.operators.extract import random_extract, session_detail
-    from sessionscope.operators.topn import counts_of_sessions, top_categories, top_sessions_per_category
-
     acts = actions_in_range(actions, params.start_date, params.end_date)
     sessions = filtered_sessions(actions, users, params)
     if checkpoint:
-        from sessionscope.session import ensure_checkpoint_dir
         ensure_checkpoint_dir(sessions.sparkSession)
         sessions = sessions.checkpoint(eager=True)
-    tid = F.lit(params.task_id).cast("long").alias("task_id")
     counts = counts_of_sessions(acts, sessions)
+    if checkpoint:
+        counts = counts.checkpoint(eager=True)
+    tid = F.lit(params.task_id).cast("long").alias("task_id")
     top = top_categories(counts, top_n)
     extracted = random_extract(sessions, extract_per_day, seed)
+    detail = session_detail(acts, extracted).withColumn("action_time", format_time(F.col("action_time")))
     outputs = {
         "session_aggr_stat": session_aggr_stat(sessions, params.task_id),
         "top10_category": top.select(tid, "*"),
-        "top10_category_session": top_sessions_per_category(counts, top, top_n).select(tid, "*"),
+        "top10_category_session": top_sessions_per_category(counts, top, top_n).select(tid, *TOP_SESSION_COLUMNS),
         "session_random_extract": extracted.select(
             tid, "session_id", format_time(F.col("start_time")).alias("start_time"),
             format_time(F.col("end_time")).alias("end_time"),
             F.array_join("search_keywords", ",").alias("search_keywords")),
-        "session_detail": session_detail(acts, extracted).select(tid, "*"),
+        "session_detail": detail.select(tid, *SESSION_DETAIL_COLUMNS),
     }
     if params.target_page_flow and len(params.target_page_flow) >= 2:
-        from sessionscope.operators.flow import page_flow_conversion
         outputs["page_flow_conversion"] = page_flow_conversion(acts, params.target_page_flow).select(tid, "*")
     return outputs
 
 
 def main(argv: list[str] | None = None) -> None:
-    from sessionscope.sources.sinks import write_session_aggr_stat
-    from sessionscope.sources.tables import read_actions, read_table, read_users
-    from sessionscope.sources.tasks import load_task
-
     ap = argparse.ArgumentParser(description="session statistics of one task, or of several in one plan")
     ap.add_argument("task_ids", help="a task id, or several separated by commas (one job for all)")
     ap.add_argument("--actions", default="user_visit_action", help="action log: catalog table or parquet path")
@@ -96,39 +109,30 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--tasks", default="task", help="task table: catalog table or parquet path")
     ap.add_argument("--out", required=True, help="output folder (shared storage); rows are kept per task_id")
     ap.add_argument("--prefilter-users", action="store_true",
-                    help="drop actions of non-matching users before the session shuffle")
+                    help="one task: drop actions of non-matching users before the session shuffle")
     ap.add_argument("--all-outputs", action="store_true",
                     help="also write top categories, top sessions, the sample, its actions and the page flow")
     ap.add_argument("--extract-per-day", type=int, default=100, help="sample size per day for the session sample")
     ap.add_argument("--hive", action="store_true", help="resolve table names in the Hive metastore")
     args = ap.parse_args(argv)
+    task_ids = task_ids_from_text(args.task_ids)
+    if args.prefilter_users and (len(task_ids) > 1 or args.all_outputs):
+        ap.error("--prefilter-users applies to the statistics of a single task")
 
-    builder = SparkSession.builder.appName("session-stats")
-    if args.hive:
-        builder = builder.enableHiveSupport()
-    spark = builder.getOrCreate()
-    task_ids = [int(t) for t in args.task_ids.split(",") if t.strip()]
+    spark = job_session("session-stats", hive=args.hive)
     tasks = read_table(spark, args.tasks)
-    actions, users = read_actions(spark, args.actions), read_users(spark, args.users)
-    if len(task_ids) > 1:
-        from sessionscope.operators.multi import multi_task_stat
-        wanted = tasks.where(F.col("task_id").isin(task_ids))
-        write_session_aggr_stat(multi_task_stat(actions, users, wanted), args.out)
-        return
-    args.task_id = task_ids[0]
-    params = load_task(tasks, args.task_id)
-    if not args.all_outputs:
-        stats = session_stats(actions, users, params, args.prefilter_users)
-        write_session_aggr_stat(stats.withColumn("task_id", F.lit(args.task_id).cast("long")), args.out)
-        return
-    from sessionscope.sources.sinks import write_by_task
-    outputs = task_outputs(actions, users, params, args.extract_per_day, seed=str(args.task_id))
-    for name, df in outputs.items():
-        if name == "session_aggr_stat":
-            write_session_aggr_stat(df.withColumn("task_id", F.lit(args.task_id).cast("long")),
-                                    f"{args.out}/{name}")
-        else:
-            write_by_task(df, f"{args.out}/{name}")
+    params = load_tasks(tasks, task_ids)
+    dates = task_dates(params) or (params[0].start_date, params[0].end_date)
+    actions, users = read_actions(spark, args.actions, start=dates[0], end=dates[1]), read_users(spark, args.users)
+    if args.all_outputs:
+        for p in params:
+            for name, df in task_outputs(actions, users, p, args.extract_per_day, seed=str(p.task_id)).items():
+                write = write_session_aggr_stat if name == "session_aggr_stat" else write_by_task
+                write(df, f"{args.out}/{name}")
+    elif len(params) > 1:
+        write_session_aggr_stat(multi_task_stat(actions, users, tasks, task_ids), args.out)
+    else:
+        write_session_aggr_stat(session_stats(actions, users, params[0], args.prefilter_users), args.out)
 
 
 if __name__ == "__main__":

@@ -11,13 +11,15 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Settings every session of ours wants; a cluster's own values win where the
-# caller already set them (``getOrCreate`` keeps an existing session).
-_DEFAULTS = {
+# Settings results or plans depend on: tests and cluster jobs share them.
+_SHARED = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+}
+_DEFAULTS = {
+    **_SHARED,
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
@@ -45,6 +47,20 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None,
     return spark
 
 
+def job_session(app: str, hive: bool = False) -> SparkSession:
+    """The session of a cluster job: what the cluster sets explicitly wins,
+    the shared settings fill the rest."""
+    builder = SparkSession.builder.appName(app)
+    if hive:
+        builder = builder.enableHiveSupport()
+    spark = builder.getOrCreate()
+    given = {k for k, _ in spark.sparkContext.getConf().getAll()}
+    for key, value in _SHARED.items():
+        if key not in given:
+            spark.conf.set(key, value)
+    return spark
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, setting one only when unset.
 
@@ -56,7 +72,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or \
         spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
         configured = tempfile.mkdtemp(prefix="sessionscope-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)

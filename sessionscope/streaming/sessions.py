@@ -26,18 +26,23 @@ from pyspark.sql.streaming import StreamingQuery
 
 from sessionscope.functions.timefmt import seconds_between
 from sessionscope.operators.filters import session_predicate
-from sessionscope.operators.sessions import with_users
+from sessionscope.operators.sessions import actions_in_range, with_users
 from sessionscope.operators.stats import bucket_counts, ratios_from_counts
 from sessionscope.sources.tasks import TaskParams
 
 
-def session_rollup_stream(actions: DataFrame, horizon: str = "1 day",
-                          watermark: str = "1 hour") -> DataFrame:
-    """Closed sessions of a streaming action log (append mode)."""
+def session_rollup_stream(actions: DataFrame, horizon: str = "1 day", watermark: str = "1 hour",
+                          params: TaskParams | None = None) -> DataFrame:
+    """Closed sessions of a streaming action log (append mode), of the task's
+    dates when ``params`` are given. An action without a time counts as a
+    step on its date."""
+    if params is not None:
+        actions = actions_in_range(actions, params.start_date, params.end_date)
+    time = F.coalesce("action_time", F.col("date").cast("timestamp_ntz"))
     return (actions.where(F.col("session_id").isNotNull())
             # the watermark needs a zoned timestamp: read the wall-clock time
             # as UTC, so windows align with the log's days in any session zone
-            .withColumn("_event_time", F.timestamp_seconds(F.unix_timestamp(F.col("action_time"))))
+            .withColumn("_event_time", F.timestamp_seconds(F.unix_timestamp(time)))
             .withWatermark("_event_time", watermark)
             .groupBy(F.window("_event_time", horizon).alias("_horizon"), "session_id")
             .agg(F.min("user_id").alias("user_id"),
@@ -52,12 +57,14 @@ def session_rollup_stream(actions: DataFrame, horizon: str = "1 day",
 
 def start_stat_increments(sessions: DataFrame, users: DataFrame, params: TaskParams, out_path: str,
                           checkpoint_location: str, trigger: dict | None = None) -> StreamingQuery:
-    """Start the query writing per-batch bucket counts of ``params``' task."""
-    start, end = params.start_date, params.end_date
+    """Start the query writing per-batch bucket counts of ``params``' task.
+
+    ``sessions`` is the stream of ``session_rollup_stream`` for the same
+    ``params``, so only actions of the task's dates are in it.
+    """
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        in_range = batch.where(F.to_date("start_time").between(F.lit(start), F.lit(end)))
-        counts = (bucket_counts(with_users(in_range, users).where(session_predicate(params)))
+        counts = (bucket_counts(with_users(batch, users).where(session_predicate(params)))
                   .withColumn("task_id", F.lit(params.task_id).cast("long")))
         (counts.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/batch_id={batch_id}"))
 

@@ -59,7 +59,7 @@ def test_page_flow_conversion(spark):
     rows = ([action("a", 1, i, page=p) for i, p in enumerate([1, 2, 3, 1, 2])]
             + [action("b", 1, i, page=p) for i, p in enumerate([1, 3])]
             + [action("c", 1, i, page=p) for i, p in enumerate([2, 3])])
-    got = page_flow_conversion(actions_df(spark, rows), [1, 2, 3], num_partitions=3).orderBy("step").collect()
+    got = page_flow_conversion(actions_df(spark, rows), [1, 2, 3], max_rows=3).orderBy("step").collect()
     assert [(r.page_pair, r.transitions, r.base, r.conversion_rate) for r in got] == [
         ("1_2", 2, 3, 0.67), ("2_3", 2, 2, 1.0)]
 

@@ -76,7 +76,7 @@ def test_session_stats_match_brute_force(spark, rows, keywords, sex):
 def test_page_flow_matches_brute_force(spark, rows, flow):
     acts = actions_df(spark, _raw(rows))
     got = {r.step: (r.transitions, r.base, r.conversion_rate)
-           for r in page_flow_conversion(acts, flow, num_partitions=3).collect()}
+           for r in page_flow_conversion(acts, flow, max_rows=3).collect()}
     # brute force: order each session by (time, ordinal of the action) and count pairs
     by_session = {}
     for s, secs, kw, cat, page in rows:
