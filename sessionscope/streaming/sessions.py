@@ -20,14 +20,15 @@ dropped by Spark as late data.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sessionscope.functions.timefmt import seconds_between
 from sessionscope.operators.filters import session_predicate
-from sessionscope.operators.sessions import actions_in_range, with_users
+from sessionscope.operators.sessions import with_users
 from sessionscope.operators.stats import bucket_counts, ratios_from_counts
+from sessionscope.sources.tables import date_range_predicate
 from sessionscope.sources.tasks import TaskParams
 
 
@@ -36,21 +37,28 @@ def session_rollup_stream(actions: DataFrame, horizon: str = "1 day", watermark:
     """Closed sessions of a streaming action log (append mode), of the task's
     dates when ``params`` are given. An action without a time counts as a
     step on its date."""
-    if params is not None:
-        actions = actions_in_range(actions, params.start_date, params.end_date)
+    # the dates select inside the aggregates: a filter would also hold back the
+    # watermark, and the last wanted day would never close
+    wanted = F.lit(True) if params is None else \
+        F.coalesce(date_range_predicate(F.col("date"), params.start_date, params.end_date), F.lit(False))
     time = F.coalesce("action_time", F.col("date").cast("timestamp_ntz"))
+
+    def own(c: str) -> Column:
+        return F.when(wanted, F.col(c))
+
     return (actions.where(F.col("session_id").isNotNull())
             # the watermark needs a zoned timestamp: read the wall-clock time
             # as UTC, so windows align with the log's days in any session zone
             .withColumn("_event_time", F.timestamp_seconds(F.unix_timestamp(time)))
             .withWatermark("_event_time", watermark)
             .groupBy(F.window("_event_time", horizon).alias("_horizon"), "session_id")
-            .agg(F.min("user_id").alias("user_id"),
-                 F.sort_array(F.collect_set(F.nullif(F.col("search_keyword"), F.lit("")))).alias("search_keywords"),
-                 F.sort_array(F.collect_set("click_category_id")).alias("click_category_ids"),
-                 F.min("action_time").alias("start_time"),
-                 F.max("action_time").alias("end_time"),
-                 F.count(F.lit(1)).alias("step_length"))
+            .agg(F.min(own("user_id")).alias("user_id"),
+                 F.sort_array(F.collect_set(F.nullif(own("search_keyword"), F.lit("")))).alias("search_keywords"),
+                 F.sort_array(F.collect_set(own("click_category_id"))).alias("click_category_ids"),
+                 F.min(own("action_time")).alias("start_time"),
+                 F.max(own("action_time")).alias("end_time"),
+                 F.count_if(wanted).alias("step_length"))
+            .where(F.col("step_length") > 0)
             .withColumn("visit_length", seconds_between(F.col("start_time"), F.col("end_time")))
             .drop("_horizon"))
 

@@ -1,7 +1,9 @@
 from decimal import ROUND_HALF_UP, Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
+from sessionscope.functions import timefmt
 from sessionscope.functions.numbers import ratio_half_up
 from sessionscope.functions.records import record_field
 from sessionscope.functions.timefmt import (
@@ -133,3 +135,13 @@ def test_ratio_at_cluster_sized_counts(spark):
     got = df.select("k", "n", ratio_half_up("k", "n").alias("r")).collect()
     bad = [(r.k, r.n, r.r) for r in got if r.r != binary_half_up(r.k, r.n)]
     assert bad == []
+
+
+@pytest.mark.parametrize("text,value", [
+    ("2024-01-01 15:01:04", "2024-01-01 15:01:04"), ("2024-01-01 15:01:04.123", "2024-01-01 15:01:04"),
+    ("2024-1-1 5:3:4", "2024-01-01 05:03:04"), ("2024-01-01 5:03:04.999999", "2024-01-01 05:03:04"),
+    ("2024-01-01 05:61:04", None), ("2024-13-01 05:01:04", None), ("2024-01-01", None), ("", None), ("junk", None),
+    (None, None)])
+def test_action_times_as_logs_write_them(spark, text, value):
+    df = spark.createDataFrame([(text,)], "t string")
+    assert df.select(timefmt.format_time(timefmt.parse_action_time(F.col("t"))).alias("t")).first().t == value

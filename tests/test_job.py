@@ -3,6 +3,8 @@
 import os
 import tempfile
 
+import pytest
+
 from fixtures import action, user
 from sessionscope.plans.job import main
 from sessionscope.sources.schemas import RAW_ACTION_SCHEMA, USER_SCHEMA
@@ -72,3 +74,31 @@ def test_read_table_prefers_catalog_names(spark):
     assert acts.count() == 2 and dict(acts.dtypes)["action_time"] == "timestamp_ntz"
     assert dict(acts.dtypes)["date"] == "date" and acts.where("action_id IS NULL").count() == 0
     assert read_users(spark, "user_info").first().user_id == 1
+
+
+def _job(spark, root, ids, *more):
+    main([ids, "--actions", f"{root}/actions", "--users", f"{root}/users", "--tasks", f"{root}/tasks",
+          "--out", f"{root}/out", *more])
+
+
+def test_job_writes_all_outputs_of_several_tasks(spark, tmp_path):
+    root = str(tmp_path)
+    _inputs(spark, root)
+    spark.createDataFrame([(8, '{"startDate":["2024-01-01"],"endDate":["2024-01-01"],"sex":["female"]}')],
+                          "task_id long, task_param string").write.mode("append").parquet(f"{root}/tasks")
+    _job(spark, root, "7,8", "--all-outputs", "--extract-per-day", "2")
+    for name in ("session_aggr_stat", "session_detail", "session_random_extract", "top10_category",
+                 "top10_category_session"):
+        assert {r.task_id for r in spark.read.parquet(f"{root}/out/{name}").collect()} == {7, 8}, name
+
+
+def test_job_refuses_unknown_ids_and_flags_it_cannot_apply(spark, tmp_path):
+    root = str(tmp_path)
+    _inputs(spark, root)
+    for ids in ("7,99", "99"):
+        with pytest.raises(ValueError, match="99"):
+            _job(spark, root, ids)
+    for ids, flags in (("7,8", ["--prefilter-users"]), ("7", ["--prefilter-users", "--all-outputs"])):
+        with pytest.raises(SystemExit):
+            _job(spark, root, ids, *flags)
+    assert not os.path.exists(f"{root}/out")

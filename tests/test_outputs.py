@@ -2,12 +2,14 @@
 
 from pyspark.sql import functions as F
 
-from fixtures import action, actions_df
+from fixtures import action, actions_df, user, users_df
 from sessionscope.operators.extract import random_extract, session_detail
 from sessionscope.operators.flow import page_flow_conversion
-from sessionscope.operators.rollups import action_gaps
+from sessionscope.operators.rollups import action_gaps, actions_around
 from sessionscope.operators.sessions import rollup_sessions
 from sessionscope.operators.topn import session_category_counts, top_categories, top_sessions_per_category
+from sessionscope.plans.job import task_outputs
+from sessionscope.sources.tasks import TaskParams
 
 
 def test_category_counts_split_id_lists(spark):
@@ -85,3 +87,41 @@ def test_time_rollups(spark):
     day = daily_rollup(sessions).first()
     assert (day.date_key, day.date, day.sessions, day.actions, day.users, day.longest_visit) == (
         "20240101", "2024-01-01", 3, 5, 2, 3700)
+
+
+def test_sessions_without_a_time_are_sampled(spark):
+    rows = [action("timed", 1, 0), action("untimed", 2, 0, time_text="junk"), action("blank", 3, 0, time_text="?")]
+    sessions = rollup_sessions(actions_df(spark, rows))
+    got = {r.session_id: (r.date_hour, r.rank, r.quota) for r in random_extract(sessions, 2, "seed").collect()}
+    assert got["timed"] == ("2024-01-01_05", 1, 2)
+    assert {got["untimed"][0], got["blank"][0]} == {"none"} and {got["untimed"][1], got["blank"][1]} == {1, 2}
+
+
+def test_stored_columns_and_types(spark):
+    acts = actions_df(spark, [action("s1", 1, 0, category=3), action("s1", 1, 5), action("s2", 2, 0, category=3)])
+    params = TaskParams.of("2024-01-01", "2024-01-02", task_id=7)
+    out = task_outputs(acts, users_df(spark, [user(1), user(2)]), params)
+    assert out["top10_category"].dtypes == [("task_id", "bigint"), ("category_id", "bigint"), ("click_count", "bigint"),
+                                            ("order_count", "bigint"), ("pay_count", "bigint")]
+    assert out["top10_category_session"].dtypes == [("task_id", "bigint"), ("category_id", "bigint"),
+                                                    ("session_id", "string"), ("click_count", "bigint")]
+    assert out["session_random_extract"].dtypes == [("task_id", "bigint"), ("session_id", "string"),
+                                                    ("start_time", "string"), ("end_time", "string"),
+                                                    ("search_keywords", "string")]
+    assert out["session_detail"].dtypes == [
+        ("task_id", "bigint"), ("user_id", "bigint"), ("session_id", "string"), ("page_id", "bigint"),
+        ("action_time", "string"), ("search_keyword", "string"), ("click_category_id", "bigint"),
+        ("click_product_id", "bigint"), ("order_category_ids", "string"), ("order_product_ids", "string"),
+        ("pay_category_ids", "string"), ("pay_product_ids", "string")]
+    assert {r.action_time for r in out["session_detail"].collect()} == {"2024-01-01 05:00:00", "2024-01-01 05:00:05"}
+    # the counts are read from the checkpoint, not computed again
+    for name in ("top10_category", "top10_category_session"):
+        plan = out[name]._jdf.queryExecution().executedPlan().toString()
+        assert "ExistingRDD" in plan and "Generate" not in plan
+
+
+def test_actions_around_a_moment(spark):
+    acts = actions_df(spark, [action("s", 1, 0), action("s", 1, 10), action("s", 1, 20), action("s", 1, 0, time_text="x"),
+                              action(None, 1, 0)])
+    (r,) = actions_around(acts, F.lit("2024-01-01 05:00:10").cast("timestamp_ntz")).collect()
+    assert (r.session_id, r.actions_before, r.actions_after) == ("s", 1, 1)
