@@ -82,6 +82,50 @@ def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (op1_lm_score, op2_decontamination, op3_pii, op4_pattern_packing, op5_language_id, op6_suffix_dedup, op7_quality, op8_debruijn, op9_simhash, op10_warc)}
 
 
+_REPEATS_SQL = """
+WITH texts AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+windows AS (
+  SELECT doc_id, s, md5(substr(h, 2 * s + 1, 400)) AS seq FROM (
+    SELECT doc_id, h, unnest(range(0, greatest(length(h) // 2 - 199, 0))) AS s FROM texts)),
+repeated AS (SELECT doc_id, s FROM (SELECT *, count(*) OVER (PARTITION BY seq) AS n FROM windows) WHERE n > 1),
+runs AS (
+  SELECT doc_id, s, sum(CASE WHEN new THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY s) AS run FROM (
+    SELECT *, coalesce(s - lag(s) OVER (PARTITION BY doc_id ORDER BY s) > 200, TRUE) AS new FROM repeated)),
+spans AS (SELECT doc_id, run, min(s) AS lo, max(s) + 200 AS hi FROM runs GROUP BY doc_id, run),
+pieces AS (SELECT *, coalesce(lag(hi) OVER (PARTITION BY doc_id ORDER BY lo), 0) AS upto FROM spans),
+joined AS (
+  SELECT doc_id, count(*) AS n_spans, sum(hi - lo) AS n_removed, max(hi) AS upto,
+         string_agg(substr(h, 2 * upto + 1, 2 * (lo - upto)), '' ORDER BY lo) AS head
+  FROM pieces JOIN texts USING (doc_id) GROUP BY doc_id)
+SELECT t.doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(upto, 0) + 1))) AS kept_sha256
+FROM texts t LEFT JOIN joined USING (doc_id)
+"""
+
+_WORDS_SQL = r"""
+WITH words AS (
+  SELECT doc_id, w, pos FROM (
+    SELECT doc_id, unnest(l) AS w, generate_subscripts(l, 1) AS pos FROM (
+      SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS l
+      FROM documents))),
+windows AS (
+  SELECT doc_id, pos, w, CASE WHEN count(*) OVER f = 20 THEN string_agg(w, ' ') OVER f END AS seq FROM words
+  WINDOW f AS (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING)),
+firsts AS (
+  SELECT doc_id, pos, w, seq IS NOT NULL AND rank() OVER (PARTITION BY seq ORDER BY doc_id, pos) > 1 AS later
+  FROM windows),
+marked AS (
+  SELECT doc_id, pos, w, bool_or(later) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)
+         AS gone FROM firsts),
+kept AS (
+  SELECT doc_id, count(*) AS n_words, count(*) FILTER (WHERE gone) AS n_removed,
+         coalesce(string_agg(w, ' ' ORDER BY pos) FILTER (WHERE NOT gone), '') AS kept
+  FROM marked GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM documents d LEFT JOIN kept USING (doc_id)
+"""
+
 _WARC_SQL = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
      r AS (SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes, sha256(html) AS payload_digest,
@@ -94,4 +138,4 @@ FROM r
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_warc": _WARC_SQL}
+    return {"op6_suffix_dedup": _REPEATS_SQL, "op8_debruijn": _WORDS_SQL, "op10_warc": _WARC_SQL}
