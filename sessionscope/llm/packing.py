@@ -36,6 +36,8 @@ SEPARATOR = 0  # the id behind every document
 SHARES = ((1.0, 0.05), (1.0, 0.5), (0.9, 0.5), (0.7, 0.5), (0.4, 0.5), (0.1, 0.5))
 _GROUP = 1 << 23  # bytes of text whose words are tokenised together
 
+_AT_ONCE = 1 << 14  # words in one call of the tokenizer
+
 # How the vocabulary's file says words are found. For texts of
 # printable ASCII and Latin-1 letters its normaliser only lower-cases.
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -86,6 +88,12 @@ def _ragged(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.repeat(begin - shift, size) + np.arange(int(size.sum()))
 
 
+def _slices(ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Begin and end of every ``_AT_ONCE`` words, from the words' ends."""
+    hi = np.append(ends[_AT_ONCE - 1:-1:_AT_ONCE], ends[-1])
+    return np.append(0, hi[:-1]), hi
+
+
 def _groups(sizes: list[int]) -> Iterator[range]:
     """Consecutive texts of up to ``_GROUP`` characters together."""
     lo, total = 0, 0
@@ -139,17 +147,24 @@ class Encoder:
         size = ends[sample] - starts[sample] + 1
         words = data[np.minimum(_ragged(starts[sample], size), len(data) - 1)]
         words[np.cumsum(size) - 1] = ord(" ")
-        (ids,) = self._whole([words.tobytes().decode()])
-        stop = np.flatnonzero(self.ends_word[ids]) + 1
-        if len(stop) != len(sample) or stop[-1] != len(ids):  # a word without its end: ask one by one
-            each = self._whole(words.tobytes().decode().split(" ")[:-1])
-            ids, stop = np.concatenate(each), np.cumsum([len(e) for e in each])
-        many = np.diff(stop, prepend=0)
+        found = [self._known(words[lo:hi]) for lo, hi in zip(*_slices(np.cumsum(size)))]
+        ids, many = (np.concatenate(x) for x in zip(*found))
+        stop = np.cumsum(many)
         counts = many[place]
         every = ids[_ragged((stop - many)[place], counts)]
         upto = np.concatenate(([0], np.cumsum(counts)))[np.searchsorted(starts, np.append(first, len(data) + 1))]
         return [every[lo:hi] for lo, hi in zip(upto, upto[1:])]
 
+    def _known(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words with a space behind each, and how many each has."""
+        text = words.tobytes().decode()
+        (ids,) = self._whole([text])
+        stop = np.flatnonzero(self.ends_word[ids]) + 1
+        if len(stop) != text.count(" ") or stop[-1] != len(ids):  # a word without its end: ask one by one
+            each = self._whole(text.split(" ")[:-1])
+            return np.concatenate(each), np.array([len(e) for e in each])
+        return ids, np.diff(stop, prepend=0)
+
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         out: list[np.ndarray] = [np.empty(0, "<u4")] * len(texts)
         plain, other = [], []
@@ -338,19 +353,12 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, ids: bool =
     for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect():
         histogram[r.length] = r.n
     table, _ = plan(histogram, capacity)
-    held = docs.sparkSession.sparkContext.broadcast(table)  # bounded by the patterns, not by the pieces
-    columns = ["doc_id", "piece", "start", "length", "ids_crc32", *(["ids"] if ids else [])]
-    ranked = found.join(before, ["task", "length"]).select(*columns, (F.col("before") + F.col("place")).alias("rank"))
-
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = held.value
-        keys = (table[:, 0] << 48) + table[:, 1]
-        for batch in batches:
-            rank = batch.column(len(columns)).to_numpy()
-            at = np.searchsorted(keys, (batch.column(3).to_numpy() << 48) + rank, "right") - 1
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(table[at, 3] + rank - table[at, 1]), pa.array(table[at, 4])],
-                names=[*columns, "sequence_id", "offset"])
-
-    return ranked.mapInArrow(place, "doc_id long, piece int, start long, length long, ids_crc32 long, "
-                             + "ids binary, " * ids + "sequence_id long, offset long")
+    # the plan is bounded by the patterns, not by the pieces
+    slots = docs.sparkSession.createDataFrame(table.tolist(), "slot_length long, first_rank long, times long, "
+                                              "first_sequence long, slot_offset long")
+    rank = F.col("before") + F.col("place")
+    fits = (F.col("length") == F.col("slot_length")) & (rank >= F.col("first_rank")) \
+        & (rank < F.col("first_rank") + F.col("times"))
+    return found.join(before, ["task", "length"]).join(F.broadcast(slots), fits).select(
+        "doc_id", "piece", "start", "length", "ids_crc32", *(["ids"] if ids else []),
+        (F.col("first_sequence") + rank - F.col("first_rank")).alias("sequence_id"), F.col("slot_offset").alias("offset"))
