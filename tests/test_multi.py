@@ -54,8 +54,8 @@ def test_lists_without_entries_match_nothing_in_both_paths(spark):
     names = ("cities", "professionals", "keywords", "categoryIds")
     rows = [(i, f'{{{dates},"{name}":[","]}}') for i, name in enumerate(names)]
     rows += [(10 + i, f'{{{dates},"{name}":[""]}}') for i, name in enumerate(names)]
-    rows += [(20, f'{{{dates},"keywords":["k1,k2"],"categoryIds":["1,2"],"cities":["c1"],"professionals":["p1,p2"]}}'),
-             (21, f'{{{dates},"keywords":["nothing"]}}'), (22, '{"startDate":["2024-01-03"],"endDate":["2024-01-01"]}'), (30, f"{{{dates}}}")]
+    lists = '"keywords":["k1,k2"],"categoryIds":["1,2"],"cities":["c1"],"professionals":["p1,p2"]'
+    rows += [(20, f'{{{dates},{lists}}}'), (21, f'{{{dates},"keywords":["nothing"]}}'), (22, '{"startDate":["2024-01-03"],"endDate":["2024-01-01"]}'), (30, f"{{{dates}}}")]
     multi = _same_as_single(spark, rows)
     assert all(multi[i]["session_count"] == 0 for i in range(4))       # an entry-less list
     assert all(multi[10 + i]["session_count"] == multi[30]["session_count"] > 0 for i in range(4))  # an empty text is no parameter
