@@ -35,7 +35,7 @@ _NULL_ID = np.iinfo(np.int64).max  # a null doc_id sorts after all others
 
 
 class _Chunk:
-    """A chunk's words in (doc_id, text) order of its documents."""
+    """A chunk's words, document by document."""
 
     def __init__(self, docs: dict, k: int):
         ids = np.array([_NULL_ID if d is None else d for d in docs["doc_id"]], np.int64)
@@ -90,9 +90,9 @@ def paths(docs: DataFrame, k: int = 20, chunk_bytes: int = ex.CHUNK_BYTES, texts
     """Words that repeat earlier spans, one row per document.
 
     Columns: doc_id; n_words; n_removed; kept (the remaining words joined by
-    one space, UTF-8, binary; null without ``texts``); kept_sha256; path_starts and path_words: each
-    removed path's first word and number of words; source_ids and
-    source_starts: where its source starts. A word goes if it lies in a window
+    one space, UTF-8, binary; null without ``texts``); kept_sha256; path_starts
+    and path_words: each removed path's first word and number of words;
+    source_ids and source_starts: where its source starts. A word goes if it lies in a window
     of ``k`` words whose sequence also starts earlier: in a smaller doc_id, or
     earlier in the same document. Occurrences with the same doc_id and start
     (repeated rows) are not earlier than each other. A null doc_id sorts last;
@@ -160,7 +160,8 @@ def paths(docs: DataFrame, k: int = 20, chunk_bytes: int = ex.CHUNK_BYTES, texts
                                                                  chunk.end[w][keep].tolist())])
                 p = head[of_doc[d]:of_doc[d + 1]]
                 for name, value in zip(out, (
-                        content["doc_id"][d], len(keep), int((~keep).sum()), kept if texts else None, hashlib.sha256(kept).hexdigest(),
+                        content["doc_id"][d], len(keep), int((~keep).sum()), kept if texts else None,
+                        hashlib.sha256(kept).hexdigest(),
                         (at[p] - chunk.first[d]).tolist(), size[of_doc[d]:of_doc[d + 1]].tolist(),
                         [None if i == _NULL_ID else i for i in sid[p].tolist()], spos[p].tolist())):
                     out[name].append(value)

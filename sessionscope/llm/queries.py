@@ -79,7 +79,9 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_lm_score, op2_decontamination, op3_pii, op4_pattern_packing, op5_language_id, op6_suffix_dedup, op7_quality, op8_debruijn, op9_simhash, op10_warc)}
+    return {f.__name__: f for f in (
+        op1_lm_score, op2_decontamination, op3_pii, op4_pattern_packing, op5_language_id, op6_suffix_dedup,
+        op7_quality, op8_debruijn, op9_simhash, op10_warc)}
 
 
 _REPEATS_SQL = """
