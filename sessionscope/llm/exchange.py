@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .common import materialise
 
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 8 << 20
 
 _CHUNKS = pa.schema([("chunk", pa.int64()), ("kind", pa.int32()), ("payload", pa.binary())])
 _PARTS = pa.schema([("chunk", pa.int64()), ("bucket", pa.int32()), ("payload", pa.binary())])
