@@ -186,7 +186,7 @@ def answer(asked: DataFrame, n: int, resolve: Callable[[list[bytes]], list[bytes
                 [pa.array(chunks, pa.int64()), pa.array([bucket] * len(found), pa.int32()),
                  pa.array(found, pa.binary())], schema=_PARTS)
 
-    return asked.repartition(n, "bucket").sortWithinPartitions("bucket", "chunk") \
+    return asked.repartitionById(n, F.pmod("bucket", F.lit(n)).cast("int")).sortWithinPartitions("bucket", "chunk") \
         .mapInArrow(run, "chunk long, bucket int, payload binary")
 
 
@@ -201,5 +201,7 @@ def gather(chunks: DataFrame, answers: DataFrame, n: int,
 
     answers = answers.where(F.col("chunk") != SUMMARY)
     own = chunks.select("chunk", F.lit(_TEXT).alias("bucket"), "payload")
-    return own.unionByName(answers).repartition(n, "chunk").sortWithinPartitions("chunk", "bucket") \
+    # neighbouring chunks of a task, and the same ones of neighbouring tasks, go to different partitions
+    place = F.pmod(F.shiftright("chunk", 32) + F.lit(7919) * F.col("chunk").bitwiseAND(0xFFFFFFFF), F.lit(n))
+    return own.unionByName(answers).repartitionById(n, place.cast("int")).sortWithinPartitions("chunk", "bucket") \
         .mapInArrow(run, schema)
