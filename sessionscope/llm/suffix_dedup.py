@@ -76,7 +76,8 @@ class _Piece:
         # a gram is an anchor where it is the smallest of some window over it
         padded = np.concatenate((np.zeros(span - 1, np.uint64), smallest, np.zeros(span - 1, np.uint64)))
         chosen = np.flatnonzero(grams == _sliding(padded, span, np.maximum))
-        self.anchors = grams[chosen]
+        # anchors are small by choice; mixed again they spread over the buckets
+        self.anchors = mix(grams[chosen])
         home = np.searchsorted(self.begin, chosen, "right") - 1
         lo = np.maximum(chosen - span + 1, self.begin[home])
         hi = np.maximum(np.minimum(chosen + length, self.begin[home] + size[home]), lo)
@@ -90,7 +91,7 @@ class _Piece:
         last = np.append(np.flatnonzero(change), n - 1)
         self.run_sizes = np.diff(last, prepend=-1)
         self.run_anchor = np.searchsorted(chosen, last)
-        while len(other := np.flatnonzero(self.anchors[self.run_anchor] != smallest[last])):
+        while len(other := np.flatnonzero(grams[chosen[self.run_anchor]] != smallest[last])):
             self.run_anchor[other] += 1
 
     def windows(self, at: np.ndarray) -> np.ndarray:
