@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, functions as F
 from . import exchange as ex
 from .common import materialise, rows
 from .repeats import bits, labels, questions, repeated, sizes, sources
-from .tokens import joined, word_windows, words
+from .tokens import joined, mix, word_windows, words
 
 ANCHOR = 8  # words of an anchor
 _NULL_ID = np.iinfo(np.int64).max  # a null doc_id sorts after all others
@@ -60,7 +60,7 @@ class _Chunk:
         smallest = _sliding_argmin(grams, self.k - size + 1)
         chosen, place = np.unique(smallest[self.inside], return_inverse=True)
         own[self.inside] = place
-        return grams[chosen], own
+        return mix(grams[chosen]), own  # small by choice; mixed again they spread over the buckets
 
 
 def _sliding_argmin(values: np.ndarray, span: int) -> np.ndarray:
