@@ -26,6 +26,7 @@ from .common import materialise, rows
 
 UNKNOWN = "und"
 _BOUNDARY = 32
+BROADCAST_ROWS = 100_000  # ids of sampled texts sent to every task; more are joined by a shuffle
 _PIECE = 1 << 18  # characters scored at once
 
 
@@ -180,8 +181,10 @@ def _sample(docs: DataFrame, fit_docs: int, calibration_docs: int) -> DataFrame:
     ranked = labelled.select("doc_id", "lang").withColumn(
         "rank", F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))) \
         .where(F.col("rank") <= fit_docs + calibration_docs)
-    return labelled.join(ranked.dropDuplicates(["doc_id", "lang"]), ["doc_id", "lang"]) \
-        .select("lang", (F.col("rank") <= fit_docs).alias("fit"), "text")
+    chosen = materialise(ranked.dropDuplicates(["doc_id", "lang"]), "sample")
+    if chosen.count() <= BROADCAST_ROWS:  # grows with the languages, not with the documents
+        chosen = F.broadcast(chosen)
+    return labelled.join(chosen, ["doc_id", "lang"]).select("lang", (F.col("rank") <= fit_docs).alias("fit"), "text")
 
 
 def _gram_counts(texts: DataFrame, order: int) -> DataFrame:
