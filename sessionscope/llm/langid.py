@@ -9,7 +9,8 @@ disjoint sample of labelled texts calibrates.
 
 The models are fitted on a bounded sample (``fit_docs`` and
 ``calibration_docs`` whole texts per language, the smallest by a hash of the
-id); the prediction covers every text in full.
+id; fewer texts are split in the same proportion, so every language rejects);
+the prediction covers every text in full.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from .common import materialise, rows
 UNKNOWN = "und"
 _BOUNDARY = 32
 BROADCAST_ROWS = 100_000  # ids of sampled texts sent to every task; more are joined by a shuffle
+FEW = 5  # calibration texts; a language with fewer takes the spread of all languages' texts
 _PIECE = 1 << 18  # characters scored at once
 
 
@@ -176,15 +178,19 @@ def build(counts: dict[str, dict[str, int]], order: int) -> Models:
 
 
 def _sample(docs: DataFrame, fit_docs: int, calibration_docs: int) -> DataFrame:
-    """(lang, fit, text) of the labelled sample."""
-    labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
+    """(lang, fit, text) of the labelled sample, split by share: a small language calibrates too."""
+    labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
     ranked = labelled.select("doc_id", "lang").withColumn(
         "rank", F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))) \
         .where(F.col("rank") <= fit_docs + calibration_docs)
-    chosen = materialise(ranked.dropDuplicates(["doc_id", "lang"]), "sample")
+    chosen = materialise(ranked.groupBy("doc_id", "lang").agg(F.min("rank").alias("rank")), "sample")
+    own = Window.partitionBy("lang")  # of bounded size: the sampled ids
+    fitted = F.greatest(F.floor(F.col("n") * fit_docs / (fit_docs + calibration_docs)), F.lit(1))
+    split = chosen.withColumn("rank", F.row_number().over(own.orderBy("rank"))) \
+        .withColumn("n", F.count("*").over(own)).select("doc_id", "lang", (F.col("rank") <= fitted).alias("fit"))
     if chosen.count() <= BROADCAST_ROWS:  # grows with the languages, not with the documents
-        chosen = F.broadcast(chosen)
-    return labelled.join(chosen, ["doc_id", "lang"]).select("lang", (F.col("rank") <= fit_docs).alias("fit"), "text")
+        split = F.broadcast(split)
+    return labelled.join(split, ["doc_id", "lang"]).select("lang", "fit", "text")
 
 
 def _gram_counts(texts: DataFrame, order: int) -> DataFrame:
@@ -216,19 +222,32 @@ def fit(docs: DataFrame, order: int = 4, fit_docs: int = 400, calibration_docs:
     names = models.languages
     scored = [(names.index(r.lang), np.array(r.entropies), r.n) for r in
               _entropies(tests, models).where("n > 0").collect() if r.lang in names]
-    models.limits = np.array([_limit(j, scored, len(models.alphabet)) for j in range(len(names))])
+    models.limits = _limits(len(names), scored, len(models.alphabet))
     return models
 
 
-def _limit(j: int, scored: list[tuple[int, np.ndarray, int]], alphabet: int) -> tuple[float, float, float]:
-    own = [(x[j], n) for lang, x, n in scored if lang == j]
-    other = [x[j] for lang, x, n in scored if lang != j]
-    if not own:  # too few labelled texts to calibrate: never reject
-        return 0.0, np.inf, 0.0
-    entropies, sizes = np.array([x for x, _ in own]), np.array([n for _, n in own], np.float64)
-    mean = np.average(entropies, weights=sizes)
-    spread = float(np.sqrt(np.mean((entropies - mean) ** 2 * sizes)))
-    return mean, (np.mean(other) if other else np.log(alphabet)) - mean, spread
+def _limits(languages: int, scored: list[tuple[int, np.ndarray, int]], alphabet: int) -> np.ndarray:
+    """Mean, span and spread by language, from the calibration texts (language, entropies, symbols).
+
+    Fewer than ``FEW`` own texts take the spread of all languages' texts;
+    without any, the mean stands to other languages' texts as it does elsewhere.
+    Where no language has a text to calibrate with, the limit is chance.
+    """
+    chance = np.log(alphabet)
+    lang = np.array([j for j, _, _ in scored], np.int64)
+    entropies = np.array([x for _, x, _ in scored], np.float64).reshape(-1, languages)
+    sizes = np.array([n for _, _, n in scored], np.float64)
+    if not len(lang):
+        return np.array([[chance, 0.0, 0.0]] * languages)
+    own = entropies[np.arange(len(lang)), lang]
+    n = np.bincount(lang, minlength=languages)
+    mean = np.bincount(lang, own * sizes, languages) / np.maximum(np.bincount(lang, sizes, languages), 1)
+    other = np.array([entropies[lang != j, j].mean() if (lang != j).any() else chance for j in range(languages)])
+    seen = n > 0
+    mean = np.where(seen, mean, other * (mean[seen] / other[seen]).mean())
+    squares = (own - mean[lang]) ** 2 * sizes
+    spread = np.where(n < FEW, squares.mean(), np.bincount(lang, squares, languages) / np.maximum(n, 1))
+    return np.stack([mean, other - mean, np.sqrt(spread)], 1)
 
 
 def _entropies(texts: DataFrame, models: Models) -> DataFrame:

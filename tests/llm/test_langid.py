@@ -1,7 +1,9 @@
 import math
+import random
 from collections import Counter
 
 import numpy as np
+import pytest
 
 from sessionscope.llm import langid
 from sessionscope.llm.queries import op5_language_id
@@ -88,3 +90,30 @@ def test_nothing_to_learn_from(documents):
     models = langid.fit(documents([(1, "text", None, None), (2, None, "en", None)]))
     got = langid.identify(documents([(1, "text")]), models).first()
     assert (got.lang_pred, got.score, got.rejected) == ("und", 0.0, True)
+
+
+def sentences(words, seed, n):
+    rng = random.Random(seed)
+    return [" ".join(rng.choice(words) for _ in range(40)) for _ in range(n)]
+
+
+EN = "the dog runs over hill and fox sees it while rain falls from grey clouds onto old stone houses near river".split()
+DE = "der hund läuft über den hügel und fuchs sieht es während regen aus grauen wolken auf alte häuser fällt".split()
+JUNK = ["zqxj vkqz " * 30, "ЖЩЪ ЪЩЖ " * 30, "qqqq xxxx jjjj " * 20]
+
+
+@pytest.mark.parametrize("en,de", [(10, 10), (1000, 1000), (1000, 20), (1000, 2), (1000, 1), (1, 1)])
+def test_junk_is_rejected_at_any_size(spark, en, de):
+    labelled = [("en", t) for t in sentences(EN, 1, en)] + [("de", t) for t in sentences(DE, 2, de)]
+    docs = spark.createDataFrame([(i, t, lang) for i, (lang, t) in enumerate(labelled)],
+                                 "doc_id long, text string, lang string")
+    models = langid.fit(docs)
+    assert np.isfinite(models.limits).all()
+    got = [langid.decide(models, t, 0.7, 6.0) for t in (sentences(EN, 3, 1) + sentences(DE, 4, 1) + JUNK)]
+    assert [g[0] for g in got[:2]] == ["en", "de"]
+    assert [g[3] for g in got] == [False, False, True, True, True]
+
+
+def test_every_language_of_a_small_input_calibrates(spark):
+    models = langid.fit(spark.read.parquet(f"{SF01}/documents.parquet"))
+    assert len(models.languages) > 1 and (models.limits[:, 1] < np.inf).all() and (models.limits[:, 2] > 0).all()
