@@ -8,7 +8,9 @@ validator refuses is dropped and not tried again. Spans count characters
 (code points), the end exclusive.
 
 A rule's places come from splitting the text by the same expression: the
-pieces between matches give every match's start and its surroundings.
+pieces between matches give every match's start. Its surroundings are read
+from the text cut into blocks of ``NEAR`` characters, whatever else matches
+in them.
 
 The expressions are written for a backtracking matcher: repeats are possessive
 where nothing behind them could use what they give back, and a run of
@@ -112,12 +114,24 @@ def _starts(gaps: Column, matches: Column) -> Column:
 _SPAN = "struct<kind:string,start:bigint,end:bigint,score:double>"
 
 
-def _spans(rule: Rule, matches: Column, gaps: Column, starts: Column) -> Column:
+def _near(blocks: Column, at: Column) -> tuple[Column, Column]:
+    """The ``NEAR`` characters before and from a place: parts of two blocks each, so the time is constant."""
+    k, inside = F.floor(at / NEAR).cast("int"), (at % NEAR).cast("int")
+
+    def block(i: Column) -> Column:
+        return F.coalesce(F.get(blocks, i), F.lit(""))
+
+    here = block(k)
+    before = F.concat(F.substr(block(k - 1), inside + 1), F.substr(here, F.lit(1), inside))
+    return before, F.concat(F.substr(here, inside + 1), F.substr(block(k + 1), F.lit(1), inside))
+
+
+def _spans(rule: Rule, matches: Column, blocks: Column, starts: Column) -> Column:
     """The rule's confirmed and scored spans."""
     def span(start: Column, i: Column) -> Column:
-        match, before, after = F.get(matches, i), F.get(gaps, i), F.get(gaps, i + 1)
-        near = F.lower(F.concat(F.substr(before, F.lit(-NEAR)), F.lit(" "), F.substr(match, F.lit(1), F.lit(8)),
-                                F.lit(" "), F.substr(after, F.lit(1), F.lit(NEAR))))
+        match = F.get(matches, i)
+        before, after = _near(blocks, start)[0], _near(blocks, start + F.length(match))[1]
+        near = F.lower(F.concat(before, F.lit(" "), F.substr(match, F.lit(1), F.lit(8)), F.lit(" "), after))
         score = F.lit(rule.score) + F.when(near.rlike(rule.context), _RAISE).otherwise(0.0)
         if rule.against:
             score -= F.when(near.rlike(rule.against), _LOWER).otherwise(0.0)
@@ -153,7 +167,11 @@ def find(docs: DataFrame, text: str = "text", spans: str = "spans") -> DataFrame
     found = found.select("*", *(
         F.when(F.size(matches[r.kind]) > 0, _starts(gaps[r.kind], matches[r.kind]))
         .otherwise(F.array().cast("array<bigint>")).alias(names[r.kind][2]) for r in RULES))
-    every = [_spans(r, matches[r.kind], gaps[r.kind], F.col(f"`{names[r.kind][2]}`")) for r in RULES]
+    some = F.greatest(*(F.size(matches[r.kind]) for r in RULES)) > 0
+    found = found.select("*", F.when(some, F.regexp_extract_all(whole, F.lit(f"(?s).{{1,{NEAR}}}"), F.lit(0)))
+                         .otherwise(none).alias("blocks of the text"))
+    blocks = F.col("`blocks of the text`")
+    every = [_spans(r, matches[r.kind], blocks, F.col(f"`{names[r.kind][2]}`")) for r in RULES]
     return found.select(*kept, F.concat(*every).alias(spans))
 
 
