@@ -79,6 +79,24 @@ class Rule:
     base: bool
 
 
+# The length of an account number by country (IBAN registry).
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}
+
+
+def _grouped_ibans() -> str:
+    """Account numbers in groups of four, as long as their country says."""
+    def groups(length: int, codes: str) -> str:
+        full, rest = divmod(length - 4, 4)
+        tail = rf"\x20[A-Z0-9]{{{rest}}}" if rest else ""
+        return rf"(?:{codes.replace(' ', '|')})[0-9]{{2}}(?:\x20[A-Z0-9]{{4}}){{{full}}}{tail}(?![A-Za-z0-9])"
+
+    return "|".join(groups(length, codes) for length, codes in IBAN_LENGTHS.items())
+
+
 RULES = (
     Rule("email", "@", r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", _any, 0.8,
          "mail|contact|write|reach", "example|noreply", True),
@@ -89,8 +107,10 @@ RULES = (
     Rule("phone", r"\+", r"\+[0-9][\x20().0-9-]+[0-9]", _phone, 0.6, "phone|call|tel|mobile|fax|whatsapp", "total|sum",
          True),
     Rule("iban", "[A-Z]{2}[0-9]{2}",
-         r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}+|(?:\x20[A-Z0-9]{4}){2,7}+(?:\x20[A-Z0-9]{1,3})?)"
-         r"(?![A-Za-z0-9])", _mod97, 0.7, r"iban|bank|account|konto|compte|cuenta", "", False),
+         # a country's own length first: a word in capitals may stand behind the number
+         rf"(?<![A-Za-z0-9])(?:{_grouped_ibans()}|"
+         r"[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}+|(?:\x20[A-Z0-9]{4}){2,7}+(?:\x20[A-Z0-9]{1,3})?)"
+         r"(?![A-Za-z0-9]))", _mod97, 0.7, r"iban|bank|account|konto|compte|cuenta", "", False),
     Rule("ssn", "[0-9]", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", _any, 0.3, r"\bssn\b|social", "", False),
     Rule("secret", "[0-9]", r"(?<![A-Za-z0-9])(?:AKIA[A-Z0-9]{16}|[A-Fa-f0-9]{16,128})(?![A-Za-z0-9])", _any, 0.3,
          "password|passwd|token|secret|api.?key|credential|akia", "sha|digest|checksum|commit", False),

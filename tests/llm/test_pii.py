@@ -127,3 +127,31 @@ def test_context_reaches_across_neighbouring_matches(documents):
     assert [s[3] for s in got[9]] == [1.0, 1.0]
     redacted = {r.doc_id: r.text for r in pii.redact(documents(pairs[:2])).collect()}
     assert redacted == {1: "SSN: [ssn], [ssn], [ssn]", 2: "password [secret] [secret] or [secret]"}
+
+
+def iban(code, length):
+    """A valid account number of a country, in groups of four."""
+    own = "".join(str(7 * i % 10) for i in range(length - 4))
+    rest = int("".join(str(int(c, 36)) for c in f"{own}{code}00")) % 97
+    whole = f"{code}{98 - rest:02d}{own}"
+    return " ".join(whole[i:i + 4] for i in range(0, length, 4))
+
+
+def test_account_numbers_before_capital_words(documents):
+    texts = ["IBAN ES91 2100 0418 4502 0005 1332 BIC CAIXESBB", "BE68 5390 0754 7034 BANK", "BE68 5390 0754 7034 EUR 5"]
+    want = [[(5, 34)], [(0, 19)], [(0, 19)]]
+    for length, codes in pii.IBAN_LENGTHS.items():
+        for code in codes.split():
+            one = iban(code, length)
+            for behind in ("BIC", "BANK", "EUR", "A", "GENODEFF BIC"):
+                texts.append(f"to {one} {behind}")
+                want.append([(3, 3 + len(one))])
+            texts.append(f"{one} {one}")
+            want.append([(0, len(one)), (len(one) + 1, 2 * len(one) + 1)])
+            texts.append(f"{one.replace(' ', '')} BIC")
+            want.append([(0, length)])
+    texts.append("BE68 5390 0754 7035 BANK")
+    want.append([])
+    got = {r.doc_id: [(s.start, s.end) for s in r.spans if s.kind == "iban"]
+           for r in pii.find(documents(list(enumerate(texts)))).collect()}
+    assert [got[i] for i in range(len(texts))] == want
