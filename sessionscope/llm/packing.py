@@ -119,7 +119,6 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         parts = json.loads(self.tokenizer.to_str())
         steps = [n.get("type") for n in (parts["normalizer"] or {}).get("normalizers", [])]
         splits = (parts["pre_tokenizer"] or {}).get("pretokenizers", [{}])
@@ -127,10 +126,18 @@ class Encoder:
         self.by_word = bool(suffix) and steps == ["NFC", "Replace", "Lowercase"] and \
             splits[0].get("pattern", {}).get("Regex") == _SPLIT and splits[0].get("invert", False)
         vocabulary = self.tokenizer.get_vocab()
+        # a text that may hold one of these is not plain: it is one id wherever it stands
+        self.added = [t["content"].lower() for t in parts.get("added_tokens") or []]
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
         if self.by_word:
             self.ends_word[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
 
+    def _is_plain(self, text: str) -> bool:
+        if not (self.by_word and _PLAIN.fullmatch(text)):
+            return False
+        lower = text.lower()
+        return not any(t in lower for t in self.added)
+
     def _whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
@@ -169,7 +176,7 @@ class Encoder:
         out: list[np.ndarray] = [np.empty(0, "<u4")] * len(texts)
         plain, other = [], []
         for i, text in enumerate(texts):
-            (plain if self.by_word and _PLAIN.fullmatch(text) else other).append(i)
+            (plain if self._is_plain(text) else other).append(i)
         for own, encode in ((plain, self._plain), (other, self._whole)):
             for group in _groups([len(texts[i]) for i in own]):
                 held = [own[j] for j in group]

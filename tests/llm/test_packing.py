@@ -121,3 +121,18 @@ def test_least_squares_finds_an_exact_fit():
     x = packing.nonnegative_least_squares(slots, wanted, 3000)
     used = np.bincount(slots[slots > 0], np.repeat(x, (slots > 0).sum(axis=1)), 61)
     assert np.allclose(used, wanted, atol=.5) and (x >= 0).all()
+
+
+def test_added_tokens_are_single_ids_as_in_the_unmodified_tokenizer(documents):
+    plain = Tokenizer.from_file(vocabulary())
+    parts = ["one", "Two", "<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|StartOfText|>", "<|", "|>", "é", "日",
+             "don't", "endoftext", "12"]
+    rng = random.Random(5)
+    texts = ["one <|endoftext|> two", "<|startoftext|>", "a<|endoftext|><|startoftext|>b", "x <|endoftext |> y"]
+    texts += ["".join(rng.choice(parts) + rng.choice(["", " "]) for _ in range(rng.randint(1, 9))) for _ in range(300)]
+    encoder = packing.Encoder(vocabulary())
+    assert encoder(texts)[0].tolist() == [637, 49407, 1237]
+    assert [x.tolist() for x in encoder(texts)] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    pairs = list(enumerate(texts[:20]))
+    rows = packing.pack(documents(pairs), vocabulary(), 16).collect()
+    assert sorted((tuple(r)[:5] for r in rows), key=str) == pieces_of(plain, pairs, 16)
