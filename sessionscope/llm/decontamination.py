@@ -26,7 +26,7 @@ from .common import text_bytes
 from .tokens import joined, spans, word_windows
 
 WINDOW = 8  # tokens
-SHORTEST = 4  # an item with fewer tokens cannot be told from chance and is never found
+SHORTEST = 3  # an item with fewer tokens cannot be told from chance and is never found
 MAX_WINDOWS = 1 << 20  # of the benchmark, sent to a task at once
 _GROUP = 1 << 20  # bytes of text handled at once (a longer text alone)
 
@@ -87,14 +87,20 @@ class _Tokens:
         self.type = np.where(number, NUMBER, np.where(unit, UNIT, np.where(capital[starts], NAME, LITERAL)))
         self.code = np.where(self.type == LITERAL, self.plain, _PLACE[self.type])
 
-    def windows(self, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(plain, template, usable template) for every window; windows over two texts get hash 0."""
+    def windows(self, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(plain, template, dense template, inside one text) for every window; others get hash 0.
+
+        A template with literals in less than half its places is dense: it
+        says little, and counts only where the whole item follows.
+        """
         plain, template = word_windows(self.plain, size), word_windows(self.code, size) ^ _TEMPLATE
         n = len(plain)
         inside = self.doc[:n] == self.doc[size - 1:] if n else np.empty(0, bool)
         literal = np.concatenate(([0], np.cumsum(self.type == LITERAL)))
-        usable = 2 * (literal[size:size + n] - literal[:n]) >= size  # half the window says something
-        return np.where(inside, plain, 0), np.where(inside & usable, template, 0), inside
+        said = literal[size:size + n] - literal[:n]
+        half = 2 * said >= size
+        return np.where(inside, plain, 0), np.where(inside & half, template, 0), \
+            np.where(inside & ~half & (said > 0), template, 0), inside
 
 
 def _among(values: np.ndarray, listed: np.ndarray) -> np.ndarray:
@@ -112,6 +118,7 @@ class Index:
     first: np.ndarray  # of each item's tokens in the arrays below
     plain: np.ndarray
     type: np.ndarray
+    code: np.ndarray
     windows: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]  # size -> hash, item, place in it
     sieve: dict[int, np.ndarray]  # size -> which low hash bits occur
 
@@ -127,25 +134,25 @@ def build_index(items: list[tuple[int | None, bytes]]) -> Index:
         own = sizes >= WINDOW if size == WINDOW else sizes == size
         if not own.any():
             continue
-        plain, template, inside = tokens.windows(size)
+        plain, template, dense, inside = tokens.windows(size)
         at = np.flatnonzero(inside & own[tokens.doc[:len(inside)]])
-        hashes = np.concatenate((plain[at], template[at]))
-        at = np.concatenate((at, at))[hashes > 0]
+        hashes = np.concatenate((plain[at], template[at], dense[at]))
+        at = np.concatenate((at, at, at))[hashes > 0]
         hashes = hashes[hashes > 0]
         order = np.argsort(hashes, kind="stable")
         doc = tokens.doc[at[order]]
         windows[size] = hashes[order], doc, at[order] - tokens.first[doc]
         sieve[size] = np.zeros(int(_SIEVE) + 1, bool)
         sieve[size][hashes & _SIEVE] = True
-    return Index([i for i, _ in items], tokens.first, tokens.plain, tokens.type, windows, sieve)
+    return Index([i for i, _ in items], tokens.first, tokens.plain, tokens.type, tokens.code, windows, sieve)
 
 
 def _hits(tokens: _Tokens, index: Index) -> np.ndarray:
-    """Rows (document, item, distance, place in the item, window size, is it plain) of matching windows, sorted."""
+    """Rows (document, item, distance, place in the item, window size, plain 1, template 0 or dense -1), sorted."""
     out = []
     for size, (hashes, item, place) in index.windows.items():
-        plain, template, _ = tokens.windows(size)
-        for view, is_plain in ((plain, 1), (template, 0)):
+        plain, template, dense, _ = tokens.windows(size)
+        for view, is_plain in ((plain, 1), (template, 0), (dense, -1)):
             at = np.flatnonzero(index.sieve[size][view & _SIEVE])
             at = at[view[at] > 0]
             lo, hi = np.searchsorted(hashes, view[at]), np.searchsorted(hashes, view[at], "right")
@@ -153,6 +160,17 @@ def _hits(tokens: _Tokens, index: Index) -> np.ndarray:
             row = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
             at = np.repeat(at, n)
             doc = tokens.doc[at]
+            if is_plain < 0:  # the whole item must lie there
+                begin, n = at - place[row], np.diff(index.first)[item[row]]
+                fits = (begin >= tokens.first[doc]) & (begin + n <= tokens.first[doc + 1])
+                at, row, doc, begin, n = (x[fits] for x in (at, row, doc, begin, n))
+                whole = np.ones(len(at), bool)
+                for k in range(int(n.max(initial=0))):  # token by token, among those that still agree
+                    left = np.flatnonzero(whole & (n > k))
+                    if not len(left):
+                        break
+                    whole[left] = tokens.code[begin[left] + k] == index.code[index.first[item[row[left]]] + k]
+                at, row, doc = at[whole], row[whole], doc[whole]
             out.append(np.stack([doc, item[row], at - tokens.first[doc] - place[row], place[row],
                                  np.full(len(at), size), np.full(len(at), is_plain)], 1))
     hits = np.concatenate(out) if out else np.empty((0, 6), np.int64)
@@ -193,6 +211,8 @@ def _judge(tokens: _Tokens, index: Index, limits: Limits) -> dict[int, dict[int,
     for lo, hi in zip(heads, np.append(heads[1:], len(hits))):
         doc, item, shift, start = hits[lo, :4].tolist()
         end = int((hits[lo:hi, 3] + hits[lo:hi, 4]).max())
+        if (hits[lo:hi, 5] < 0).any():  # found whole
+            start, end = 0, int(index.first[item + 1] - index.first[item])
         size = int(index.first[item + 1] - index.first[item])
         if end - start < limits.run and end - start < limits.coverage * size:
             continue

@@ -95,3 +95,21 @@ def test_empty_tables_long_texts_and_repeats(spark, documents):
     ("École élan ten pounds", [dc.NAME, dc.LITERAL, dc.NUMBER, dc.UNIT]), ("pounds. 3.", [dc.LITERAL, dc.NUMBER])])
 def test_types_of_tokens(text, types):
     assert dc._Tokens([text.encode()]).type.tolist() == types
+
+
+@pytest.mark.parametrize("item,other,differs", [
+    ("What is 12 + 7 * 3?", "What is 45 + 8 * 6?", "What was 45 + 8 * 6?"),
+    ("What is 12?", "What is 45?", "What was 45?"),
+    ("Solve 3 x + 4 y = 12", "Solve 5 x + 7 y = 31", "Solve 5 x + 7 z = 31"),
+    ("Add 12 kg 5 g and 7 kg 250 g", "Add 31 miles 8 feet and 6 miles 90 feet", "Add 31 miles 8 feet or 6 miles 90 feet"),
+    ("Anna Berg met Carl Dorn and Emil Falk saw 7 Gulls 8 Hens 9 Ibis", "Ruth Senn met Theo Uhl and Vera Wolf saw 1 Xerus 4 "
+     "Yaks 6 Zebras", "Ruth Senn met Theo Uhl and Vera Wolf saw 1 Xerus 4 Yaks 6")])
+def test_items_dense_in_slots_with_other_values(spark, documents, item, other, differs):
+    texts = [item, other, f"{filler(1)} {other}, {filler(2)}", differs, f"{filler(3)} {differs} {filler(4)}", filler(5)]
+    assert found(spark, documents, texts, [(1, item)]) == [True, True, True, False, False, False]
+
+
+def test_dense_items_keep_the_order_of_types(spark, documents):
+    item = "Add 12 kg 5 g and 7 kg 250 g"
+    assert found(spark, documents, ["Add kg 12 5 g and 7 kg 250 g", "Add 12 kg 5 g and 7 kg"], [(1, item)]) == [False, True]
+    assert found(spark, documents, ["Add 1 kg 2 g and 3 kg", "Add 1 kg 1 kg and 1 kg 1 kg"], [(1, item)]) == [False, False]
