@@ -34,7 +34,7 @@ CAPACITY = 2048
 SEPARATOR = 0  # the id behind every document
 # of the fitted repeats that are used, and the smallest number that still counts as one
 SHARES = ((1.0, 0.05), (1.0, 0.5), (0.9, 0.5), (0.7, 0.5), (0.4, 0.5), (0.1, 0.5))
-_GROUP = 1 << 23  # bytes of text whose words are tokenised together
+_GROUP = 1 << 21  # bytes of text whose words are tokenised together
 
 _AT_ONCE = 1 << 14  # words in one call of the tokenizer
 

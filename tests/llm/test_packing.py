@@ -14,9 +14,7 @@ from .conftest import SF01
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    found = Tokenizer.from_file(vocabulary())
-    found.encode_special_tokens = True
-    return found
+    return Tokenizer.from_file(vocabulary())
 
 
 def pieces_of(tokenizer, pairs, capacity):
