@@ -291,8 +291,9 @@ def identify(docs: DataFrame, models: Models, keep: list[str] | None = None,
     added = "lang_pred string, score double, cross_entropy double, rejected boolean"
     names = ["lang_pred", "score", "cross_entropy", "rejected"]
     columns = [c for c in keep or docs.columns if c not in names]
-    kept = docs.select(columns)
-    read = docs.select(*columns, F.col("text").cast("string").alias("text to identify"))
+    quoted = [F.col("`" + c.replace("`", "``") + "`") for c in columns]
+    kept = docs.select(quoted)
+    read = docs.select(*quoted, F.col("text").cast("string").alias("text to identify"))
     held = docs.sparkSession.sparkContext.broadcast(models)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -305,5 +306,5 @@ def identify(docs: DataFrame, models: Models, keep: list[str] | None = None,
                  pa.array(columns[2], pa.float64()), pa.array(columns[3], pa.bool_())],
                 names=[*batch.schema.names[:-1], *names])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
+    schema = ", ".join("`" + f.name.replace("`", "``") + f"` {f.dataType.simpleString()}" for f in kept.schema)
     return read.mapInArrow(run, f"{schema}, {added}")
