@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import debruijn, decontamination, langid, ngram_lm, packing, pii, quality, simhash, suffix_dedup, warc
+from . import (collocations, debruijn, decontamination, langid, merkle, ngram_lm, packing, pii, projection_search, quality,
+               simhash, suffix_dedup, warc)
 from .common import crc_remainder, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,10 +79,27 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(read_table(spark, sf_dir, "pages"))
 
 
+def op11_projection_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return projection_search.nearest(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tampering lower-cases A-Z where 3 divides crc32(doc_id) (a null id is left alone)."""
+    docs = read_table(spark, sf_dir, "documents")
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    found = merkle.manifest(docs, tampered=F.when(crc_remainder(F.col("doc_id"), 3) == 0, lowered))
+    return found.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(read_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_lm_score, op2_decontamination, op3_pii, op4_pattern_packing, op5_language_id, op6_suffix_dedup,
-        op7_quality, op8_debruijn, op9_simhash, op10_warc)}
+        op7_quality, op8_debruijn, op9_simhash, op10_warc, op11_projection_search, op12_merkle_manifest,
+        op13_collocations)}
 
 
 _REPEATS_SQL = """
@@ -139,5 +157,108 @@ FROM r
 """
 
 
+def _merkle_sql(levels: int = 8) -> str:
+    """Trees of up to 8 ** ``levels`` nodes."""
+    def listed(c: str) -> str:
+        return f"coalesce(octet_length(encode(CAST({c} AS VARCHAR))) || ':' || CAST({c} AS VARCHAR), '-')"
+
+    def tree(name: str, group: str) -> str:
+        parts = []
+        for k in range(levels):
+            many = f"(SELECT {group}, max(pos) > 0 AS more FROM {name}{k} GROUP BY {group})"
+            # a run's hash, and each node's siblings in its run
+            parts.append(f"""{name}_at{k} AS (
+  SELECT t.{group}, t.pos, m.more, t.pos // CASE WHEN m.more THEN 8 ELSE 1 END AS up, t.h,
+         coalesce(string_agg(t.h, '') OVER (r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+         coalesce(string_agg(t.h, '') OVER (r ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+  FROM {name}{k} t JOIN {many} m USING ({group})
+  WINDOW r AS (PARTITION BY t.{group}, t.pos // CASE WHEN m.more THEN 8 ELSE 1 END ORDER BY t.pos))""")
+            parts.append(f"""{name}{k + 1} AS (
+  SELECT {group}, up AS pos, CASE WHEN bool_or(more) THEN sha256(string_agg(h, '' ORDER BY pos)) ELSE min(h) END AS h
+  FROM {name}_at{k} GROUP BY {group}, up)""")
+        return ",\n".join(parts)
+
+    crc = ("xor(list_reduce(list_concat([4294967295], flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), "
+           "lambda c: [ascii(c), -1, -1, -1, -1, -1, -1, -1, -1]))), lambda s, e: CASE WHEN e >= 0 THEN xor(s, e) "
+           "ELSE xor(s >> 1, (s & 1) * 3988292384) END), 4294967295)")
+    lowered = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    own = " || ".join(map(listed, merkle.FIELDS))
+    other = " || ".join(listed(c) if c != "text" else listed(f"({lowered})") for c in merkle.FIELDS)
+    folds, at = [], "f0"
+    for name, group in (("n", "g"), ("r", "one")):
+        for k in range(levels):
+            up = f"{at}_{name}{k}"
+            place = "pos" if (name, k) != ("r", 0) else "gpos"
+            folds.append(f"""{up} AS (
+  SELECT p.* EXCLUDE (pos, folded, proof), a.up AS pos, CASE WHEN a.more THEN sha256(a.l || p.folded || a.r) ELSE p.folded END
+         AS folded, p.proof || a.l || a.r AS proof
+  FROM {at} p JOIN {name}_at{k} a ON a.{group} = p.{group} AND a.pos = p.{place})""")
+            at = up
+    return f"""
+WITH d AS MATERIALIZED (
+  SELECT doc_id, coalesce('v' || lang, 'n') AS g, sha256({own}) AS leaf,
+         CASE WHEN doc_id IS NOT NULL AND {crc} % 3 = 0 THEN sha256({other}) ELSE sha256({own}) END AS altered
+  FROM documents),
+placed AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM d),
+n0 AS (SELECT g, pos, leaf AS h FROM placed),
+{tree("n", "g")},
+r0 AS (SELECT 1 AS one, row_number() OVER (ORDER BY g) - 1 AS pos, h, g FROM n{levels}),
+{tree("r", "one")},
+f0 AS (
+  SELECT p.doc_id, p.g, p.leaf, p.pos, 1 AS one, r0.pos AS gpos, r0.h AS subroot, p.altered AS folded, '' AS proof
+  FROM placed p JOIN r0 ON r0.g = p.g),
+{", ".join(folds)}
+SELECT doc_id, leaf, subroot, h AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = h AS verified
+FROM {at} JOIN r{levels} ON TRUE
+"""
+
+
+_PHRASES_SQL = r"""
+WITH texts AS (
+  SELECT doc_id, row_number() OVER () AS row, coalesce(lang, 'und') AS lang,
+         translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM documents WHERE text IS NOT NULL),
+pieces AS (
+  SELECT row, lang, unnest(l) AS piece, generate_subscripts(l, 1) AS p FROM (
+    SELECT row, lang, string_split_regex(text, '[.,;:!?
+-]') AS l FROM texts)),
+words AS (
+  SELECT row, lang, p, unnest(l) AS w, generate_subscripts(l, 1) AS i FROM (
+    SELECT row, lang, p, list_filter(string_split_regex(piece, '[ 	]+'), lambda x: x <> '') AS l FROM pieces)),
+starts AS (
+  SELECT lang, w AS w1, lead(w, 1) OVER o AS w2, lead(w, 2) OVER o AS w3, lead(w, 3) OVER o AS w4 FROM words
+  WINDOW o AS (PARTITION BY row, p ORDER BY i)),
+f AS MATERIALIZED (
+  SELECT lang, w, count(*) AS a FROM (
+    SELECT lang, [w1] AS w FROM starts
+    UNION ALL SELECT lang, [w1, w2] FROM starts WHERE w2 IS NOT NULL
+    UNION ALL SELECT lang, [w1, w2, w3] FROM starts WHERE w3 IS NOT NULL
+    UNION ALL SELECT lang, [w1, w2, w3, w4] FROM starts WHERE w4 IS NOT NULL)
+  GROUP BY lang, w HAVING count(*) >= 30),
+n AS (SELECT lang, count(*) AS n FROM words GROUP BY lang),
+phrases AS (SELECT * FROM f WHERE len(w) > 1),
+cuts AS (SELECT lang, w, a, unnest(range(1, len(w))) AS k FROM phrases),
+scores AS (
+  SELECT c.lang, c.w, c.a, k, h.a AS l, t.a AS r,
+         CAST(CAST(2000000 AS HUGEINT) * c.a // (CAST(h.a AS HUGEINT) + t.a) AS BIGINT) AS score
+  FROM cuts c JOIN f h ON h.lang = c.lang AND h.w = c.w[1:k] JOIN f t ON t.lang = c.lang AND t.w = c.w[k + 1:]),
+best AS (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, w ORDER BY score, k) = 1),
+inside AS (
+  SELECT lang, w, max(a) AS longer FROM (
+    SELECT lang, a, w[i:i + k - 1] AS w FROM (
+      SELECT *, unnest(range(1, len(w) - k + 2)) AS i FROM (
+        SELECT *, unnest(range(2, len(w))) AS k FROM phrases WHERE len(w) > 2))) GROUP BY lang, w),
+kept AS (
+  SELECT b.* FROM best b LEFT JOIN inside i ON i.lang = b.lang AND i.w = b.w
+  WHERE longer IS NULL OR CAST(100 AS HUGEINT) * longer < CAST(80 AS HUGEINT) * a),
+ranked AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(w, ' ')) AS rank,
+         array_to_string(w, ' ') AS phrase, a, l, r, score FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN n USING (lang) WHERE rank <= 2000
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op6_suffix_dedup": _REPEATS_SQL, "op8_debruijn": _WORDS_SQL, "op10_warc": _WARC_SQL}
+    return {"op6_suffix_dedup": _REPEATS_SQL, "op8_debruijn": _WORDS_SQL, "op10_warc": _WARC_SQL,
+            "op12_merkle_manifest": _merkle_sql(), "op13_collocations": _PHRASES_SQL}
