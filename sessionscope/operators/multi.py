@@ -1,75 +1,30 @@
 """Statistics of many tasks in one job.
 
-The task table is read once and parsed by Spark; the tasks become part of the
-plan (their number is an argument, ``max_tasks``). The scan is bounded by the
-earliest start and the latest end of all tasks. Actions are first rolled up
-per (session, day) into fixed-width rows: times, steps and, per task with
-keyword or category lists, whether one was met. These rows are shuffled once,
-by session; only behind that shuffle is a day copied to the tasks that cover
-it and combined per (task, session), so overlapping tasks multiply rows inside
-a task of the job but not in the shuffle. A task whose filters keep nothing
+The tasks' sessions come from ``operators.task_sessions``: actions are added up
+once per session and elementary date interval, so overlapping tasks multiply
+neither the shuffles nor the rows in front of the user predicates, and list
+parameters of any length are joined as rows. A task whose filters keep nothing
 still gets its row (count 0, NULL ratios).
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sessionscope.functions.timefmt import seconds_between
-from sessionscope.operators.filters import category_match, keyword_match, user_predicate
-from sessionscope.operators.sessions import actions_in_range
 from sessionscope.operators.stats import bucket_counts, ratios_from_counts
-from sessionscope.sources.tables import USER_COLUMNS
-from sessionscope.sources.tasks import TaskParams, load_tasks
-
-
-def _by_task(tasks: list[TaskParams], predicate) -> Column:
-    """The row's own task's predicate (a missing one passes every row)."""
-    own = [(t.task_id, predicate(t)) for t in tasks]
-    branches = [(task_id, p) for task_id, p in own if p is not None]
-    if not branches:
-        return F.lit(True)
-    whens = reduce(lambda w, b: w.when(F.col("task_id") == b[0], b[1]), branches[1:],
-                   F.when(F.col("task_id") == branches[0][0], branches[0][1]))
-    return F.coalesce(whens.otherwise(F.lit(True)), F.lit(False))
-
+from sessionscope.operators.task_sessions import task_sessions
+from sessionscope.sources.tasks import TaskTable, task_table
 
-def task_dates(tasks: list[TaskParams]):
-    """Earliest start and latest end over the tasks that cover a day; None without one."""
-    covered = [(t.start_date, t.end_date) for t in tasks if t.start_date <= t.end_date]
-    return (min(s for s, _ in covered), max(e for _, e in covered)) if covered else None
 
-
-def multi_task_sessions(actions: DataFrame, users: DataFrame, tasks: list[TaskParams]) -> DataFrame:
-    """Session records (without lists) of every task that pass its predicates,
-    keyed by (task_id, session_id)."""
-    dates = task_dates(tasks)
-    acts = actions_in_range(actions, *dates) if dates else actions.where(F.lit(False))
-    flags = {f"_{kind}_{t.task_id}": c for t in tasks for kind, c in
-             (("keyword", keyword_match(t)), ("category", category_match(t))) if c is not None}
-    daily = (acts.where(F.col("session_id").isNotNull())
-             .groupBy("session_id", "date")
-             .agg(F.min("user_id").alias("user_id"), F.min("action_time").alias("start_time"),
-                  F.max("action_time").alias("end_time"), F.count(F.lit(1)).alias("step_length"),
-                  *[c.alias(name) for name, c in flags.items()])
-             .repartition("session_id"))
-    ranges = F.array(*[F.struct(F.lit(t.task_id).cast("long").alias("task_id"), F.lit(t.start_date).alias("first"),
-                                F.lit(t.end_date).alias("last")) for t in tasks])
-    covering = F.filter(ranges, lambda t: F.col("date").between(t["first"], t["last"]))
-    per_task = daily.select("*", F.explode(F.transform(covering, lambda t: t["task_id"])).alias("task_id"))
-    sessions = (per_task.groupBy("task_id", "session_id")
-                .agg(F.min("user_id").alias("user_id"), F.min("start_time").alias("start_time"),
-                     F.max("end_time").alias("end_time"), F.sum("step_length").alias("step_length"),
-                     *[F.bool_or(name).alias(name) for name in flags])
-                .withColumn("visit_length", seconds_between(F.col("start_time"), F.col("end_time"))))
-    for kind in ("keyword", "category"):
-        sessions = sessions.where(_by_task(
-            tasks, lambda t: F.col(f"_{kind}_{t.task_id}") if f"_{kind}_{t.task_id}" in flags else None))
-    records = sessions.drop(*flags).join(users.select(*USER_COLUMNS), "user_id")
-    return records.where(_by_task(tasks, user_predicate))
+def task_stats(sessions: DataFrame, table: TaskTable) -> DataFrame:
+    """One ``session_aggr_stat`` row per task from the tasks' sessions."""
+    wanted = sessions.sparkSession.createDataFrame([(t.task_id,) for t in table.rows], "task_id long")
+    counts = bucket_counts(sessions, by=["task_id"])
+    count_cols = [c for c in counts.columns if c != "task_id"]
+    filled = (wanted.join(counts, "task_id", "left")
+              .select("task_id", *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in count_cols]))
+    return ratios_from_counts(filled)
 
 
 def multi_task_stat(actions: DataFrame, users: DataFrame, tasks: DataFrame,
@@ -78,13 +33,5 @@ def multi_task_stat(actions: DataFrame, users: DataFrame, tasks: DataFrame,
 
     Missing or repeated ids and invalid tasks raise ``ValueError``.
     """
-    params = load_tasks(tasks, task_ids, max_tasks)
-    wanted = actions.sparkSession.createDataFrame([(t.task_id,) for t in params], "task_id long")
-    if not params:
-        return ratios_from_counts(bucket_counts(
-            multi_task_sessions(actions, users, [TaskParams.of("1970-01-02", "1970-01-01")]), by=["task_id"]))
-    counts = bucket_counts(multi_task_sessions(actions, users, params), by=["task_id"])
-    count_cols = [c for c in counts.columns if c != "task_id"]
-    filled = (wanted.join(counts, "task_id", "left")
-              .select("task_id", *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in count_cols]))
-    return ratios_from_counts(filled)
+    table = task_table(tasks, task_ids, max_tasks)
+    return task_stats(task_sessions(actions, users, table), table)

@@ -21,9 +21,10 @@ def _ids(text: Column) -> Column:
                        lambda x: F.trim(x).try_cast("bigint"))
 
 
-def category_events(actions: DataFrame) -> DataFrame:
+def category_events(actions: DataFrame, keep: tuple[str, ...] = ("session_id",)) -> DataFrame:
     """(session_id, category_id, kind) for every clicked, ordered or paid
     category of every action; the order and pay id lists are comma-separated.
+    ``keep`` names the action's columns in front.
 
     An entry of a list that is not a number names no category and is skipped.
     """
@@ -36,15 +37,15 @@ def category_events(actions: DataFrame) -> DataFrame:
         tagged(F.coalesce(_ids(F.col("order_category_ids")), F.array().cast("array<bigint>")), "order"),
         tagged(F.coalesce(_ids(F.col("pay_category_ids")), F.array().cast("array<bigint>")), "pay"),
     )
-    return (actions.select("session_id", F.explode(events).alias("e"))
-            .select("session_id", "e.category_id", "e.kind")
+    return (actions.select(*keep, F.explode(events).alias("e"))
+            .select(*keep, "e.category_id", "e.kind")
             .where(F.col("category_id").isNotNull()))
 
 
-def session_category_counts(actions: DataFrame) -> DataFrame:
+def session_category_counts(actions: DataFrame, keep: tuple[str, ...] = ("session_id",)) -> DataFrame:
     """One row per (session, category): click, order and pay counts."""
-    return (category_events(actions)
-            .groupBy("session_id", "category_id")
+    return (category_events(actions, keep)
+            .groupBy(*keep, "category_id")
             .agg(*[F.count_if(F.col("kind") == k).alias(f"{k}_count") for k in KINDS]))
 
 

@@ -16,14 +16,17 @@ from sessionscope.operators.extract import random_extract, session_detail
 
 from sessionscope.operators.filters import USER_PREDICATES, category_match, conjunction, keyword_match, user_predicate
 from sessionscope.operators.flow import page_flow_conversion
-from sessionscope.operators.multi import multi_task_stat, task_dates
+from sessionscope.operators.intervals import elementary_intervals
+from sessionscope.operators.multi import multi_task_stat
 from sessionscope.operators.sessions import actions_in_range, rollup_sessions, with_users
 from sessionscope.operators.stats import session_aggr_stat
 from sessionscope.operators.topn import counts_of_sessions, top_categories, top_sessions_per_category
+from sessionscope.plans.outputs import SESSION_DETAIL_COLUMNS, all_outputs
 from sessionscope.session import ensure_checkpoint_dir, job_session
-from sessionscope.sources.sinks import write_by_task, write_session_aggr_stat
+from sessionscope.sources.published import publish
+from sessionscope.sources.sinks import stat_columns_for_storage, write_session_aggr_stat
 from sessionscope.sources.tables import USER_COLUMNS, read_actions, read_table, read_users
-from sessionscope.sources.tasks import TaskParams, load_tasks, task_ids_from_text
+from sessionscope.sources.tasks import TaskParams, load_task, task_ids_from_text, task_table
 
 
 def filtered_sessions(actions: DataFrame, users: DataFrame, params: TaskParams,
@@ -54,10 +57,6 @@ def session_stats(actions: DataFrame, users: DataFrame, params: TaskParams,
     return session_aggr_stat(filtered_sessions(actions, users, params, prefilter_users), params.task_id)
 
 
-# Columns of the stored results, behind task_id.
-SESSION_DETAIL_COLUMNS = ("user_id", "session_id", "page_id", "action_time", "search_keyword", "click_category_id",
-                          "click_product_id", "order_category_ids", "order_product_ids", "pay_category_ids",
-                          "pay_product_ids")
 TOP_SESSION_COLUMNS = ("category_id", "session_id", "click_count")
 
 
@@ -121,18 +120,18 @@ def main(argv: list[str] | None = None) -> None:
 
     spark = job_session("session-stats", hive=args.hive)
     tasks = read_table(spark, args.tasks)
-    params = load_tasks(tasks, task_ids)
-    dates = task_dates(params) or (params[0].start_date, params[0].end_date)
+    table = task_table(tasks, task_ids)
+    dates = elementary_intervals(table.rows).dates or (table.rows[0].start_date, table.rows[0].end_date)
     actions, users = read_actions(spark, args.actions, start=dates[0], end=dates[1]), read_users(spark, args.users)
     if args.all_outputs:
-        for p in params:
-            for name, df in task_outputs(actions, users, p, args.extract_per_day, seed=str(p.task_id)).items():
-                write = write_session_aggr_stat if name == "session_aggr_stat" else write_by_task
-                write(df, f"{args.out}/{name}")
-    elif len(params) > 1:
+        outputs = all_outputs(actions, users, table, args.extract_per_day)
+        outputs["session_aggr_stat"] = stat_columns_for_storage(outputs["session_aggr_stat"])
+        publish(outputs, args.out, "task_id", task_ids)
+    elif len(task_ids) > 1:
         write_session_aggr_stat(multi_task_stat(actions, users, tasks, task_ids), args.out)
     else:
-        write_session_aggr_stat(session_stats(actions, users, params[0], args.prefilter_users), args.out)
+        params = load_task(tasks, task_ids[0])
+        write_session_aggr_stat(session_stats(actions, users, params, args.prefilter_users), args.out)
 
 
 if __name__ == "__main__":

@@ -10,6 +10,8 @@ value; column names match between each query and its oracle.
 from __future__ import annotations
 
 import datetime as dt
+import json
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -25,14 +27,21 @@ from sessionscope.operators.stats import bucket_counts, session_aggr_stat
 from sessionscope.functions.records import decode_sessions, encode_sessions
 from sessionscope.operators.extract import random_extract, session_detail
 from sessionscope.operators.flow import page_flow_conversion
+from sessionscope.operators.lists import rollup_any_size, session_values, value_slices
 from sessionscope.operators.multi import multi_task_stat
 from sessionscope.operators.rollups import (
     action_gaps, actions_around, actions_per_minute, daily_rollup, sessions_per_hour,
 )
+from sessionscope.operators.states import refresh_states, stored_sessions
+from sessionscope.operators.task_sessions import task_sessions
 from sessionscope.operators.topn import counts_of_sessions, top_categories, top_sessions_per_category
 from sessionscope.plans.job import filtered_sessions
+from sessionscope.plans.outputs import all_outputs
+from sessionscope.session import ensure_checkpoint_dir
+from sessionscope.sources.published import publish, read_published, write_run
+from sessionscope.sources.sinks import read_action_log, save_action_log
 from sessionscope.sources.tables import normalize_actions
-from sessionscope.sources.tasks import TaskParams
+from sessionscope.sources.tasks import TaskParams, task_table
 from sessionscope.sources.testdata import USERS_SQL, actions_sql, load_actions, load_users
 
 # ---------------------------------------------------------------- tasks --
@@ -293,7 +302,6 @@ TASK_ROWS = (
 
 def _task_params_from_json(task_id: int, text: str) -> TaskParams:
     """Oracle-side reading of a task row (plain Python json)."""
-    import json
     d = {k: v[0] for k, v in json.loads(text).items()}
     return TaskParams.of(
         d["startDate"], d["endDate"],
@@ -389,13 +397,128 @@ def q_page_flow_conversion(spark, sf):
     return page_flow_conversion(_actions(spark, sf, MONTH, clock="second"), PAGE_FLOW)
 
 
-def task_table(spark):
-    return spark.createDataFrame([(tid, f"task{tid}", txt) for tid, txt in TASK_ROWS],
-                                 "task_id long, task_name string, task_param string")
+def task_table_rows(spark):
+    return _tasks(spark, TASK_ROWS)
 
 
 def q_multi_task_stat(spark, sf):
-    return multi_task_stat(load_actions(spark, sf, "minute"), load_users(spark, sf), task_table(spark))
+    return multi_task_stat(load_actions(spark, sf, "minute"), load_users(spark, sf), task_table_rows(spark))
+
+
+# ------------------------------------------- stored and many-task forms --
+def _folder(spark, name):
+    """A new folder in the cluster's shared one."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def _tasks(spark, rows):
+    return spark.createDataFrame([(tid, f"task{tid}", txt) for tid, txt in rows],
+                                 "task_id long, task_name string, task_param string")
+
+
+def q_stored_session_states(spark, sf):
+    """States by date, from a log that had half of a day at first; then that day is replaced and a range merged."""
+    acts, root = _actions(spark, sf, clock="hour"), _folder(spark, "states")
+    late = (F.col("date") == F.lit(dt.date(2024, 1, 10))) & (F.col("action_id") % 2 == 0)
+    refresh_states(acts.where(~late), root)
+    refresh_states(acts, root)
+    return render_lists(stored_sessions(spark, root, TWO_WEEKS.start_date, TWO_WEEKS.end_date))
+
+
+LIST_SIZE = 50
+
+
+def _hot_actions(spark, sf):
+    """A third of all actions in one session, whose keywords grow with the log."""
+    hot = F.col("action_id") % 3 == 0
+    keyword = F.concat_ws("-", "search_keyword", F.expr("CAST(action_id div 10 AS STRING)"))
+    return _actions(spark, sf, clock="month").withColumns({
+        "session_id": F.when(hot, "hot").otherwise(F.col("session_id")),
+        "search_keyword": F.when(hot & F.col("search_keyword").isNotNull(), keyword).otherwise(F.col("search_keyword"))})
+
+
+def q_session_list_slices(spark, sf):
+    slices = value_slices(session_values(_hot_actions(spark, sf)), LIST_SIZE)
+    return slices.withColumn("values", F.array_join("values", ","))
+
+
+def q_session_rollup_any_size(spark, sf):
+    sessions, _ = rollup_any_size(_hot_actions(spark, sf), LIST_SIZE)
+    return render_lists(sessions)
+
+
+def many_tasks(n: int = 200) -> list[dict]:
+    """Overlapping, nested and empty tasks with every kind of parameter, by formula."""
+    out = []
+    for i in range(n):
+        start = dt.date(2024, 1, 1) + dt.timedelta(days=i * 7 % 30)
+        out.append({"task_id": 1000 + i, "start": start, "end": start + dt.timedelta(days=i * 5 % 13 - 1),
+                    "age": (18 + i % 20, 45 + i % 20) if i % 3 == 0 else None, "sex": (None, "male", None, "female")[i % 4],
+                    "professionals": ["BUILDING", "MACHINERY"] if i % 6 == 0 else None,
+                    "cities": [f"NATION_{k}" for k in range(i % 5, 25, 2)] if i % 9 == 0 else None,
+                    "keywords": [f"kw{k}" for k in range(i % 10, 100, 10)] if i % 5 == 0 else None,
+                    "categories": list(range(i % 7, 100, 7)) if i % 7 == 0 else None})
+    return out
+
+
+def _as_json(t: dict) -> str:
+    p = {"startDate": [t["start"].isoformat()], "endDate": [t["end"].isoformat()]}
+    if t["age"]:
+        p |= {"startAge": [str(t["age"][0])], "endAge": [str(t["age"][1])]}
+    if t["sex"]:
+        p["sex"] = [t["sex"]]
+    for key, name in (("professionals",) * 2, ("cities",) * 2, ("keywords",) * 2, ("categories", "categoryIds")):
+        if t[key] is not None:
+            p[name] = [",".join(map(str, t[key]))]
+    return json.dumps(p)
+
+
+def q_many_task_stat(spark, sf):
+    tasks = _tasks(spark, [(t["task_id"], _as_json(t)) for t in many_tasks()])
+    return multi_task_stat(load_actions(spark, sf, "hour"), load_users(spark, sf), tasks)
+
+
+LONG_LIST = 100_000
+
+
+def q_filter_long_lists(spark, sf):
+    """One task whose keyword, category and city lists have 100,000 entries each."""
+    task = {"startDate": ["2024-01-02"], "endDate": ["2024-01-29"],
+            "keywords": [",".join(f"kw{3 * i}" for i in range(LONG_LIST))],
+            "categoryIds": [",".join(str(7 * i) for i in range(LONG_LIST))],
+            "cities": [",".join(f"NATION_{2 * i}" for i in range(LONG_LIST))]}
+    table = task_table(_tasks(spark, [(21, json.dumps(task))]))
+    found = task_sessions(load_actions(spark, sf, "hour"), load_users(spark, sf), table)
+    return render_lists(found)
+
+
+def q_bucketed_session_rollup(spark, sf):
+    """The log stored by date and session bucket, and rolled up from there."""
+    table = f"action_log_{uuid.uuid4().hex}"
+    save_action_log(_actions(spark, sf), table, buckets=8, path=_folder(spark, "action-log"))
+    return render_lists(rollup_sessions(actions_in_range(read_action_log(spark, table), TWO_WEEKS.start_date,
+                                                         TWO_WEEKS.end_date)))
+
+
+def q_published_task_stat(spark, sf):
+    """Statistics of five tasks, published again behind an earlier publication and a run that died."""
+    acts, users, root = load_actions(spark, sf, "minute"), load_users(spark, sf), _folder(spark, "published")
+    ids = [tid for tid, _ in TASK_ROWS]
+    stats = multi_task_stat(acts, users, task_table_rows(spark)).checkpoint(eager=True)
+    other = stats.withColumn("session_count", F.col("session_count") + 1)
+    publish({"session_aggr_stat": other}, root, "task_id", ids)
+    write_run({"session_aggr_stat": other}, root, "task_id")
+    publish({"session_aggr_stat": stats}, root, "task_id", ids)
+    return read_published(spark, root, "session_aggr_stat", "task_id")
+
+
+def q_published_top_categories(spark, sf):
+    """The top categories of five tasks, published with the top sessions and read back."""
+    root = _folder(spark, "published")
+    found = all_outputs(load_actions(spark, sf, "minute"), load_users(spark, sf), task_table(task_table_rows(spark)),
+                        names=("top10_category", "top10_category_session"))
+    publish(found, root, "task_id", [tid for tid, _ in TASK_ROWS])
+    return read_published(spark, root, "top10_category", "task_id")
 
 
 # ------------------------------------------------ further oracles --
@@ -464,9 +587,102 @@ def _multi_sql():
     return _union_sql([_stat_sql(_task_params_from_json(tid, text)) for tid, text in TASK_ROWS])
 
 
+def _many_sql() -> str:
+    def listed(values) -> str:
+        return "NULL" if values is None else f"[{_q(values)}]"
+
+    rows = ", ".join(
+        f"({t['task_id']}, {_d(t['start'])}, {_d(t['end'])}, {t['age'][0] if t['age'] else 'NULL'}, "
+        f"{t['age'][1] if t['age'] else 'NULL'}, {_q([t['sex']]) if t['sex'] else 'NULL'}, {listed(t['professionals'])}, "
+        f"{listed(t['cities'])}, {listed(t['keywords'])}, {listed(t['categories'])})" for t in many_tasks())
+    ratios = [f"{half_up_sql(f'visit_{b}', 'session_count')} AS visit_length_{b}_ratio" for b in VISIT_EDGES_SQL]
+    ratios += [f"{half_up_sql(f'step_{b}', 'session_count')} AS step_length_{b}_ratio" for b in STEP_EDGES_SQL]
+    counts = COUNTS_SELECT.replace("count(*) AS session_count", "count(session_id) AS session_count")
+    return with_sql(
+        uva_cte("hour"), USERS_CTE,
+        f"tasks AS (SELECT * FROM (VALUES {rows}) t(task_id, s, e, lo, hi, tsex, profs, towns, kws, cats))",
+        """each AS (
+          SELECT task_id, session_id, min(user_id) AS user_id, count(*) AS step_length,
+                 date_diff('second', min(action_time), max(action_time)) AS visit_length,
+                 list(DISTINCT search_keyword) FILTER (WHERE search_keyword <> '') AS ks,
+                 list(DISTINCT CAST(click_category_id AS VARCHAR)) FILTER (WHERE click_category_id IS NOT NULL) AS cs
+          FROM tasks JOIN uva ON date BETWEEN s AND e WHERE session_id IS NOT NULL GROUP BY task_id, session_id)""",
+        """passed AS (
+          SELECT each.* FROM each JOIN tasks USING (task_id) JOIN users USING (user_id)
+          WHERE (lo IS NULL OR age BETWEEN lo AND hi) AND (tsex IS NULL OR sex = tsex)
+            AND (profs IS NULL OR list_contains(profs, professional)) AND (towns IS NULL OR list_contains(towns, city))
+            AND (kws IS NULL OR list_has_any(coalesce(ks, []), kws))
+            AND (cats IS NULL OR list_has_any(coalesce(cs, []), cats)))""",
+        f"counts AS (SELECT task_id, {counts} FROM tasks LEFT JOIN passed USING (task_id) GROUP BY task_id)",
+        body=f"SELECT CAST(task_id AS BIGINT) AS task_id, session_count, {', '.join(ratios)} FROM counts")
+
+
+HOT_CTE = """hot AS (
+      SELECT * REPLACE (
+        CASE WHEN action_id % 3 = 0 THEN 'hot' ELSE session_id END AS session_id,
+        CASE WHEN action_id % 3 = 0 AND search_keyword IS NOT NULL
+             THEN search_keyword || '-' || CAST(action_id // 10 AS VARCHAR) ELSE search_keyword END AS search_keyword)
+      FROM uva)"""
+
+
+def _slices_sql() -> str:
+    return with_sql(uva_cte("month"), HOT_CTE, """met AS (
+          SELECT DISTINCT session_id, 'keyword' AS kind, search_keyword AS k, CAST(NULL AS BIGINT) AS c FROM hot
+          WHERE search_keyword <> ''
+          UNION ALL SELECT DISTINCT session_id, 'category', NULL, click_category_id FROM hot
+          WHERE click_category_id IS NOT NULL)""",
+        """ranked AS (SELECT *, row_number() OVER (PARTITION BY session_id, kind ORDER BY k, c) - 1 AS r,
+             count(*) OVER (PARTITION BY session_id, kind) AS n FROM met)""",
+        body=f"""SELECT session_id, kind, CAST(r // {LIST_SIZE} AS INTEGER) AS slice,
+             CAST((min(n) + {LIST_SIZE - 1}) // {LIST_SIZE} AS INTEGER) AS slices,
+             string_agg(coalesce(k, CAST(c AS VARCHAR)), ',' ORDER BY r) AS values
+             FROM ranked GROUP BY session_id, kind, r // {LIST_SIZE}""")
+
+
+def _any_size_sql() -> str:
+    own = sessions_cte(None).replace("FROM uva", "FROM hot")
+    lists = ", ".join(
+        f"CASE WHEN len({c}) <= {LIST_SIZE} THEN array_to_string({c}, ',') END AS {c}, "
+        f"CAST((len({c}) + {LIST_SIZE - 1}) // {LIST_SIZE} AS INTEGER) AS {c}_slices"
+        for c in ("search_keywords", "click_category_ids"))
+    return with_sql(uva_cte("month"), HOT_CTE, own, body=f"""
+        SELECT session_id, user_id, {lists}, strftime(start_time, '%Y-%m-%d %H:%M:%S') AS start_time,
+               strftime(end_time, '%Y-%m-%d %H:%M:%S') AS end_time, visit_length, step_length FROM sessions""")
+
+
+def _long_lists_sql() -> str:
+    p = TaskParams.of("2024-01-02", "2024-01-29")
+    return with_sql(uva_cte("hour"), USERS_CTE, sessions_cte(p), RECORDS_CTE, body=f"""
+        SELECT CAST(21 AS BIGINT) AS task_id, session_id, user_id, strftime(start_time, '%Y-%m-%d %H:%M:%S') AS start_time,
+               strftime(end_time, '%Y-%m-%d %H:%M:%S') AS end_time, visit_length, step_length, age, professional, city, sex
+        FROM records
+        WHERE len(list_filter(search_keywords, lambda k: CAST(substr(k, 3) AS BIGINT) % 3 = 0
+                              AND CAST(substr(k, 3) AS BIGINT) < {3 * LONG_LIST})) > 0
+          AND len(list_filter(click_category_ids, lambda c: c % 7 = 0 AND c < {7 * LONG_LIST})) > 0
+          AND CAST(substr(city, 8) AS BIGINT) % 2 = 0""")
+
+
+def _published_top_sql() -> str:
+    parts = []
+    for tid, text in TASK_ROWS:
+        p = _task_params_from_json(tid, text)
+        parts.append(with_sql(*_sessions_body(p, "minute"), _range_cte("uva_r", p), CATEGORY_COUNTS_CTE,
+                              body=f"SELECT CAST({tid} AS BIGINT) AS task_id, * FROM top"))
+    return _union_sql(parts)
+
+
 def _more_oracles() -> dict[str, str]:
-    rendered_filtered = f"SELECT {RENDERED_RECORD} FROM filtered"
     return {
+        "stored_session_states": with_sql(uva_cte("hour"), sessions_cte(TWO_WEEKS),
+                                          body=f"SELECT {RENDERED_RECORD} FROM sessions"),
+        "session_list_slices": _slices_sql(),
+        "session_rollup_any_size": _any_size_sql(),
+        "many_task_stat": _many_sql(),
+        "filter_long_lists": _long_lists_sql(),
+        "bucketed_session_rollup": with_sql(uva_cte(), sessions_cte(TWO_WEEKS),
+                                            body=f"SELECT {RENDERED_RECORD} FROM sessions"),
+        "published_task_stat": _multi_sql(),
+        "published_top_categories": _published_top_sql(),
         "user_info": USERS_SQL,
         "raw_action_log": with_sql(uva_cte("second"), body=f"SELECT {ACTION_COLUMNS_SQL} FROM uva"),
         "decode_session_records": with_sql(
@@ -542,6 +758,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "session_detail": q_session_detail,
         "page_flow_conversion": q_page_flow_conversion,
         "multi_task_stat": q_multi_task_stat,
+        "stored_session_states": q_stored_session_states,
+        "session_list_slices": q_session_list_slices,
+        "session_rollup_any_size": q_session_rollup_any_size,
+        "many_task_stat": q_many_task_stat,
+        "filter_long_lists": q_filter_long_lists,
+        "bucketed_session_rollup": q_bucketed_session_rollup,
+        "published_task_stat": q_published_task_stat,
+        "published_top_categories": q_published_top_categories,
     })
     return q
 

@@ -62,19 +62,39 @@ def read_tasks_jdbc(spark: SparkSession, url: str, properties: dict[str, str],
     return tasks
 
 
-def save_action_log(actions: DataFrame, table: str, buckets: int, mode: str = "overwrite") -> None:
+_LARGEST = "sessionscope.largest_session"  # table property: rows of the largest session
+
+
+def save_action_log(actions: DataFrame, table: str, buckets: int, mode: str = "overwrite",
+                    path: str | None = None) -> None:
     """Store the action log as a catalog table laid out for the session job:
     partitioned by ``date`` (a date range prunes whole folders) and bucketed
     and sorted by ``session_id`` (the session rollup then reads each
     session's actions from one bucket and needs no shuffle at all).
 
     The price is that a session's actions all sit in one bucket, read by one
-    task. Where one session can hold a large share of the log, read the
-    table with ``spark.sql.sources.bucketing.enabled=false``: the files are
-    then split like any others and the rollup goes back to partial
-    aggregation before a shuffle, which no hot session can unbalance."""
-    (actions.write.mode(mode)
-     .partitionBy("date")
+    task; the rows of the largest session are therefore kept with the table,
+    and ``read_action_log`` decides by them."""
+    spark = actions.sparkSession
+    writer = actions.write.mode(mode) if path is None else actions.write.mode(mode).option("path", path)
+    (writer.partitionBy("date")
      .bucketBy(buckets, "session_id")
      .sortBy("session_id", "action_time")
      .saveAsTable(table))
+    sizes = spark.table(table).where(F.col("session_id").isNotNull()).groupBy("session_id").count()
+    largest = sizes.agg(F.max("count")).first()[0] or 0
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{_LARGEST}' = '{largest}')")
+
+
+def read_action_log(spark: SparkSession, table: str, max_session_rows: int = 5_000_000) -> DataFrame:
+    """A log stored by ``save_action_log``: bucketed while no session has more than ``max_session_rows`` actions.
+
+    With a larger session the same files are read without their buckets: split
+    like any others, so the rollup goes back to partial aggregation before a
+    shuffle, which no hot session can unbalance. Dates are pruned either way."""
+    stored = spark.table(table)
+    kept = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+    if int(kept.get(_LARGEST, 0)) <= max_session_rows:
+        return stored
+    about = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    return spark.read.schema(stored.schema).parquet(about["Location"]).select(*stored.columns)

@@ -175,16 +175,85 @@ def load_tasks(tasks: DataFrame, task_ids: list[int] | None = None, max_tasks: i
     if task_ids is not None:
         tasks = tasks.where(F.col("task_id").isin(task_ids))
     rows = task_param_columns(tasks).orderBy("task_id").limit(max_tasks + 1).collect()
-    if len(rows) > max_tasks:
+    _check_ids([r["task_id"] for r in rows], task_ids, max_tasks)
+    return [params_from_row(r) for r in rows]
+
+
+SHORT_LIST = 100  # values; a longer list stays in Spark
+LIST_KINDS = ("professionals", "cities", "keywords", "category_ids")
+
+
+@dataclass(frozen=True)
+class TaskRow:
+    """A task without the values of its lists: only how many each has, None for an absent one."""
+
+    task_id: int
+    start_date: dt.date
+    end_date: dt.date
+    start_age: int | None
+    end_age: int | None
+    sex: str | None
+    target_page_flow: tuple[int, ...] | None
+    sizes: dict[str, int | None]
+
+
+@dataclass(frozen=True)
+class TaskTable:
+    """Tasks as data: their scalars on the driver, list values as rows (task_id, kind, value)."""
+
+    rows: list[TaskRow]
+    lists: DataFrame
+
+    def has(self, kind: str) -> bool:
+        return any(r.sizes[kind] is not None for r in self.rows)
+
+    def size(self, kind: str) -> int:
+        return sum(r.sizes[kind] or 0 for r in self.rows)
+
+    def by_value(self, kind: str) -> DataFrame:
+        """(value, tasks): which tasks list a value of one kind."""
+        return (self.lists.where(F.col("kind") == kind).groupBy("value")
+                .agg(F.collect_set("task_id").alias("tasks")))
+
+
+def task_table(tasks: DataFrame, task_ids: list[int] | None = None, max_tasks: int = 1000) -> TaskTable:
+    """Parse several tasks whose lists may be long: long lists never come to the driver or into a plan.
+
+    Raises like ``load_tasks``.
+    """
+    if task_ids is not None:
+        tasks = tasks.where(F.col("task_id").isin(task_ids))
+    typed = task_param_columns(tasks)
+    size = {k: F.when(F.col(k).isNotNull(), F.size(k)) for k in LIST_KINDS}
+    short = [F.when(size[k] <= SHORT_LIST, F.col(k).cast("array<string>")).alias(f"_{k}") for k in LIST_KINDS]
+    rows = typed.select("task_id", "start_date", "end_date", "start_age", "end_age", "sex", "target_page_flow",
+                        "param_error", *[size[k].alias(k) for k in LIST_KINDS], *short) \
+        .orderBy("task_id").limit(max_tasks + 1).collect()
+    _check_ids([r["task_id"] for r in rows], task_ids, max_tasks)
+    for r in rows:
+        if r["param_error"]:
+            raise ValueError(f"task {r['task_id']}: {r['param_error']}")
+    if all(r[k] is None or r[k] <= SHORT_LIST for r in rows for k in LIST_KINDS):
+        held = sorted({(r["task_id"], k, v) for r in rows for k in LIST_KINDS for v in r[f"_{k}"] or ()})
+        lists = tasks.sparkSession.createDataFrame(held, "task_id long, kind string, value string")
+    else:
+        lists = typed.select("task_id", F.explode(F.array(*[
+            F.struct(F.lit(k).alias("kind"), F.col(k).cast("array<string>").alias("values")) for k in LIST_KINDS]))
+            .alias("l")).select("task_id", "l.kind", F.explode("l.values").alias("value")).distinct()
+    return TaskTable([TaskRow(r["task_id"], r["start_date"], r["end_date"], r["start_age"], r["end_age"], r["sex"],
+                              tuple(r["target_page_flow"]) if r["target_page_flow"] is not None else None,
+                              {k: r[k] for k in LIST_KINDS}) for r in rows], lists)
+
+
+def _check_ids(found: list, task_ids: list[int] | None, max_tasks: int) -> None:
+    if len(found) > max_tasks:
         raise ValueError(f"more than {max_tasks} tasks in one job")
-    found = [r["task_id"] for r in rows]
     missing = sorted(set(task_ids or ()) - set(found))
     if missing:
         raise ValueError(f"no task with id {', '.join(map(str, missing))}")
     if None in found or len(set(found)) < len(found):
         raise ValueError("task ids must be given and unique: "
                          + ", ".join(sorted({str(t) for t in found if t is None or found.count(t) > 1})))
-    return [params_from_row(r) for r in rows]
 
 
 def task_ids_from_text(text: str) -> list[int]:

@@ -7,6 +7,7 @@ import pytest
 
 from fixtures import action, user
 from sessionscope.plans.job import main
+from sessionscope.sources.published import read_published
 from sessionscope.sources.schemas import RAW_ACTION_SCHEMA, USER_SCHEMA
 
 
@@ -26,6 +27,10 @@ def _inputs(spark, root):
         "task_type string, task_status string, task_param string").write.parquet(f"{root}/tasks")
 
 
+def _published(spark, root, name):
+    return read_published(spark, f"{root}/out", name, "task_id")
+
+
 def test_job_writes_the_task_row(spark):
     root = tempfile.mkdtemp(prefix="sessionscope-job-")
     _inputs(spark, root)
@@ -53,15 +58,15 @@ def test_job_writes_all_outputs(spark):
     _inputs(spark, root)
     main(["7", "--actions", f"{root}/actions", "--users", f"{root}/users", "--tasks", f"{root}/tasks",
           "--out", f"{root}/out", "--all-outputs", "--extract-per-day", "2"])
-    names = sorted(os.listdir(f"{root}/out"))
+    names = sorted(os.listdir(f"{root}/out/data"))
     assert names == ["page_flow_conversion", "session_aggr_stat", "session_detail", "session_random_extract",
                      "top10_category", "top10_category_session"]
-    flow = spark.read.parquet(f"{root}/out/page_flow_conversion").orderBy("step").collect()
+    flow = _published(spark, root, "page_flow_conversion").orderBy("step").collect()
     assert [r.page_pair for r in flow] == ["0_1", "1_2"] and flow[0].task_id == 7
-    top = spark.read.parquet(f"{root}/out/top10_category").collect()
+    top = _published(spark, root, "top10_category").collect()
     assert sorted(r.category_id for r in top) == [0, 1, 3, 4]
-    sample = spark.read.parquet(f"{root}/out/session_random_extract").count()
-    detail = spark.read.parquet(f"{root}/out/session_detail").count()
+    sample = _published(spark, root, "session_random_extract").count()
+    detail = _published(spark, root, "session_detail").count()
     assert 1 <= sample <= 4 and detail == 3 * sample
 
 
@@ -89,7 +94,7 @@ def test_job_writes_all_outputs_of_several_tasks(spark, tmp_path):
     _job(spark, root, "7,8", "--all-outputs", "--extract-per-day", "2")
     for name in ("session_aggr_stat", "session_detail", "session_random_extract", "top10_category",
                  "top10_category_session"):
-        assert {r.task_id for r in spark.read.parquet(f"{root}/out/{name}").collect()} == {7, 8}, name
+        assert {r.task_id for r in _published(spark, root, name).collect()} == {7, 8}, name
 
 
 def test_job_refuses_unknown_ids_and_flags_it_cannot_apply(spark, tmp_path):

@@ -6,7 +6,11 @@ import re
 
 import __spark_entry__ as entry
 from conftest import SF01
-from fixtures import action
+from fixtures import action, actions_df
+from pyspark.sql import functions as F
+
+from sessionscope.operators.extract import SPARE, _bound, random_extract
+from sessionscope.operators.sessions import rollup_sessions
 from sessionscope.sources.schemas import RAW_ACTION_SCHEMA
 from sessionscope.sources.tables import read_actions
 
@@ -40,7 +44,8 @@ def test_user_predicates_reach_the_user_scans(spark):
 
 
 def test_top_sessions_and_sample_limit_before_the_shuffle(spark):
-    for name in ("top10_category_session", "session_random_extract"):
+    # the sample is ranked before the query's plan: see the test of its candidates
+    for name in ("top10_category_session",):
         p = plan(spark, name)
         assert re.search(r"WindowGroupLimit .* Partial", p), name
         assert re.search(r"WindowGroupLimit .* Final", p), name
@@ -60,13 +65,15 @@ def test_statistics_with_lists_build_no_arrays(spark):
     assert "ObjectHashAggregate" not in p and "collect_set" not in p
 
 
-def test_multi_task_bounds_the_scan_and_keeps_rows_narrow(spark):
+def test_multi_task_bounds_the_scans_and_keeps_rows_narrow(spark):
     p = plan(spark, "multi_task_stat")
     scan = [line for line in p.splitlines() if "FileScan parquet" in line and "events" in line]
-    assert len(scan) == 1 and re.search(r"GreaterThanOrEqual\(ts,2024-01-01T00:00\), LessThan\(ts,2025-03-08T00:00\)", scan[0])
-    assert "collect_list" not in p and "collect_set" not in p
-    # one shuffle of the daily rows, by session, serves every task
-    assert p.count("REPARTITION_BY_COL") == 1 and not re.search(r"hashpartitioning\(task_id#\d+L?, session_id", p)
+    # sessions from one scan, lists met from another; the same two for any number of tasks
+    assert len(scan) == 2 == sum("events" in line for line in plan(spark, "many_task_stat").splitlines() if "FileScan" in line)
+    assert all(re.search(r"GreaterThanOrEqual\(ts,2024-01-01T00:00\), LessThan\(ts,2025-03-08T00:00\)", x) for x in scan)
+    # the log is aggregated by session and interval in fixed width; nothing is shuffled by task and session
+    assert re.search(r"HashAggregate\(keys=\[session_id#\d+, interval#\d+\], functions=\[partial_min", p)
+    assert not re.search(r"hashpartitioning\(task_id#\d+L?, session_id", p)
 
 
 def test_text_dates_are_pushed_to_the_scan(spark, tmp_path):
@@ -83,6 +90,19 @@ def test_text_dates_are_pushed_to_the_scan(spark, tmp_path):
     assert read_actions(spark, path, start="2024-01-02", end="2024-01-31").count() == 0
 
 
-def test_sample_ranks_and_counts_from_one_scan(spark):
-    p = plan(spark, "session_random_extract", execute=True)
-    assert "ReusedExchange" in p
+def test_only_the_sample_meets_the_sessions_again(spark):
+    """Counts, candidates and ranks come from checkpoints; the plan joins the sample to its sessions."""
+    p = plan(spark, "session_random_extract")
+    assert p.count("events.parquet") == 1 and "Window" not in p and "ExistingRDD" in p
+
+
+def test_candidates_of_the_sample_follow_its_size(spark):
+    """Rows that are ranked: in proportion to the quotas, not to the sessions."""
+    rows = [action(f"s{i}", 1, i) for i in range(3000)]
+    sessions = rollup_sessions(actions_df(spark, rows)).select("session_id", "start_time")
+    share = F.conv(F.substring(F.md5(F.concat("session_id", F.lit("x"))), 1, 15), 16, 10).cast("double") / float(1 << 60)
+    quota, n = F.lit(10.0), F.lit(3000.0)
+    under = sessions.where(share < _bound(quota, n, SPARE)).count()
+    assert 10 <= under <= 80
+    found = random_extract(sessions, 10, "x")
+    assert found.count() == 10

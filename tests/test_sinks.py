@@ -47,3 +47,29 @@ def test_bucketed_action_log_makes_the_rollup_shuffle_free(spark):
     expect = rollup_sessions(actions_in_range(acts, "2024-01-05", "2024-01-09"))
     key = lambda r: r.session_id
     assert sorted(rolled.collect(), key=key) == sorted(expect.select(*rolled.columns).collect(), key=key)
+
+
+def test_a_log_with_a_hot_session_is_read_without_its_buckets(spark, tmp_path):
+    import contextlib
+    import io
+
+    from fixtures import action, actions_df
+    from sessionscope.operators.sessions import rollup_sessions
+    from sessionscope.sources.sinks import read_action_log, save_action_log
+
+    acts = actions_df(spark, [action("hot" if i % 3 == 0 else f"s{i % 7}", 1, i, keyword=f"k{i % 5}") for i in range(90)])
+    save_action_log(acts, "uva_hot", buckets=4, path=str(tmp_path / "log"))
+
+    def plan(df):
+        out = io.StringIO()
+        with contextlib.redirect_stdout(out):
+            df.explain()
+        return out.getvalue()
+
+    key = lambda r: r.session_id
+    want = sorted(rollup_sessions(acts).collect(), key=key)
+    for limit, shuffled in ((30, False), (29, True)):       # the hot session has 30 actions
+        rolled = rollup_sessions(read_action_log(spark, "uva_hot", limit))
+        assert ("Exchange" in plan(rolled)) == shuffled
+        assert sorted(rolled.collect(), key=key) == want
+    assert "PartitionFilters: [isnotnull(date" in plan(read_action_log(spark, "uva_hot", 29).where("date = '2024-01-02'"))
