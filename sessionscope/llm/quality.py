@@ -5,7 +5,12 @@ character classes and the frequencies of its most common words (exact: every
 word is counted, by hash bucket). A document is compared with its language's
 reference by Jensen-Shannon distance (square root of the divergence, base 2);
 short documents are spared the comparisons that need more text. Documents of
-no or of an unlisted language are compared with the nearest reference.
+no language are compared with the nearest reference.
+
+Every language has a reference. Up to ``MAX_LANGUAGES`` of them are broadcast;
+beyond, languages are dealt to parts of about that many, a part's references
+travel in front of its documents, and documents of no language pass the parts
+one after another. The verdicts are the same either way.
 """
 
 from __future__ import annotations
@@ -22,7 +27,7 @@ from .common import materialise, rows, text_bytes
 from .tokens import joined, word_windows, words
 
 COMMON_WORDS = 200  # per language
-MAX_LANGUAGES = 256  # listed in the references, the most frequent ones
+MAX_LANGUAGES = 256  # broadcast together; more are met in parts
 SYMBOLS = b"#*$%&|<>"
 _GROUP = 1 << 20  # bytes of text handled at once (a longer text alone)
 
@@ -122,8 +127,8 @@ class References:
     shares: list[np.ndarray]
 
 
-def references(docs: DataFrame, common_words: int = COMMON_WORDS, languages: int = MAX_LANGUAGES) -> References:
-    """References of the ``languages`` most frequent languages, from all documents."""
+def reference_rows(docs: DataFrame, common_words: int = COMMON_WORDS) -> DataFrame:
+    """(lang, sums, words) of every language: character classes, words and documents, and its most common words."""
     n = ex.buckets(docs.sparkSession)
     schema = pa.schema([("lang", pa.string()), ("bucket", pa.int32()), ("payload", pa.binary())])
 
@@ -168,31 +173,29 @@ def references(docs: DataFrame, common_words: int = COMMON_WORDS, languages: int
 
     totals = materialise(counted.repartition(n, "bucket", "lang").sortWithinPartitions("bucket", "lang")
                          .mapInArrow(total, "lang string, word long, n long, rank int"), "references")
-    sums: dict[str, dict[int, int]] = {}
-    listed = totals.where((F.col("rank") == -1) & (F.col("word") == CLASSES + 1)) \
-        .orderBy(F.desc("n"), "lang").limit(languages).select("lang")
-    listed = [r.lang for r in listed.collect()]
-    chosen = totals.where(F.col("lang").isin(listed))
-    for r in chosen.where(F.col("rank") == -1).collect():
-        sums.setdefault(r.lang, {})[r.word] = r.n
-    top = chosen.where(F.col("rank") == 0).withColumn(
-        "rank", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))) \
-        .where(F.col("rank") <= common_words)
-    common: dict[str, list[tuple[int, int]]] = {}
-    for r in top.collect():
-        common.setdefault(r.lang, []).append((r.word, r.n))
-    found = References({}, np.zeros((len(listed), CLASSES)), [], [])
-    for i, lang in enumerate(listed):
-        found.languages[lang] = i
-        classes = np.array([sums[lang][k] for k in range(CLASSES)], np.float64)
-        found.classes[i] = classes / max(classes.sum(), 1)
-        h = np.array([w for w, _ in common.get(lang, [])], np.int64).view(np.uint64)
-        c = np.array([c for _, c in common.get(lang, [])], np.float64)
+    place = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
+    top = totals.where(F.col("rank") == 0).withColumn("rank", F.row_number().over(place)) \
+        .where(F.col("rank") <= common_words).groupBy("lang").agg(F.collect_list(F.struct("word", "n")).alias("words"))
+    sums = totals.where(F.col("rank") == -1).groupBy("lang", "word").agg(F.sum("n").alias("n")) \
+        .groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("word", "n"))).alias("sums"))  # CLASSES + 2 entries
+    return sums.join(top, "lang", "left").select("lang", F.transform("sums", lambda x: x["n"]).alias("sums"), "words")
+
+
+def collected(found: list) -> References:
+    """The references of some rows of ``reference_rows``, by language."""
+    found = sorted(found, key=lambda r: r["lang"].encode())
+    out = References({}, np.zeros((len(found), CLASSES)), [], [])
+    for i, r in enumerate(found):
+        out.languages[r["lang"]] = i
+        classes = np.array(r["sums"][:CLASSES], np.float64)
+        out.classes[i] = classes / max(classes.sum(), 1)
+        h = np.array([w["word"] for w in r["words"] or []], np.int64).view(np.uint64)
+        c = np.array([w["n"] for w in r["words"] or []], np.float64)
         order = np.argsort(h)
-        total_words = max(sums[lang][CLASSES], 1)
-        found.words.append(h[order])
-        found.shares.append(np.append(c[order], total_words - c.sum()) / total_words)
-    return found
+        total_words = max(r["sums"][CLASSES], 1)
+        out.words.append(h[order])
+        out.shares.append(np.append(c[order], total_words - c.sum()) / total_words)
+    return out
 
 
 def js_distance(p: np.ndarray, q: np.ndarray) -> np.ndarray:
@@ -220,9 +223,142 @@ def _distances(group: _Group, at: np.ndarray, refs: References, lang: int) -> tu
             js_distance(counts / np.maximum(counts.sum(axis=1, keepdims=True), 1), refs.shares[lang]))
 
 
-def judge(docs: DataFrame, refs: References | None = None, max_class_distance: float = 0.3,
-          max_word_distance: float = 0.38, slack: float = 1.3, min_chars: int = 200,
-          min_words: int = 50) -> DataFrame:
+_VERDICT = pa.schema([
+    ("doc_id", pa.int64()), ("n_words", pa.int64()), ("word_chars", pa.int64()), ("n_symbols", pa.int64()),
+    ("n_dup_lines", pa.int64()), ("n_repeat_words", pa.int64()), ("base_failed", pa.bool_()),
+    ("class_distance", pa.float64()), ("word_distance", pa.float64()), ("kept", pa.bool_())])
+_VERDICT_TYPE = ("doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
+                 "base_failed boolean, class_distance double, word_distance double, kept boolean")
+
+
+@dataclass
+class Limits:
+    max_class_distance: float
+    max_word_distance: float
+    slack: float
+    min_chars: int
+    min_words: int
+
+    def verdicts(self, ids: list, texts: list[bytes], group: _Group, by_class: np.ndarray,
+                 by_word: np.ndarray) -> pa.RecordBatch:
+        repeats = group.repeated_words()
+        failed = (group.n_words < 50) | (100 * repeats > 50 * group.n_words)
+        strange = (by_class > self.max_class_distance) & (group.classes.sum(axis=1) >= self.min_chars)
+        far = self.max_word_distance + self.slack / np.sqrt(np.maximum(group.n_words, 1))
+        strange |= (by_word > far) & (group.n_words >= self.min_words)
+        return rows(_VERDICT, {
+            "doc_id": ids, "n_words": group.n_words, "word_chars": group.word_chars,
+            "n_symbols": group.symbols, "n_dup_lines": [_repeated_lines(t) for t in texts],
+            "n_repeat_words": repeats, "base_failed": failed, "class_distance": by_class,
+            "word_distance": by_word, "kept": ~failed & ~strange})
+
+
+def _nearest(group: _Group, at: np.ndarray, refs: References) -> tuple[np.ndarray, np.ndarray]:
+    """The least distances of the documents ``at`` from any of the references."""
+    every = [_distances(group, at, refs, lang) for lang in range(len(refs.classes))]
+    return np.min([c for c, _ in every], axis=0), np.min([w for _, w in every], axis=0)
+
+
+def _measured(group: _Group, langs: list, refs: References) -> tuple[np.ndarray, np.ndarray]:
+    """Distances of every document of a group from its language's reference, or from the nearest."""
+    own = np.array([refs.languages.get(x, -1) for x in langs])
+    by_class, by_word = np.zeros(group.n), np.zeros(group.n)
+    for lang in np.unique(own[own >= 0]).tolist():
+        at = np.flatnonzero(own == lang)
+        by_class[at], by_word[at] = _distances(group, at, refs, lang)
+    none = np.flatnonzero(own < 0)
+    if len(none) and len(refs.classes):
+        by_class[none], by_word[none] = _nearest(group, none, refs)
+    return by_class, by_word
+
+
+def _together(read: DataFrame, found: References, limits: Limits) -> DataFrame:
+    """Verdicts with all references broadcast."""
+    held = read.sparkSession.sparkContext.broadcast(found)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, langs = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for lo, texts in _groups(list(text_bytes(batch.column(2)))):
+                group = _Group(texts)
+                by_class, by_word = _measured(group, langs[lo:lo + group.n], held.value)
+                yield limits.verdicts(ids[lo:lo + group.n], texts, group, by_class, by_word)
+
+    return read.mapInArrow(run, _VERDICT_TYPE)
+
+
+_SALTS = 16  # tasks that may share a part's documents, as one language may hold most of them
+
+
+def _by_parts(read: DataFrame, references: DataFrame, parts: int, limits: Limits) -> DataFrame:
+    """Verdicts with the languages dealt to ``parts``; no task holds the references of more than one."""
+    of_lang = F.pmod(F.xxhash64("lang"), F.lit(parts)).cast("int").alias("part")
+    blob = references.groupBy(of_lang).agg(F.collect_list(F.struct("lang", "sums", "words")).alias("refs"))
+    kind = blob.schema["refs"].dataType.simpleString()
+    salted = blob.select("part", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("salt"),
+                         *[F.lit(None).cast(t).alias(c) for c, t in (("doc_id", "long"), ("lang", "string"),
+                                                                    ("text", "string"))], "refs")
+    with_lang = read.where("lang IS NOT NULL").select(
+        of_lang, F.pmod(F.xxhash64("doc_id", F.substring("text", 1, 100)), F.lit(_SALTS)).cast("int").alias("salt"),
+        "doc_id", "lang", "text", F.lit(None).cast(kind).alias("refs"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        refs = None
+        for batch in batches:
+            is_refs = np.asarray(batch.column(5).is_valid())
+            at = 0
+            for end in [*np.flatnonzero(is_refs).tolist(), batch.num_rows]:
+                own = batch.slice(at, end - at)
+                if own.num_rows:
+                    ids, langs = own.column(2).to_pylist(), own.column(3).to_pylist()
+                    for lo, texts in _groups(list(text_bytes(own.column(4)))):
+                        group = _Group(texts)
+                        by_class, by_word = _measured(group, langs[lo:lo + group.n], refs)
+                        yield limits.verdicts(ids[lo:lo + group.n], texts, group, by_class, by_word)
+                if end < batch.num_rows:
+                    refs = collected(batch.column(5)[end].as_py())
+                at = end + 1
+
+    # a part's references sort in front of its documents
+    listed = salted.unionByName(with_lang).repartition("part", "salt") \
+        .sortWithinPartitions("part", "salt", F.col("refs").isNull()).mapInArrow(run, _VERDICT_TYPE)
+
+    # documents of no language pass all references, some at a time, keeping the least distances
+    passed = read.where("lang IS NULL").select("doc_id", "text", F.lit(float("inf")).alias("by_class"),
+                                               F.lit(float("inf")).alias("by_word"))
+    spark = read.sparkSession
+    out = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("by_class", pa.float64()), ("by_word", pa.float64())])
+    for part in range(parts if not passed.isEmpty() else 0):
+        held = spark.sparkContext.broadcast(collected(references.where(of_lang == part).collect()))
+
+        def least(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                ids, by_class, by_word = (batch.column(i).to_pylist() for i in (0, 2, 3))
+                for lo, texts in _groups(list(text_bytes(batch.column(1)))):
+                    group, upto = _Group(texts), lo + len(texts)
+                    c, w = np.array(by_class[lo:upto]), np.array(by_word[lo:upto])
+                    if held.value.languages:
+                        found = _nearest(group, np.arange(group.n), held.value)
+                        c, w = np.minimum(c, found[0]), np.minimum(w, found[1])
+                    yield rows(out, {"doc_id": ids[lo:upto], "text": pa.array(texts, pa.binary()).cast(pa.string()),
+                                     "by_class": c, "by_word": w})
+
+        passed = materialise(passed.mapInArrow(least, "doc_id long, text string, by_class double, by_word double"),
+                             "unlabelled")
+
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, by_class, by_word = (batch.column(i).to_pylist() for i in (0, 2, 3))
+            for lo, texts in _groups(list(text_bytes(batch.column(1)))):
+                upto = lo + len(texts)
+                yield limits.verdicts(ids[lo:upto], texts, _Group(texts), np.array(by_class[lo:upto]),
+                                      np.array(by_word[lo:upto]))
+
+    return listed.unionByName(passed.mapInArrow(finish, _VERDICT_TYPE))
+
+
+def judge(docs: DataFrame, max_class_distance: float = 0.3, max_word_distance: float = 0.38, slack: float = 1.3,
+          min_chars: int = 200, min_words: int = 50, together: int = MAX_LANGUAGES) -> DataFrame:
     """Counts and the verdict for every document.
 
     Columns: doc_id, n_words, word_chars, n_symbols, n_dup_lines,
@@ -231,46 +367,17 @@ def judge(docs: DataFrame, refs: References | None = None, max_class_distance: f
     not base_failed, class_distance at most ``max_class_distance`` (judged from
     ``min_chars`` characters on) and word_distance at most ``max_word_distance``
     plus ``slack`` / sqrt(n_words), as a sample of few words lies further off
-    (from ``min_words`` words on). A null text has no words and fails. Without
-    any labelled language no distance is taken (0). Repeated rows are judged
-    alike; other columns are not read; an empty table gives an empty result.
+    (from ``min_words`` words on). ``together`` bounds the languages whose
+    references a task holds; results do not depend on it. A null text has no
+    words and fails. Without any labelled language no distance is taken (0).
+    Repeated rows are judged alike; other columns are not read; an empty table
+    gives an empty result.
     """
-    refs = references(docs) if refs is None else refs
-    held = docs.sparkSession.sparkContext.broadcast(refs)
-    schema = pa.schema([
-        ("doc_id", pa.int64()), ("n_words", pa.int64()), ("word_chars", pa.int64()), ("n_symbols", pa.int64()),
-        ("n_dup_lines", pa.int64()), ("n_repeat_words", pa.int64()), ("base_failed", pa.bool_()),
-        ("class_distance", pa.float64()), ("word_distance", pa.float64()), ("kept", pa.bool_())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        refs = held.value
-        for batch in batches:
-            ids, langs = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for lo, texts in _groups(list(text_bytes(batch.column(2)))):
-                group = _Group(texts)
-                own = np.array([refs.languages.get(x, -1) for x in langs[lo:lo + group.n]])
-                by_class, by_word = np.zeros(group.n), np.zeros(group.n)
-                for lang in range(len(refs.classes)):
-                    at = np.flatnonzero(own == lang)
-                    if len(at):
-                        by_class[at], by_word[at] = _distances(group, at, refs, lang)
-                none = np.flatnonzero(own < 0)
-                if len(none) and len(refs.classes):
-                    every = [_distances(group, none, refs, lang) for lang in range(len(refs.classes))]
-                    by_class[none] = np.min([c for c, _ in every], axis=0)
-                    by_word[none] = np.min([w for _, w in every], axis=0)
-                repeats = group.repeated_words()
-                failed = (group.n_words < 50) | (100 * repeats > 50 * group.n_words)
-                strange = (by_class > max_class_distance) & (group.classes.sum(axis=1) >= min_chars)
-                far = max_word_distance + slack / np.sqrt(np.maximum(group.n_words, 1))
-                strange |= (by_word > far) & (group.n_words >= min_words)
-                yield rows(schema, {
-                    "doc_id": ids[lo:lo + group.n], "n_words": group.n_words, "word_chars": group.word_chars,
-                    "n_symbols": group.symbols, "n_dup_lines": [_repeated_lines(t) for t in texts],
-                    "n_repeat_words": repeats, "base_failed": failed, "class_distance": by_class,
-                    "word_distance": by_word, "kept": ~failed & ~strange})
-
-    return docs.select(F.col("doc_id").cast("long"), F.col("lang").cast("string"), F.col("text").cast("string")) \
-        .mapInArrow(run, "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
-                         "n_repeat_words long, base_failed boolean, class_distance double, word_distance double, "
-                         "kept boolean")
+    limits = Limits(max_class_distance, max_word_distance, slack, min_chars, min_words)
+    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"),
+                       F.col("text").cast("string").alias("text"))
+    references = materialise(reference_rows(docs), "languages")
+    n = references.count()
+    if n <= together:
+        return _together(read, collected(references.collect()), limits)
+    return _by_parts(read, references, -(-n // together), limits)

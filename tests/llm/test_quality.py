@@ -115,3 +115,26 @@ def test_edge_cases(documents):
     assert quality.judge(documents([])).count() == 0
     unlabelled = quality.judge(documents([(1, " ".join(f"w{i}" for i in range(80)))])).first()
     assert unlabelled.kept and unlabelled.class_distance == 0
+
+
+def test_any_number_of_languages(spark, documents):
+    """300 languages, one of them with a third of the documents, and documents of none."""
+    rng = np.random.default_rng(7)
+    rows = []
+    for i in range(900):
+        lang = f"l{i % 300}" if i % 3 else "l0"
+        words = [f"{'abcdefghij'[int(lang[1:]) % 10]}{k}" for k in rng.integers(0, 40, 60 + i % 50)]
+        rows.append((i, " ".join(words) + "." * (i % 7), None if i % 50 == 1 else lang, "s"))
+    docs = documents(rows)
+    key = lambda r: r.doc_id
+    want = sorted(quality.judge(docs, together=10_000).collect(), key=key)
+    for together in (256, 40):
+        assert sorted(quality.judge(docs, together=together).collect(), key=key) == want
+    labelled = [r for r in rows if r[2] is not None]
+    near = distances([r[:3] for r in labelled])
+    for r in want:
+        if r.doc_id in near:
+            assert r.class_distance == pytest.approx(near[r.doc_id][0], abs=1e-6)
+            if near[r.doc_id][1] is not None:
+                assert r.word_distance == pytest.approx(near[r.doc_id][1], abs=1e-6)
+    assert len({r.kept for r in want}) == 2 or all(r.kept for r in want)
