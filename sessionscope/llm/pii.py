@@ -7,10 +7,13 @@ matches are leftmost and do not overlap one another; a match that its
 validator refuses is dropped and not tried again. Spans count characters
 (code points), the end exclusive.
 
-A rule's places come from splitting the text by the same expression: the
-pieces between matches give every match's start. Its surroundings are read
-from the text cut into blocks of ``NEAR`` characters, whatever else matches
-in them.
+A long text is first cut into parts of about ``PART`` characters, at places
+that no rule's match can cover (line ends, separators, a space behind a small
+letter), so the work on a part stays bounded and time grows with the text. In
+a part, a rule's places come from splitting it by the same expression: the
+pieces between matches give every match's start. A match's surroundings are
+read from the whole text cut into blocks of ``NEAR`` characters, whatever else
+matches in them.
 
 The expressions are written for a backtracking matcher: repeats are possessive
 where nothing behind them could use what they give back, and a run of
@@ -20,9 +23,11 @@ characters is entered only at its first one, so time stays linear in the text.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+PART = 8192  # characters of a part; one without a place to cut is longer
 NEAR = 40  # characters on each side in which context words count
 ACCEPT = 0.5  # added spans need this score; base spans always stay
 _RAISE, _LOWER = 0.3, 0.2
@@ -119,16 +124,41 @@ KINDS = tuple(r.kind for r in RULES)
 BASE = tuple(r.kind for r in RULES if r.base)
 
 
-def _starts(gaps: Column, matches: Column) -> Column:
-    """Where each match begins, from the pieces around the matches."""
-    first = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<bigint>").alias("starts"))
+# A part ends behind one of these; the last one, or one without any, behind whatever follows.
+_CUT = r"(?:[\n\t,;:\"'/<>!?=]|(?<=[a-z])\x20)"
+_PARTS = rf"(?s).{{0,{PART - 1}}}{_CUT}|.{{{PART}}}.*?{_CUT}|.+"
 
-    def step(done: Column, i: Column) -> Column:
-        start = done["at"] + F.length(F.get(gaps, i))
-        return F.struct((start + F.length(F.get(matches, i))).cast("long").alias("at"),
-                        F.concat(done["starts"], F.array(start)).alias("starts"))
 
-    return F.aggregate(F.sequence(F.lit(0), F.size(matches) - 1), first, step, lambda done: done["starts"])
+def _parts(whole: Column) -> Column:
+    """(at, text) of the parts of a text; no match of a rule lies in two of them."""
+    texts = F.when(F.length(whole) <= PART, F.array(whole)) \
+        .otherwise(F.regexp_extract_all(whole, F.lit(_PARTS), F.lit(0)))
+    first = F.struct(F.lit(0).cast("int").alias("at"), F.array().cast("array<struct<at:int,text:string>>").alias("parts"))
+
+    def step(done: Column, text: Column) -> Column:
+        return F.struct((done["at"] + F.length(text)).alias("at"),
+                        F.concat(done["parts"], F.array(F.struct(done["at"].alias("at"), text.alias("text")))).alias("parts"))
+
+    return F.aggregate(texts, first, step, lambda done: done["parts"])
+
+
+def _matched(rule: Rule, text: Column) -> Column:
+    """(start, match) of a rule's matches in a part, from the pieces around them."""
+    matches = F.when(text.rlike(rule.hint), F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))) \
+        .otherwise(F.array().cast("array<string>"))
+    gaps = F.when(F.size(matches) > 0, F.split(text, rule.pattern, -1)).otherwise(F.array().cast("array<string>"))
+    first = F.struct(F.lit(0).cast("int").alias("at"), F.array().cast("array<struct<start:int,match:string>>").alias("found"))
+
+    def step(done: Column, piece: Column) -> Column:
+        start = done["at"] + F.length(piece["gap"])
+        return F.struct((start + F.length(piece["match"])).alias("at"),
+                        F.concat(done["found"], F.array(F.struct(start.alias("start"), piece["match"].alias("match"))))
+                        .alias("found"))
+
+    # the last gap has no match behind it
+    pieces = F.filter(F.zip_with(gaps, matches, lambda gap, match: F.struct(gap.alias("gap"), match.alias("match"))),
+                      lambda p: p["match"].isNotNull())
+    return F.aggregate(pieces, first, step, lambda done: done["found"])
 
 
 _SPAN = "struct<kind:string,start:bigint,end:bigint,score:double>"
@@ -146,10 +176,10 @@ def _near(blocks: Column, at: Column) -> tuple[Column, Column]:
     return before, F.concat(F.substr(here, inside + 1), F.substr(block(k + 1), F.lit(1), inside))
 
 
-def _spans(rule: Rule, matches: Column, blocks: Column, starts: Column) -> Column:
-    """The rule's confirmed and scored spans."""
-    def span(start: Column, i: Column) -> Column:
-        match = F.get(matches, i)
+def _spans(rule: Rule, part: Column, blocks: Column) -> Column:
+    """The rule's confirmed and scored spans in a part of the text."""
+    def span(m: Column) -> Column:
+        match, start = m["match"], part["at"] + m["start"]
         before, after = _near(blocks, start)[0], _near(blocks, start + F.length(match))[1]
         near = F.lower(F.concat(before, F.lit(" "), F.substr(match, F.lit(1), F.lit(8)), F.lit(" "), after))
         score = F.lit(rule.score) + F.when(near.rlike(rule.context), _RAISE).otherwise(0.0)
@@ -158,10 +188,32 @@ def _spans(rule: Rule, matches: Column, blocks: Column, starts: Column) -> Colum
         sure = rule.confirm(match)
         if not rule.base:
             sure = sure & (score >= ACCEPT)
-        return F.struct(F.when(sure, F.lit(rule.kind)).alias("kind"), start.alias("start"),
+        return F.struct(F.when(sure, F.lit(rule.kind)).alias("kind"), start.cast("long").alias("start"),
                         (start + F.length(match)).cast("long").alias("end"), F.least(score, F.lit(1.0)).alias("score"))
 
-    return F.filter(F.transform(starts, span), lambda s: s["kind"].isNotNull()).cast(f"array<{_SPAN}>")
+    return F.filter(F.transform(_matched(rule, part["text"]), span), lambda s: s["kind"].isNotNull()) \
+        .cast(f"array<{_SPAN}>")
+
+
+_TEXT_PARTS, _FOUND = "parts of the text", "spans of its parts"
+
+
+def _by_parts(docs: DataFrame, text: str, kept: list[Column]) -> DataFrame:
+    """``kept`` with the parts of the text and, for each rule, every part's spans."""
+    whole = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
+    none = F.array().cast("array<string>")
+    hinted = whole.rlike("|".join(f"(?:{r.hint})" for r in RULES))
+    blocks, parts = F.col("`blocks of the text`"), F.col(f"`{_TEXT_PARTS}`")
+    cut = docs.select(
+        *kept,
+        F.when(hinted, F.regexp_extract_all(whole, F.lit(f"(?s).{{1,{NEAR}}}"), F.lit(0))).otherwise(none)
+        .alias("blocks of the text"),
+        F.when(hinted, _parts(whole)).otherwise(F.array().cast("array<struct<at:int,text:string>>")).alias(_TEXT_PARTS))
+
+    def of(rule: Rule) -> Column:
+        return F.transform(parts, lambda part: _spans(rule, part, blocks)).alias(rule.kind)
+
+    return cut.select("*", F.struct(*map(of, RULES)).alias(_FOUND)).drop("blocks of the text")
 
 
 def find(docs: DataFrame, text: str = "text", spans: str = "spans") -> DataFrame:
@@ -173,26 +225,8 @@ def find(docs: DataFrame, text: str = "text", spans: str = "spans") -> DataFrame
     column named like ``spans`` is replaced.
     """
     kept = [F.col(f"`{c}`") for c in docs.columns if c != spans]
-    none = F.array().cast("array<string>")
-    names = {r.kind: tuple(f"{part} of {r.kind}" for part in ("matches", "gaps", "starts")) for r in RULES}
-    whole = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
-    found = docs.select(*kept, *(
-        F.when(whole.rlike(r.hint), F.regexp_extract_all(whole, F.lit(r.pattern), F.lit(0))).otherwise(none)
-        .alias(names[r.kind][0]) for r in RULES))
-    matches = {r.kind: F.col(f"`{names[r.kind][0]}`") for r in RULES}
-    found = found.select("*", *(
-        F.when(F.size(matches[r.kind]) > 0, F.split(whole, r.pattern, -1)).otherwise(none).alias(names[r.kind][1])
-        for r in RULES))
-    gaps = {r.kind: F.col(f"`{names[r.kind][1]}`") for r in RULES}
-    found = found.select("*", *(
-        F.when(F.size(matches[r.kind]) > 0, _starts(gaps[r.kind], matches[r.kind]))
-        .otherwise(F.array().cast("array<bigint>")).alias(names[r.kind][2]) for r in RULES))
-    some = F.greatest(*(F.size(matches[r.kind]) for r in RULES)) > 0
-    found = found.select("*", F.when(some, F.regexp_extract_all(whole, F.lit(f"(?s).{{1,{NEAR}}}"), F.lit(0)))
-                         .otherwise(none).alias("blocks of the text"))
-    blocks = F.col("`blocks of the text`")
-    every = [_spans(r, matches[r.kind], blocks, F.col(f"`{names[r.kind][2]}`")) for r in RULES]
-    return found.select(*kept, F.concat(*every).alias(spans))
+    every = F.concat(*(F.flatten(F.col(f"`{_FOUND}`.{r.kind}")) for r in RULES))
+    return _by_parts(docs, text, kept).select(*kept, every.alias(spans))
 
 
 def listed(spans: Column, kinds: tuple[str, ...] = KINDS) -> Column:
@@ -213,21 +247,28 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
     without spans, null ones among them, stay as they are; the columns keep
     their order and types.
     """
-    own = "spans of the text"
-    found = find(docs, text, own)
-    whole = F.col(f"`{text}`")
-    ordered = F.array_sort(F.transform(F.col(f"`{own}`"), lambda s: F.struct(
-        s["start"].alias("start"), (-s["end"]).alias("upto"), s["kind"].alias("kind"))))
-    first = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("parts"))
-
-    def step(done: Column, s: Column) -> Column:
-        clear = s["start"] >= done["at"]
-        part = F.concat(F.substr(whole, (done["at"] + 1).cast("int"), (s["start"] - done["at"]).cast("int")),
-                        F.lit("["), s["kind"], F.lit("]"))
-        return F.struct(F.greatest(done["at"], -s["upto"]).cast("long").alias("at"),
-                        F.when(clear, F.concat(done["parts"], F.array(part))).otherwise(done["parts"]).alias("parts"))
-
-    rebuilt = F.aggregate(ordered, first, step, lambda done: F.concat(
-        F.array_join(done["parts"], ""), F.substr(whole, (done["at"] + 1).cast("int"))))
-    changed = F.when(F.size(F.col(f"`{own}`")) > 0, rebuilt).otherwise(whole)
-    return found.select(*(changed.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns))
+    kept = [F.col(f"`{c}`") for c in docs.columns]
+    found = F.col(f"`{_FOUND}`")
+
+    def rebuilt(part: Column, i: Column) -> Column:
+        whole, base = part["text"], part["at"]
+        own = F.concat(*(F.get(found[r.kind], i) for r in RULES))
+        ordered = F.array_sort(F.transform(own, lambda s: F.struct(
+            (s["start"] - base).cast("int").alias("start"), (base - s["end"]).cast("int").alias("upto"),
+            s["kind"].alias("kind"))))
+        first = F.struct(F.lit(0).cast("int").alias("at"), F.lit("").alias("text"))
+
+        def step(done: Column, s: Column) -> Column:
+            clear = s["start"] >= done["at"]
+            part = F.concat(done["text"], F.substr(whole, done["at"] + 1, s["start"] - done["at"]), F.lit("["), s["kind"],
+                            F.lit("]"))
+            return F.struct(F.greatest(done["at"], -s["upto"]).alias("at"),
+                            F.when(clear, part).otherwise(done["text"]).alias("text"))
+
+        return F.when(F.size(own) == 0, whole).otherwise(F.aggregate(
+            ordered, first, step, lambda done: F.concat(done["text"], F.substr(whole, done["at"] + 1))))
+
+    parts = F.col(f"`{_TEXT_PARTS}`")
+    some = reduce(Column.__or__, (F.exists(found[r.kind], lambda spans: F.size(spans) > 0) for r in RULES))
+    changed = F.when(some, F.array_join(F.transform(parts, rebuilt), "")).otherwise(F.col(f"`{text}`"))
+    return _by_parts(docs, text, kept).select(*(changed.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns))

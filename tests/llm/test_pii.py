@@ -1,5 +1,6 @@
 import hashlib
 import random
+import time
 import re
 
 import pytest
@@ -155,3 +156,38 @@ def test_account_numbers_before_capital_words(documents):
     got = {r.doc_id: [(s.start, s.end) for s in r.spans if s.kind == "iban"]
            for r in pii.find(documents(list(enumerate(texts)))).collect()}
     assert [got[i] for i in range(len(texts))] == want
+
+
+def test_many_matches_take_time_in_proportion(documents):
+    """100,000 matches in one text; twice the matches take about twice the time."""
+    def taken(n):
+        text = "".join(f"write to user{i}@host{i % 7}.org or 10.0.{i % 200}.{i % 99}, then +49 30 {1000000 + i}\n"
+                       for i in range(n))
+        docs = documents([(1, text)])
+        t = time.perf_counter()
+        spans = pii.find(docs).first().spans
+        found = time.perf_counter() - t
+        assert len(spans) == 3 * n and [text[s.start:s.end] for s in spans[:2]] == ["user0@host0.org", "user1@host1.org"]
+        assert all(text[s.start:s.end].startswith("user") for s in spans[:n:997])
+        t = time.perf_counter()
+        redacted = pii.redact(docs).first().text
+        assert redacted == "write to [email] or [ip], then [phone]\n" * n
+        return found + time.perf_counter() - t
+
+    taken(2_000)
+    small, large = taken(16_700), taken(33_400)
+    assert large < 2.3 * small + 1 and large < 60
+
+
+def test_parts_are_cut_only_where_no_match_can_lie(documents):
+    """Matches of every kind at every distance from where a part may end."""
+    whole = ["card 4111 1111 1111 1111", "call +1 (234) 567-890", "at a.b-c@d.ee", "ip 10.20.30.40", "iban DE89 3704 0044 0532 0130 00",
+             "ssn 078-05-1120"]
+    pairs = []
+    for i in range(0, 60, 3):
+        text = "x" * (pii.PART - 45 + i) + " " + " ".join(whole) + "1" * pii.PART + " " + "\n".join(whole) + "a" * pii.PART + "@b.cc"
+        pairs.append((i, text))
+    got = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in pii.find(documents(pairs)).collect()}
+    for d, text in pairs:
+        assert [s for s in got[d] if s[0] in KINDS] == base(text)
+        assert sum(k == "iban" for k, _, _ in got[d]) == 2 and sum(k == "ssn" for k, _, _ in got[d]) >= 1
