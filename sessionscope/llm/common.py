@@ -62,3 +62,28 @@ def text_bytes(column: pa.Array) -> Iterator[bytes]:
 def rows(schema: pa.Schema, columns: dict) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array(columns[f.name], type=f.type) for f in schema], schema=schema)
+
+
+def column(name: str) -> Column:
+    """The column of this name, dots and backticks included."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def carried(docs: DataFrame, columns: list[str]) -> tuple[DataFrame, list[str], int]:
+    """``columns`` of ``docs`` under plain names for an Arrow function, their fields, and where it finds the text.
+
+    A text that is among them is not sent twice.
+    """
+    names = [f"kept {i}" for i in range(len(columns))]
+    kept = docs.select(*(column(c).alias(n) for c, n in zip(columns, names)))
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema]
+    place = columns.index("text") if "text" in columns else len(columns)
+    if place < len(columns) and kept.schema[names[place]].dataType.simpleString() == "string":
+        return kept, fields, place
+    text = F.col("text").cast("string").alias("text read")
+    return docs.select(*(column(c).alias(n) for c, n in zip(columns, names)), text), fields, len(columns)
+
+
+def restored(found: DataFrame, columns: list[str], added: list[str]) -> DataFrame:
+    """The result of an Arrow function over ``carried`` columns, under their own names."""
+    return found.select(*(F.col(f"`kept {i}`").alias(c) for i, c in enumerate(columns)), *added)

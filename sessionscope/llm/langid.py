@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import materialise, rows
+from .common import carried, materialise, restored, rows
 
 UNKNOWN = "und"
 _BOUNDARY = 32
@@ -291,20 +291,15 @@ def identify(docs: DataFrame, models: Models, keep: list[str] | None = None,
     added = "lang_pred string, score double, cross_entropy double, rejected boolean"
     names = ["lang_pred", "score", "cross_entropy", "rejected"]
     columns = [c for c in keep or docs.columns if c not in names]
-    quoted = [F.col("`" + c.replace("`", "``") + "`") for c in columns]
-    kept = docs.select(quoted)
-    read = docs.select(*quoted, F.col("text").cast("string").alias("text to identify"))
+    read, kept, own = carried(docs, columns)
     held = docs.sparkSession.sparkContext.broadcast(models)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [decide(held.value, t, reject_at, z) for t in
-                     (x.as_py() for x in batch.column(batch.num_columns - 1))]
-            columns = list(zip(*found)) or [[]] * 4
+            found = list(zip(*(decide(held.value, x.as_py(), reject_at, z) for x in batch.column(own)))) or [[]] * 4
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(columns[0], pa.string()), pa.array(columns[1], pa.float64()),
-                 pa.array(columns[2], pa.float64()), pa.array(columns[3], pa.bool_())],
-                names=[*batch.schema.names[:-1], *names])
+                [*batch.columns[:len(columns)], pa.array(found[0], pa.string()), pa.array(found[1], pa.float64()),
+                 pa.array(found[2], pa.float64()), pa.array(found[3], pa.bool_())],
+                names=[*batch.schema.names[:len(columns)], *names])
 
-    schema = ", ".join("`" + f.name.replace("`", "``") + f"` {f.dataType.simpleString()}" for f in kept.schema)
-    return read.mapInArrow(run, f"{schema}, {added}")
+    return restored(read.mapInArrow(run, ", ".join([*kept, added])), columns, names)

@@ -117,3 +117,13 @@ def test_junk_is_rejected_at_any_size(spark, en, de):
 def test_every_language_of_a_small_input_calibrates(spark):
     models = langid.fit(spark.read.parquet(f"{SF01}/documents.parquet"))
     assert len(models.languages) > 1 and (models.limits[:, 1] < np.inf).all() and (models.limits[:, 2] > 0).all()
+
+
+def test_any_column_names(spark):
+    docs = spark.read.parquet(f"{SF01}/documents.parquet").where("doc_id < 60")
+    named = docs.selectExpr("*", "1 as `a.b`", "'x' as lang_pred", "map('k', doc_id) as `c``d`", "text as `kept 0`")
+    models = langid.fit(docs)
+    got = {r.doc_id: r for r in langid.identify(named, models).collect()}
+    want = {r.doc_id: r for r in langid.identify(docs, models, keep=["doc_id"]).collect()}
+    assert all((got[d].lang_pred, got[d].score, got[d]["a.b"]) == (r.lang_pred, r.score, 1) for d, r in want.items())
+    assert got.keys() == want.keys() and all(r["c`d"] == {"k": d} and r.text == r["kept 0"] for d, r in got.items())
