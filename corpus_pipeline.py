@@ -28,15 +28,24 @@ _UNNAMED = 1 << 62  # ids from here on stand for documents without one
 
 
 def _columns(docs: DataFrame) -> list:
-    return [F.col(f"`{c}`") for c in docs.columns]
+    return [F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]
+
+
+def _plain(docs: DataFrame) -> DataFrame:
+    """``docs`` with every column but the text under a name that nothing else has."""
+    return docs.select(*(c if name == "text" else c.alias(f"column {i}")
+                         for i, (name, c) in enumerate(zip(docs.columns, _columns(docs)))))
+
+
+def _restored(found: DataFrame, docs: DataFrame) -> DataFrame:
+    return found.select(*(F.col("text") if name == "text" else F.col(f"`column {i}`").alias(name)
+                          for i, name in enumerate(docs.columns)))
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language the models recognise; they learn from the labelled ones."""
-    models = langid.fit(docs)
-    read = docs.select("text", F.struct(*_columns(docs)).alias("document"))
-    found = langid.identify(read, models, keep=["document"])
-    return found.where(~F.col("rejected")).select("document.*")
+    found = langid.identify(_plain(docs), langid.fit(docs))
+    return _restored(found.where(~F.col("rejected")), docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,15 +56,18 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     key = F.col(f"`{_KEY}`")
     found = simhash.near_duplicates(keyed.select(key.alias("doc_id"), F.col("document.text").alias("text")))
     first = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias(_KEY)).distinct()
-    return keyed.join(first, _KEY, "left_semi").groupBy(key) \
-        .agg(F.min("document").alias("document")).select("document.*")
+    kept = keyed.join(first, _KEY, "left_semi")
+    # whole documents meet only where a key has several
+    several = keyed.select(key).groupBy(key).count().where("count > 1").select(key)
+    order = F.to_json("document") if "map<" in docs.schema.simpleString() else F.col("document")  # maps have no order
+    chosen = kept.join(several, _KEY, "left_semi").groupBy(key).agg(F.min_by("document", order).alias("document"))
+    return kept.join(several, _KEY, "left_anti").select("document.*").unionByName(chosen.select("document.*"))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    read = docs.select("text", F.struct(*_columns(docs)).alias("document"))
-    found = decontamination.find(read, read_table(spark, sf_dir, "benchmark"), keep=["document"])
-    return found.where(~F.col("contaminated")).select("document.*")
+    found = decontamination.find(_plain(docs), read_table(spark, sf_dir, "benchmark"))
+    return _restored(found.where(~F.col("contaminated")), docs)
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
