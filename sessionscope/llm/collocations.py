@@ -39,6 +39,8 @@ _BUCKET = 1 << 20  # suffix pointers of a bucket
 _COARSE = 256  # buckets that a segment sends to; more are reached in two steps
 _SMALL = 1 << 13  # a partition of the quicksort that is finished by the library's sort
 _FILTER_WORDS = 1 << 19  # 64-bit words of the bitmap of frequent words
+_COMMON = (1 << 16) - 1  # most frequent words, known to every task by number
+_SHARES = 64  # tasks that may rank a language's phrases
 _LONG_WORD = 256  # bytes from which a word's fingerprint is a cryptographic one
 
 _KIND = np.zeros(256, np.uint8)  # 0 in a word, 1 between words, 2 between pieces
@@ -51,8 +53,8 @@ _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
 # ------------------------------------------------------------- words --
-def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, bytes]]:
-    """(language, text) of some megabytes: texts joined by line ends, long ones cut between pieces."""
+def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[str, bytes]]]:
+    """(language, text) pairs, some megabytes at a time: texts joined by line ends, long ones cut between pieces."""
     held: dict[str, list[bytes]] = {}
     size = 0
     for batch in batches:
@@ -61,14 +63,14 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, bytes]]:
             while len(text) - at > _SEGMENT:
                 end = _PIECE_END.search(text, at + _SEGMENT)
                 upto = end.end() if end else len(text)
-                yield lang, text[at:upto]
+                yield [(lang, text[at:upto])]
                 at = upto
             held.setdefault(lang, []).append(text[at:])
             size += len(text) - at
             if size >= _SEGMENT:
-                yield from ((k, b"\n".join(v)) for k, v in held.items())
+                yield [(k, b"\n".join(v)) for k, v in held.items()]
                 held, size = {}, 0
-    yield from ((k, b"\n".join(v)) for k, v in held.items())
+    yield [(k, b"\n".join(v)) for k, v in held.items()]
 
 
 def _fingerprints(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lang: str, salt: int) -> np.ndarray:
@@ -97,7 +99,7 @@ def _words(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
 def vocabulary(texts: DataFrame, salt: int) -> DataFrame:
     """(lang, word, fp, n): every different word of (lang, text)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lang, text in _segments(batches):
+        for lang, text in (own for segment in _segments(batches) for own in segment):
             data, starts, ends, _ = _words(text)
             if not len(starts):
                 continue
@@ -136,35 +138,57 @@ def _runs(columns: list[np.ndarray]) -> np.ndarray:
 
 
 class Pointers:
-    """Different suffix pointers: places of their words in ``fps`` (0: the end), route depth and number."""
+    """Different suffix pointers: their words by number (0: the end), route depth and number.
 
-    def __init__(self, fps: np.ndarray, words: np.ndarray, depth: np.ndarray, n: np.ndarray):
-        self.fps, self.words, self.depth, self.n = fps, words, depth, n
+    Words 1, 2, ... are those of ``common``, fingerprints in order that all
+    tasks share; the numbers behind are places in ``rare``.
+    """
+
+    def __init__(self, common: np.ndarray, rare: np.ndarray, words: np.ndarray, depth: np.ndarray, n: np.ndarray):
+        self.common, self.rare, self.words, self.depth, self.n = common, rare, words, depth, n
+
+    @property
+    def fps(self) -> np.ndarray:
+        """Fingerprints by number."""
+        return np.concatenate([np.zeros(1, np.uint64), self.common, self.rare])
+
+    @staticmethod
+    def numbers(common: np.ndarray, fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(rare, number of each of ``fps``)."""
+        found = np.searchsorted(common, fps)
+        known = common[np.minimum(found, len(common) - 1)] == fps if len(common) else np.zeros(len(fps), bool)
+        rare = distinct(fps[~known & (fps > 0)])
+        at = np.where(known, found + 1, 1 + len(common) + np.searchsorted(rare, fps))
+        return rare, np.where(fps > 0, at, 0).astype(np.int32)
 
     @classmethod
-    def of(cls, fps: np.ndarray, follows: np.ndarray, hot: np.ndarray) -> Pointers:
+    def of(cls, common: np.ndarray, fps: np.ndarray, follows: np.ndarray, hot: np.ndarray) -> Pointers:
         """From the words of a text in order (0 where a word is left out)."""
-        known = distinct(np.append(fps, np.uint64(0)))
-        at = np.searchsorted(known, fps).astype(np.int32)
+        rare, at = cls.numbers(common, fps)
         words = np.zeros((len(fps), LONGEST), np.int32)
         words[:, 0] = at
         for k in range(1, LONGEST):
             words[:-1, k] = np.where(follows[:-1] & (words[:-1, k - 1] > 0), words[1:, k - 1], 0)
             words[words[:, k - 1] == 0, k] = 0
         words = words[words[:, 1] > 0]
-        is_hot = np.isin(known, hot)[words]
+        is_hot = np.isin(np.concatenate([np.zeros(1, np.uint64), common, rare]), hot)[words]
         depth = 2 + (is_hot[:, 0] & is_hot[:, 1]) + (is_hot[:, 0] & is_hot[:, 1] & is_hot[:, 2])
-        return cls(known, words, depth.astype(np.int8), np.ones(len(words), np.int64))
+        return cls(common, rare, words, depth.astype(np.int8), np.ones(len(words), np.int64))
 
     @classmethod
     def merged(cls, parts: list[Pointers]) -> Pointers:
-        known = distinct(np.concatenate([np.zeros(1, np.uint64), *[p.fps for p in parts]]))
-        return cls(known, np.concatenate([np.searchsorted(known, p.fps).astype(np.int32)[p.words] for p in parts]),
-                   np.concatenate([p.depth for p in parts]), np.concatenate([p.n for p in parts]))
+        common = parts[0].common
+        rare = distinct(np.concatenate([p.rare for p in parts]))
+        first = np.arange(1 + len(common), dtype=np.int32)
+        words = [np.concatenate([first, (len(first) + np.searchsorted(rare, p.rare)).astype(np.int32)])[p.words]
+                 for p in parts]
+        return cls(common, rare, np.concatenate(words), np.concatenate([p.depth for p in parts]),
+                   np.concatenate([p.n for p in parts]))
 
     def dealt(self, buckets: int, packets: int) -> Iterator[tuple[int, bytes]]:
         """(packet, payload): equal pointers together; packets are equal ranges of the buckets."""
         packet = _route(self.fps, self.words, self.depth, buckets) * packets // buckets
+        known = 1 + len(self.common)
         a, b = (self.words[:, k].astype(np.int64) << 32 | self.words[:, k + 1] for k in (0, 2))
         order = np.lexsort((b, a, packet))
         first = _runs([packet[order], a[order], b[order]])
@@ -174,20 +198,17 @@ class Pointers:
         cuts = np.append(_runs([packet]), len(packet)) if len(packet) else np.zeros(1, int)
         for lo, hi in zip(cuts.tolist(), cuts[1:].tolist()):
             own = words[lo:hi]
-            used = np.flatnonzero(np.bincount(own.ravel(), minlength=1))
-            used = used[used > 0]
-            small = np.zeros(int(own.max()) + 1, np.int64)
-            small[used] = np.arange(1, len(used) + 1)
+            used = distinct(own[own >= known])  # rare words travel with the packet
+            own = np.where(own >= known, known + np.searchsorted(used, own), own)
             yield int(packet[lo]), ex.frame([
-                ex.pack_sorted(self.fps[used]), *[ex.pack(ex.narrow(small[own[:, k]])) for k in range(LONGEST)],
+                ex.pack_sorted(self.rare[used - known]), *[ex.pack(ex.narrow(own[:, k])) for k in range(LONGEST)],
                 ex.pack(depth[lo:hi]), ex.pack(ex.narrow(n[lo:hi]))])
 
     @classmethod
-    def unpacked(cls, payload: bytes) -> Pointers:
-        fps, *columns, depth, n = ex.unframe(payload)
-        fps = np.concatenate([np.zeros(1, np.uint64), ex.unpack_sorted(fps)])
+    def unpacked(cls, common: np.ndarray, payload: bytes) -> Pointers:
+        rare, *columns, depth, n = ex.unframe(payload)
         words = np.stack([ex.unpack(c).astype(np.int32) for c in columns], 1)
-        return cls(fps, words, ex.unpack(depth), ex.unpack(n).astype(np.int64))
+        return cls(common, ex.unpack_sorted(rare), words, ex.unpack(depth), ex.unpack(n).astype(np.int64))
 
 
 def quicksort(words: np.ndarray, n: np.ndarray, least: int) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -264,19 +285,24 @@ def phrase_counts(texts: DataFrame, words: DataFrame, salt: int, least: int = LE
         F.bit_or(F.expr("shiftleft(1L, cast(shiftrightunsigned(fp, 58) as int))")).alias("bits")).toArrow()
     known = np.zeros(_FILTER_WORDS, np.uint64)  # of fixed size
     known[np.asarray(bits.column("at"))] = np.asarray(bits.column("bits")).view(np.uint64)
-    held = spark.sparkContext.broadcast((known, hot))
+    first = frequent.orderBy(F.desc("n"), "fp").limit(_COMMON).select("fp").collect()
+    common = np.sort(np.array([r.fp for r in first], np.int64).view(np.uint64))
+    held = spark.sparkContext.broadcast((known, hot, common))
     part = pa.schema([("bucket", pa.int32()), ("payload", pa.binary())])
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, hot = held.value
-        for lang, text in _segments(batches):
-            data, starts, ends, follows = _words(text)
-            if not len(starts):
-                continue
-            fps = _fingerprints(data, starts, ends, lang, salt)
+        known, hot, common = held.value
+        for segment in _segments(batches):
+            fps, follows = [np.empty(0, np.uint64)], [np.empty(0, bool)]
+            for lang, text in segment:
+                data, starts, ends, same_piece = _words(text)
+                if len(starts):
+                    fps.append(_fingerprints(data, starts, ends, lang, salt))
+                    follows.append(same_piece)
+            fps, follows = np.concatenate(fps), np.concatenate(follows)
             kept = known[(fps & np.uint64(_FILTER_WORDS - 1)).astype(np.int64)] >> (fps >> np.uint64(58)) & np.uint64(1)
             fps[kept == 0] = 0
-            for packet, payload in Pointers.of(fps, follows, hot).dealt(buckets, packets):
+            for packet, payload in Pointers.of(common, fps, follows, hot).dealt(buckets, packets):
                 yield pa.RecordBatch.from_arrays([pa.array([packet], pa.int32()), pa.array([payload], pa.binary())],
                                                  schema=part)
 
@@ -291,7 +317,7 @@ def phrase_counts(texts: DataFrame, words: DataFrame, salt: int, least: int = LE
 
         for batch in batches:
             for payload in batch.column(1):
-                parts.append(Pointers.unpacked(payload.as_py()))
+                parts.append(Pointers.unpacked(held.value[2], payload.as_py()))
                 rows += len(parts[-1].n)
                 if rows >= 4 * _BUCKET:
                     yield from out()
@@ -303,9 +329,10 @@ def phrase_counts(texts: DataFrame, words: DataFrame, salt: int, least: int = LE
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, group in ex.groups(batches, (0,)):
-            pointers = Pointers.merged([Pointers.unpacked(row[1]) for row in group])
+            pointers = Pointers.merged([Pointers.unpacked(held.value[2], row[1]) for row in group])
+            fps = pointers.fps
             for phrases, counts, partial in _counted(pointers, least):
-                flat = pointers.fps[phrases].view(np.int64)
+                flat = fps[phrases].view(np.int64)
                 offsets = np.arange(len(flat) + 1, dtype=np.int32) * flat.shape[1]
                 yield pa.RecordBatch.from_arrays(
                     [pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.ravel())), pa.array(counts),
@@ -379,7 +406,12 @@ def mine(docs: DataFrame, top: int = 2000, least: int = LEAST, inside: int = INS
         .groupBy("w").agg(F.array_sort(F.collect_list(F.struct("at", "word"))).alias("words"), F.min("lang").alias("lang"))
     named = kept.join(spelled, "w").select(
         "lang", F.concat_ws(" ", F.transform("words", lambda x: x["word"])).alias("phrase"), "a", "l", "r", "score")
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
+    # the first of every share of a language's phrases, then the first of those
+    best = [F.desc("score"), F.desc("a"), F.col("phrase")]
+    shares = named.withColumn("share", F.pmod(F.xxhash64("phrase"), F.lit(_SHARES)))
+    few = shares.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "share").orderBy(*best))) \
+        .where(F.col("rank") <= top).drop("share", "rank")
     totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
-    return named.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top).join(totals, "lang") \
+    return few.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*best))) \
+        .where(F.col("rank") <= top).join(totals, "lang") \
         .select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
