@@ -11,7 +11,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sessionscope.sources.tasks import TaskRow
@@ -33,6 +33,12 @@ class Intervals:
             return None
         return dt.date.fromordinal(self.days[0][0] + _EPOCH), dt.date.fromordinal(self.days[-1][1] + _EPOCH)
 
+    def place(self, date: Column) -> Column:
+        """The interval of a date, NULL on a day of none."""
+        day = [dt.date.fromordinal(d + _EPOCH) for lo, hi in self.days for d in (lo, hi)]
+        return F.coalesce(*[F.when(date.between(F.lit(lo), F.lit(hi)), F.lit(i))
+                            for i, (lo, hi) in enumerate(zip(day[::2], day[1::2]))])
+
     def calendar(self, spark: SparkSession) -> DataFrame:
         """(date, interval): a row per covered day."""
         rows = spark.createDataFrame([(i, lo, hi) for i, (lo, hi) in enumerate(self.days)],

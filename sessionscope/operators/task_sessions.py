@@ -29,6 +29,7 @@ from sessionscope.operators.sessions import actions_in_range
 from sessionscope.sources.tables import USER_COLUMNS
 from sessionscope.sources.tasks import TaskTable
 
+FEW_INTERVALS = 32  # told by comparing the date; more are joined as a calendar
 BLOOM_FROM = 1000  # list values from which the log is filtered before its shuffle
 
 
@@ -37,6 +38,8 @@ def interval_actions(actions: DataFrame, intervals: Intervals) -> DataFrame:
     if intervals.dates is None:
         return actions.where(F.lit(False)).withColumn("interval", F.lit(0))
     inside = actions_in_range(actions.where(F.col("session_id").isNotNull()), *intervals.dates)
+    if len(intervals.days) <= FEW_INTERVALS:
+        return inside.withColumn("interval", intervals.place(F.col("date"))).where(F.col("interval").isNotNull())
     return inside.join(intervals.calendar(actions.sparkSession), "date")
 
 
@@ -86,7 +89,12 @@ _MET = {"keywords": "search_keyword", "category_ids": "click_category_id"}
 def sessions_meeting(acts: DataFrame, table: TaskTable, intervals: Intervals) -> DataFrame:
     """(session_id, _<kind>): the tasks of whose lists of a kind a session met a value on a day they cover."""
     kinds = [k for k in _MET if table.has(k)]
-    wanted = table.lists.where(F.col("kind").isin(kinds)).join(intervals.table(acts.sparkSession), "task_id")
+    if table.short is not None:
+        wanted = acts.sparkSession.createDataFrame(
+            [(t, k, v, *intervals.runs[t]) for t, k, v in table.short if k in kinds and t in intervals.runs],
+            "task_id long, kind string, value string, a int, b int")
+    else:
+        wanted = table.lists.where(F.col("kind").isin(kinds)).join(intervals.table(acts.sparkSession), "task_id")
     given = []
     for kind in kinds:
         met = F.col(_MET[kind]).cast("string")

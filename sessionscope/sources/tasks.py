@@ -203,6 +203,7 @@ class TaskTable:
 
     rows: list[TaskRow]
     lists: DataFrame
+    short: list[tuple[int, str, str]] | None = None  # the same rows where all lists are short
 
     def has(self, kind: str) -> bool:
         return any(r.sizes[kind] is not None for r in self.rows)
@@ -212,6 +213,12 @@ class TaskTable:
 
     def by_value(self, kind: str) -> DataFrame:
         """(value, tasks): which tasks list a value of one kind."""
+        if self.short is not None:
+            held: dict[str, list[int]] = {}
+            for task_id, own, value in self.short:
+                if own == kind:
+                    held.setdefault(value, []).append(task_id)
+            return self.lists.sparkSession.createDataFrame(list(held.items()), "value string, tasks array<long>")
         return (self.lists.where(F.col("kind") == kind).groupBy("value")
                 .agg(F.collect_set("task_id").alias("tasks")))
 
@@ -225,24 +232,25 @@ def task_table(tasks: DataFrame, task_ids: list[int] | None = None, max_tasks: i
         tasks = tasks.where(F.col("task_id").isin(task_ids))
     typed = task_param_columns(tasks)
     size = {k: F.when(F.col(k).isNotNull(), F.size(k)) for k in LIST_KINDS}
-    short = [F.when(size[k] <= SHORT_LIST, F.col(k).cast("array<string>")).alias(f"_{k}") for k in LIST_KINDS]
+    few = [F.when(size[k] <= SHORT_LIST, F.col(k).cast("array<string>")).alias(f"_{k}") for k in LIST_KINDS]
     rows = typed.select("task_id", "start_date", "end_date", "start_age", "end_age", "sex", "target_page_flow",
-                        "param_error", *[size[k].alias(k) for k in LIST_KINDS], *short) \
+                        "param_error", *[size[k].alias(k) for k in LIST_KINDS], *few) \
         .orderBy("task_id").limit(max_tasks + 1).collect()
     _check_ids([r["task_id"] for r in rows], task_ids, max_tasks)
     for r in rows:
         if r["param_error"]:
             raise ValueError(f"task {r['task_id']}: {r['param_error']}")
     if all(r[k] is None or r[k] <= SHORT_LIST for r in rows for k in LIST_KINDS):
-        held = sorted({(r["task_id"], k, v) for r in rows for k in LIST_KINDS for v in r[f"_{k}"] or ()})
-        lists = tasks.sparkSession.createDataFrame(held, "task_id long, kind string, value string")
+        short = sorted({(r["task_id"], k, v) for r in rows for k in LIST_KINDS for v in r[f"_{k}"] or ()})
+        lists = tasks.sparkSession.createDataFrame(short, "task_id long, kind string, value string")
     else:
+        short = None
         lists = typed.select("task_id", F.explode(F.array(*[
             F.struct(F.lit(k).alias("kind"), F.col(k).cast("array<string>").alias("values")) for k in LIST_KINDS]))
             .alias("l")).select("task_id", "l.kind", F.explode("l.values").alias("value")).distinct()
     return TaskTable([TaskRow(r["task_id"], r["start_date"], r["end_date"], r["start_age"], r["end_age"], r["sex"],
                               tuple(r["target_page_flow"]) if r["target_page_flow"] is not None else None,
-                              {k: r[k] for k in LIST_KINDS}) for r in rows], lists)
+                              {k: r[k] for k in LIST_KINDS}) for r in rows], lists, short)
 
 
 def _check_ids(found: list, task_ids: list[int] | None, max_tasks: int) -> None:
